@@ -1,0 +1,19 @@
+"""Broadcasting behind a measured bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a lookup side may hold before it is joined by shuffle instead.
+LOOKUP_ROW_BOUND = 200_000
+
+
+def lookup_side(df: DataFrame, max_rows: int = LOOKUP_ROW_BOUND) -> DataFrame:
+    """Hint a broadcast only when ``df`` is counted to hold at most ``max_rows`` rows.
+
+    The count stops after ``max_rows + 1`` rows. Beyond the bound the frame is returned
+    without a hint: the planner then shuffles both sides and splits skewed partitions.
+    Use it on stored reference tables, where the count is a cheap scan.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
