@@ -40,12 +40,12 @@ def sum_items(
 
 def pivot_items(items: Column, name: str, value: str, wanted: Sequence[str]) -> dict[str, Column]:
     """Key/value entries to one column per wanted key; the greatest value wins on duplicates."""
-    return {
-        key: F.array_max(
-            F.transform(F.filter(items, lambda e, k=key: e[name] == F.lit(k)), lambda e: e[value])
-        )
-        for key in wanted
-    }
+
+    def column(key: str) -> Column:
+        entries = F.filter(items, lambda e: e[name] == F.lit(key))
+        return F.array_max(F.transform(entries, lambda e: e[value]))
+
+    return {key: column(key) for key in wanted}
 
 
 def text_at(col: Column | str, path: str) -> Column:

@@ -41,6 +41,7 @@ class Params:
     calendar_end_inclusive: bool = True
     snapshot_mode: str = "today"  # today | month_end | daily
     backdate_products: bool = False
+    backdate_customers: bool = False
     sale_quantity: str = "net"  # net | gross units on sale movements
     run_id: str = "manual"
     lookback_days: Mapping[str, int] = field(default_factory=lambda: dict(LOOKBACK_DAYS))

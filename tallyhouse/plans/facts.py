@@ -384,9 +384,10 @@ def customer_order_metrics(daily: DataFrame, days: DataFrame, grid: DataFrame) -
 
 def customer_grid(customers: DataFrame, days: DataFrame) -> DataFrame:
     """Each customer on every snapshot day since acquisition, by exploding the list of days."""
-    listed = days.agg(F.array_sort(F.collect_set("snapshot_date"))).scalar()
-    seen = F.filter(listed, lambda d: F.col("acquired").isNull() | (d >= F.col("acquired")))
-    return customers.select("customer_id", F.explode(seen).alias("snapshot_date"), F.lit(True).alias("_wanted"))
+    listed = days.agg(F.collect_set("snapshot_date")).scalar()
+    every = customers.select("customer_id", "acquired", F.explode(listed).alias("snapshot_date"))
+    known = F.col("acquired").isNull() | (F.col("snapshot_date") >= F.col("acquired"))
+    return every.filter(known).select("customer_id", "snapshot_date", F.lit(True).alias("_wanted"))
 
 
 def fact_customer_state_daily(orders: DataFrame, dim_customer: DataFrame, params: Params) -> DataFrame:
@@ -471,10 +472,9 @@ def movements_after(movements: DataFrame, days: DataFrame) -> DataFrame:
     spans = days.withColumn("_to", F.coalesce(nxt, F.greatest(hi, F.date_add("snapshot_date", 1))))
     pairs = spans.select("snapshot_date", F.explode(F.sequence(F.date_add("snapshot_date", 1), "_to")).alias("_day"))
     gaps = daily.join(pairs, F.col("movement_date") == F.col("_day")).groupBy("sku", "snapshot_date").agg(F.sum("q").alias("q"))
-    listed = days.agg(F.array_sort(F.collect_set("snapshot_date"))).scalar()
-    grid = gaps.groupBy("sku").agg(F.max("snapshot_date").alias("_last")).select(
-        "sku", F.explode(F.filter(listed, lambda d: d <= F.col("_last"))).alias("snapshot_date")
-    )
+    listed = days.agg(F.collect_set("snapshot_date")).scalar()
+    last = gaps.groupBy("sku").agg(F.max("snapshot_date").alias("_last"))
+    grid = last.select("sku", "_last", F.explode(listed).alias("snapshot_date")).filter(F.col("snapshot_date") <= F.col("_last"))
     later = W.partitionBy("sku").orderBy(F.desc("snapshot_date"))
     return grid.join(gaps, ["sku", "snapshot_date"], "left").select(
         "sku", "snapshot_date", F.coalesce(F.sum("q").over(later), F.lit(0)).cast("decimal(18,2)").alias("qty_after")
@@ -500,7 +500,7 @@ def inventory_positions(
             "inventory_item_id", "location_id", "sku", "unit_cost", "quantity_incoming", "_extracted_at", "snapshot_date",
             F.col("quantity_available").cast("decimal(18,2)").alias("quantity_available"),
         )
-    listed = days.agg(F.array_sort(F.collect_set("snapshot_date"))).scalar()
+    listed = days.agg(F.collect_set("snapshot_date")).scalar()
     base = levels.join(costs, "inventory_item_id", "left").select(
         "inventory_item_id", "location_id", "sku", "unit_cost", "quantity_incoming", "_extracted_at", "quantity_available",
         F.explode(listed).alias("snapshot_date"),

@@ -1,4 +1,4 @@
-"""The whole build in dependency order, as plain function calls."""
+"""The models and what each one is made of."""
 
 from __future__ import annotations
 
@@ -7,7 +7,8 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.scd2 import scd2_merge, scd2_start
+from tallyhouse.operators.stored import stored
+from tallyhouse.operators.scd2 import backdate_current, scd2_merge, scd2_start
 from tallyhouse.params import Params
 from tallyhouse.plans import dims, facts, marts
 from tallyhouse.plans.identity import resolve_identity
@@ -32,83 +33,124 @@ def table_saver(spark: SparkSession, database: str) -> Save:
     return save
 
 
-def build(
-    spark: SparkSession, raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame], params: Params, *,
-    history: Mapping[str, DataFrame] | None = None, existing: Mapping[str, DataFrame] | None = None,
-    overrides: Overrides | None = None, save: Save = lambda _, df: df,
-) -> dict[str, DataFrame]:
-    """All models by name. Lazy unless ``save`` stores results.
+# Models that several others are built on; everything else is a projection or is read once.
+SHARED = frozenset({
+    "dim_customer", "dim_product", "dim_payment_method", "fact_orders", "fact_order_lines", "fact_refunds",
+    "fact_inventory_movements", "fact_inventory_snapshot", "fact_customer_state_daily",
+})
 
-    ``raw`` maps ``source.table`` to raw frames, ``history`` holds the stored SCD2 snapshots and
-    ``existing`` the stored facts whose newest day limits an incremental run.
+
+def shared_saver(names: frozenset[str] = SHARED) -> Save:
+    """Store the shared models in the session's shared folder, leave the others lazy."""
+    return lambda name, df: stored(df, name) if name in names else df
+
+
+class Warehouse:
+    """Models by name, each made on first use: ``Warehouse(...)["fact_orders"]``.
+
+    ``raw`` maps ``source.table`` to raw frames, ``seeds`` the reference tables, ``history`` the
+    stored SCD2 snapshots and ``existing`` the stored facts whose newest day limits an incremental
+    run. Everything is lazy unless ``save`` stores the models.
     """
-    history, existing, now = history or {}, existing or {}, F.lit(params.as_of).cast("timestamp")
-    out: dict[str, DataFrame] = {}
-
-    def keep(name: str, df: DataFrame) -> DataFrame:
-        out[name] = save(name, df)
-        return out[name]
-
-    for name, stage in STAGES.items():
-        if name in raw:
-            system, table = name.split(".")
-            keep(f"stg_{system}__{table}", stage(raw[name], params, overrides or {}))
-    stg = lambda system, table: out[f"stg_{system}__{table}"]
-
-    keep("dim_date", dims.dim_date(spark, params, seeds.get("holidays")))
-    keep("dim_channel", dims.dim_channel(seeds["channel_mapping"], params))
-    keep("dim_geography", dims.dim_geography(seeds["geography_data"], params))
-    keep("dim_payment_method", dims.dim_payment_method(stg("stripe", "payment_methods"), params))
-    keep("dim_email_campaign", dims.dim_email_campaign(stg("klaviyo", "campaigns"), stg("klaviyo", "flows"), params))
-    keep("dim_warehouse_location", dims.dim_warehouse_location(stg("shopify", "locations"), params))
-
-    def snapshot(name: str, current: DataFrame, key: str, **strategy) -> DataFrame:
-        if name in history:
-            return keep(name, scd2_merge(history[name], current, key, now=now, **strategy))
-        return keep(name, scd2_start(current, key, now=now, updated_at=strategy.get("updated_at")))
-
-    people = keep("int_customer_identity", resolve_identity(
-        stg("shopify", "customers"), stg("stripe", "customers"), stg("klaviyo", "profiles"), params))
-    base = dims.product_snapshot_base(stg("shopify", "product_variants"), stg("shopify", "products"), stg("shopify", "inventory_items"))
-    snap_customer = snapshot("snap_customer", people, "customer_id", check=dims.SNAP_CUSTOMER_CHECKS)
-    snap_product = snapshot("snap_product", base, "variant_id", updated_at="updated_at")
-    snap_campaign = snapshot("snap_marketing_campaign", stg("meta_ads", "campaigns"), "campaign_id", updated_at="updated_at")
-    keep("dim_customer", dims.dim_customer(snap_customer, params))
-    keep("dim_product", dims.dim_product(snap_product, seeds["product_category_mapping"], params))
-    keep("dim_marketing_campaign", dims.dim_marketing_campaign(snap_campaign, out["dim_channel"], params))
-
-    enriched = keep("int_orders_enriched", enrich_orders(stg("shopify", "orders"), stg("shopify", "order_line_items")))
-    sessions = keep("int_web_sessions", sessionize(stg("ga4", "events")))
-    keep("fact_orders", facts.fact_orders(
-        stg("shopify", "orders"), enriched, stg("shopify", "refunds"), stg("stripe", "charges"),
-        dim_customer=out["dim_customer"], dim_channel=out["dim_channel"], dim_geography=out["dim_geography"],
-        dim_payment_method=out["dim_payment_method"], fx_rates=seeds["fx_rates"], channel_mapping=seeds["channel_mapping"],
-        params=params, existing=existing.get("fact_orders")))
-    keep("fact_order_lines", facts.fact_order_lines(
-        stg("shopify", "order_line_items"), out["fact_orders"], stg("shopify", "refunds"), out["dim_product"], params,
-        existing.get("fact_order_lines")))
-    keep("fact_refunds", facts.fact_refunds(
-        stg("shopify", "refunds"), out["fact_orders"], stg("stripe", "charges"), stg("stripe", "refunds"), params,
-        existing.get("fact_refunds")))
-    keep("fact_inventory_movements", facts.fact_inventory_movements(
-        out["fact_order_lines"], out["fact_orders"], out["fact_refunds"], params, existing.get("fact_inventory_movements")))
-    keep("fact_inventory_snapshot", facts.fact_inventory_snapshot(
-        stg("shopify", "inventory_levels"), stg("shopify", "inventory_items"), out["fact_order_lines"],
-        dim_product=out["dim_product"], dim_warehouse_location=out["dim_warehouse_location"], params=params,
-        movements=out["fact_inventory_movements"], daily_feed=out.get("stg_shopify__inventory_snapshots")))
-    keep("fact_customer_state_daily", facts.fact_customer_state_daily(out["fact_orders"], out["dim_customer"], params))
-    keep("fact_marketing_spend", facts.fact_marketing_spend(
-        stg("meta_ads", "daily_insights"), dim_marketing_campaign=out["dim_marketing_campaign"], dim_channel=out["dim_channel"],
-        fx_rates=seeds["fx_rates"], params=params, existing=existing.get("fact_marketing_spend")))
-    keep("fact_web_sessions", facts.fact_web_sessions(
-        sessions, dim_customer=out["dim_customer"], dim_channel=out["dim_channel"], dim_geography=out["dim_geography"],
-        channel_mapping=seeds["channel_mapping"], params=params, existing=existing.get("fact_web_sessions")))
-    keep("fact_email_engagement", facts.fact_email_engagement(
-        stg("klaviyo", "events"), dim_customer=out["dim_customer"], dim_email_campaign=out["dim_email_campaign"], params=params,
-        existing=existing.get("fact_email_engagement")))
-
-    keep("mart_sales", marts.mart_sales(out["fact_orders"], out["dim_date"], out["dim_channel"], out["dim_geography"], params))
-    keep("mart_customer", marts.mart_customer(out["fact_customer_state_daily"], out["dim_date"], params))
-    keep("mart_inventory", marts.mart_inventory(
-        out["fact_inventory_snapshot"], out["dim_date"], out["dim_product"], out["dim_warehouse_location"], params))
-    return out
+
+    def __init__(
+        self, spark: SparkSession, raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame], params: Params, *,
+        history: Mapping[str, DataFrame] | None = None, existing: Mapping[str, DataFrame] | None = None,
+        overrides: Overrides | None = None, save: Save = lambda _, df: df,
+    ) -> None:
+        self.spark, self.raw, self.seeds, self.params = spark, raw, seeds, params
+        self.history, self.existing, self.overrides = history or {}, existing or {}, overrides or {}
+        self._save, self._made = save, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._save(name, MODELS[name](self))
+        return self._made[name]
+
+    def build(self, names: list[str] | None = None) -> dict[str, DataFrame]:
+        """Several models, by default all of them, in dependency order."""
+        return {name: self[name] for name in names or MODELS}
+
+    def snapshot(self, name: str, current: DataFrame, key: str, **strategy) -> DataFrame:
+        now = F.lit(self.params.as_of).cast("timestamp")
+        if name in self.history:
+            return scd2_merge(self.history[name], current, key, now=now, **strategy)
+        return scd2_start(current, key, now=now, updated_at=strategy.get("updated_at"))
+
+
+def _stage(name: str) -> Callable[[Warehouse], DataFrame]:
+    return lambda w: STAGES[name](w.raw[name], w.params, w.overrides)
+
+
+def _snap_customer(w: Warehouse) -> DataFrame:
+    history = w.snapshot("snap_customer", w["int_customer_identity"], "customer_id", check=dims.SNAP_CUSTOMER_CHECKS)
+    if not w.params.backdate_customers:
+        return history
+    return backdate_current(history, w["stg_shopify__customers"], key="shopify_customer_id",
+                            created_key="shopify_customer_id", created_at="created_at")
+
+
+def _fact_orders(w: Warehouse) -> DataFrame:
+    return facts.fact_orders(
+        w["stg_shopify__orders"], w["int_orders_enriched"], w["stg_shopify__refunds"], w["stg_stripe__charges"],
+        dim_customer=w["dim_customer"], dim_channel=w["dim_channel"], dim_geography=w["dim_geography"],
+        dim_payment_method=w["dim_payment_method"], fx_rates=w.seeds["fx_rates"],
+        channel_mapping=w.seeds["channel_mapping"], params=w.params, existing=w.existing.get("fact_orders"))
+
+
+def _fact_inventory_snapshot(w: Warehouse) -> DataFrame:
+    mode = w.params.snapshot_mode
+    return facts.fact_inventory_snapshot(
+        w["stg_shopify__inventory_levels"], w["stg_shopify__inventory_items"], w["fact_order_lines"],
+        dim_product=w["dim_product"], dim_warehouse_location=w["dim_warehouse_location"], params=w.params,
+        movements=w["fact_inventory_movements"] if mode == "month_end" else None,
+        daily_feed=w["stg_shopify__inventory_snapshots"] if mode == "daily" else None)
+
+
+MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
+    **{f"stg_{name.replace('.', '__')}": _stage(name) for name in STAGES},
+    "dim_date": lambda w: dims.dim_date(w.spark, w.params, w.seeds.get("holidays")),
+    "dim_channel": lambda w: dims.dim_channel(w.seeds["channel_mapping"], w.params),
+    "dim_geography": lambda w: dims.dim_geography(w.seeds["geography_data"], w.params),
+    "dim_payment_method": lambda w: dims.dim_payment_method(w["stg_stripe__payment_methods"], w.params),
+    "dim_email_campaign": lambda w: dims.dim_email_campaign(w["stg_klaviyo__campaigns"], w["stg_klaviyo__flows"], w.params),
+    "dim_warehouse_location": lambda w: dims.dim_warehouse_location(w["stg_shopify__locations"], w.params),
+    "int_customer_identity": lambda w: resolve_identity(
+        w["stg_shopify__customers"], w["stg_stripe__customers"], w["stg_klaviyo__profiles"], w.params),
+    "snap_customer": _snap_customer,
+    "snap_product": lambda w: w.snapshot(
+        "snap_product",
+        dims.product_snapshot_base(w["stg_shopify__product_variants"], w["stg_shopify__products"], w["stg_shopify__inventory_items"]),
+        "variant_id", updated_at="updated_at"),
+    "snap_marketing_campaign": lambda w: w.snapshot(
+        "snap_marketing_campaign", w["stg_meta_ads__campaigns"], "campaign_id", updated_at="updated_at"),
+    "dim_customer": lambda w: dims.dim_customer(w["snap_customer"], w.params),
+    "dim_product": lambda w: dims.dim_product(w["snap_product"], w.seeds["product_category_mapping"], w.params),
+    "dim_marketing_campaign": lambda w: dims.dim_marketing_campaign(w["snap_marketing_campaign"], w["dim_channel"], w.params),
+    "int_orders_enriched": lambda w: enrich_orders(w["stg_shopify__orders"], w["stg_shopify__order_line_items"]),
+    "int_web_sessions": lambda w: sessionize(w["stg_ga4__events"]),
+    "fact_orders": _fact_orders,
+    "fact_order_lines": lambda w: facts.fact_order_lines(
+        w["stg_shopify__order_line_items"], w["fact_orders"], w["stg_shopify__refunds"], w["dim_product"], w.params,
+        w.existing.get("fact_order_lines")),
+    "fact_refunds": lambda w: facts.fact_refunds(
+        w["stg_shopify__refunds"], w["fact_orders"], w["stg_stripe__charges"], w["stg_stripe__refunds"], w.params,
+        w.existing.get("fact_refunds")),
+    "fact_inventory_movements": lambda w: facts.fact_inventory_movements(
+        w["fact_order_lines"], w["fact_orders"], w["fact_refunds"], w.params, w.existing.get("fact_inventory_movements")),
+    "fact_inventory_snapshot": _fact_inventory_snapshot,
+    "fact_customer_state_daily": lambda w: facts.fact_customer_state_daily(w["fact_orders"], w["dim_customer"], w.params),
+    "fact_marketing_spend": lambda w: facts.fact_marketing_spend(
+        w["stg_meta_ads__daily_insights"], dim_marketing_campaign=w["dim_marketing_campaign"], dim_channel=w["dim_channel"],
+        fx_rates=w.seeds["fx_rates"], params=w.params, existing=w.existing.get("fact_marketing_spend")),
+    "fact_web_sessions": lambda w: facts.fact_web_sessions(
+        w["int_web_sessions"], dim_customer=w["dim_customer"], dim_channel=w["dim_channel"], dim_geography=w["dim_geography"],
+        channel_mapping=w.seeds["channel_mapping"], params=w.params, existing=w.existing.get("fact_web_sessions")),
+    "fact_email_engagement": lambda w: facts.fact_email_engagement(
+        w["stg_klaviyo__events"], dim_customer=w["dim_customer"], dim_email_campaign=w["dim_email_campaign"], params=w.params,
+        existing=w.existing.get("fact_email_engagement")),
+    "mart_sales": lambda w: marts.mart_sales(w["fact_orders"], w["dim_date"], w["dim_channel"], w["dim_geography"], w.params),
+    "mart_customer": lambda w: marts.mart_customer(w["fact_customer_state_daily"], w["dim_date"], w.params),
+    "mart_inventory": lambda w: marts.mart_inventory(
+        w["fact_inventory_snapshot"], w["dim_date"], w["dim_product"], w["dim_warehouse_location"], w.params),
+}
