@@ -69,19 +69,20 @@ def charge_payment_methods(charges: DataFrame, payment_methods: DataFrame) -> Da
 
 
 def fact_orders(
-    orders: DataFrame, enriched: DataFrame, refunds: DataFrame, charges: DataFrame, *, dim_customer: DataFrame,
+    enriched: DataFrame, refunds: DataFrame, charges: DataFrame, *, dim_customer: DataFrame,
     dim_channel: DataFrame, dim_geography: DataFrame, dim_payment_method: DataFrame, fx_rates: DataFrame,
     channel_mapping: DataFrame, params: Params, existing: DataFrame | None = None,
 ) -> DataFrame:
     """One row per order in reporting currency, with its dimension keys and attribution.
 
+    ``enriched`` are the staged orders with their line counts and first/repeat flags.
+
     Everything keyed by order id joins first, so those joins share one partitioning of the
     orders; customer versions follow; rates, channels and countries are small lookups.
     """
-    recent = since_cutoff(orders, existing, "updated_at", params.lookback_days["fact_orders"])
+    recent = since_cutoff(enriched, existing, "updated_at", params.lookback_days["fact_orders"])
     df = (
-        recent.join(enriched.drop("shopify_customer_id"), "order_id", "left")
-        .join(refund_totals(refunds), "order_id", "left")
+        recent.join(refund_totals(refunds), "order_id", "left")
         .join(charge_payment_methods(charges, dim_payment_method), "order_id", "left")
     )
     df = with_fx_rate(df, fx_rates, currency="original_currency_code", on="order_date",
@@ -97,8 +98,6 @@ def fact_orders(
     countries = country_level(dim_geography).select(F.col("country_code").alias("shipping_country_code"), "geography_sk")
     df = df.join(countries, "shipping_country_code", "left")
     rate, back = F.col("fx_rate"), F.coalesce("refunded_amount_local", F.lit(0)).cast("decimal(18,6)")
-    zero = lambda c, kind: F.coalesce(F.col(c), F.lit(0)).cast(kind).alias(c)
-    no = lambda c: F.coalesce(F.col(c), F.lit(False)).alias(c)
     out = df.select(
         surrogate_key(["order_id"]).alias("order_sk"), "order_id", "order_number",
         "customer_sk", "customer_id", "channel_sk", "geography_sk", "payment_method_sk",
@@ -110,7 +109,7 @@ def fact_orders(
         F.col("gross_amount").cast("decimal(18,4)").alias("original_gross_amount"),
         F.coalesce(rate, F.lit(1).cast("decimal(18,8)")).alias("fx_rate_to_reporting"),
         (rate.isNull()).alias("is_fx_rate_missing"),
-        zero("line_item_count", "long"), zero("total_quantity", "decimal(18,2)"), no("is_first_order"), no("is_repeat_order"),
+        "line_item_count", "total_quantity", "is_first_order", "is_repeat_order",
         "is_subscription_order", "is_test_order", F.col("discount_codes_raw").alias("discount_codes"), "primary_discount_code",
         F.split(F.coalesce("tags_raw", F.lit("")), ",").alias("tags"), "note",
         "utm_source", "utm_medium", "utm_campaign", "utm_content", "utm_term", "referrer_url", "landing_page_url", "cart_id",

@@ -26,7 +26,7 @@ PROFILE = {
 CONSENT = ("email_subscribed", "sms_subscribed", "marketing_consent")
 
 
-def _records(shopify: DataFrame, stripe: DataFrame, klaviyo: DataFrame) -> DataFrame:
+def identity_records(shopify: DataFrame, stripe: DataFrame, klaviyo: DataFrame) -> DataFrame:
     """The three sources in one layout, one row per source record."""
 
     def common(df: DataFrame, system: str, source_id: str) -> DataFrame:
@@ -54,16 +54,16 @@ def _records(shopify: DataFrame, stripe: DataFrame, klaviyo: DataFrame) -> DataF
     return reduce(DataFrame.unionByName, parts)
 
 
-def identity_links(shopify: DataFrame, stripe: DataFrame, klaviyo: DataFrame) -> DataFrame:
+def identity_links(records: DataFrame) -> DataFrame:
     """Every source record with its customer_id and match tier.
 
     Tier 1 is the e-mail hash. Without e-mail, a phone known to an e-mail customer leads to that
     customer, any other phone forms its own. With neither, the loose name-and-address key is
     tried. Tiers take precedence and links are not chained. Owners of a phone or a name key are
     found by aggregation, so a shared placeholder value never pairs records with each other, and
-    records that are already identified skip the lookups.
+    records that are already identified skip the lookups. ``records`` is read several times, so
+    pass a stored copy.
     """
-    records = _records(shopify, stripe, klaviyo)
     by_email = records.filter(F.col("email_hash").isNotNull())
     no_email = records.filter(F.col("email_hash").isNull())
     by_phone = no_email.filter(F.col("phone_hash").isNotNull())
@@ -96,15 +96,13 @@ def identity_links(shopify: DataFrame, stripe: DataFrame, klaviyo: DataFrame) ->
     return known.unionByName(tier3)
 
 
-def resolve_identity(
-    shopify: DataFrame, stripe: DataFrame, klaviyo: DataFrame, params: Params, let_shopify_win: bool = False
-) -> DataFrame:
+def resolve_identity(records: DataFrame, let_shopify_win: bool = False) -> DataFrame:
     """One row per customer: ids per source, profile, consent, match method, sources.
 
     The profile comes from the storefront record that changed last. Consent comes from the
     email system, then the storefront; ``let_shopify_win`` turns that order around.
     """
-    links = identity_links(shopify, stripe, klaviyo)
+    links = identity_links(records)
     is_src = lambda s: F.col("source_system") == s
     recency = F.struct("updated_at", "source_id")
 

@@ -56,28 +56,25 @@ def without_bots(sessions: DataFrame) -> DataFrame:
 
 
 def enrich_orders(orders: DataFrame, lines: DataFrame) -> DataFrame:
-    """Line count, units and first/repeat flags per order.
+    """The orders with line count, units and first/repeat flags.
 
     The first order of a customer is found by a ranked filter that runs before the exchange, and
     flags return to orders by order id, so no step gathers one customer's orders in a task.
     """
-    per_order = lines.groupBy("order_id").agg(
-        F.count("*").alias("line_item_count"), F.sum("quantity").cast("decimal(18,2)").alias("total_quantity")
-    )
+    per_order = lines.groupBy("order_id").agg(F.count("*").alias("_n"), F.sum("quantity").alias("_q"))
     owned = orders.filter(F.col("shopify_customer_id").isNotNull()).select("shopify_customer_id", "order_timestamp", "order_id")
     first = first_per_key(
         owned, ["shopify_customer_id"], [F.col("order_timestamp").asc_nulls_last(), F.col("order_id").asc()]
-    ).select("order_id", F.lit(True).alias("is_first_order"))
-    is_first = F.coalesce("is_first_order", F.lit(False))
+    ).select("order_id", F.lit(True).alias("_first"))
+    is_first = F.coalesce("_first", F.lit(False))
     return (
-        orders.select("order_id", "shopify_customer_id")
-        .join(per_order, "order_id", "left")
+        orders.join(per_order, "order_id", "left")
         .join(first, "order_id", "left")
-        .select(
-            "order_id",
-            F.coalesce("line_item_count", F.lit(0)).alias("line_item_count"),
-            F.coalesce("total_quantity", F.lit(0)).cast("decimal(18,2)").alias("total_quantity"),
-            is_first.alias("is_first_order"),
-            (F.col("shopify_customer_id").isNotNull() & ~is_first).alias("is_repeat_order"),
-        )
+        .withColumns({
+            "line_item_count": F.coalesce("_n", F.lit(0)),
+            "total_quantity": F.coalesce("_q", F.lit(0)).cast("decimal(18,2)"),
+            "is_first_order": is_first,
+            "is_repeat_order": F.col("shopify_customer_id").isNotNull() & ~is_first,
+        })
+        .drop("_n", "_q", "_first")
     )

@@ -11,7 +11,7 @@ from tallyhouse.operators.stored import stored
 from tallyhouse.operators.scd2 import backdate_current, scd2_merge, scd2_start
 from tallyhouse.params import Params
 from tallyhouse.plans import dims, facts, marts
-from tallyhouse.plans.identity import resolve_identity
+from tallyhouse.plans.identity import identity_records, resolve_identity
 from tallyhouse.plans.sessions import enrich_orders, sessionize
 from tallyhouse.plans.staging import STAGES
 from tallyhouse.sources.mapping import Overrides
@@ -35,7 +35,8 @@ def table_saver(spark: SparkSession, database: str) -> Save:
 
 # Models that several others are built on; everything else is a projection or is read once.
 SHARED = frozenset({
-    "dim_customer", "dim_product", "dim_payment_method", "fact_orders", "fact_order_lines", "fact_refunds",
+    "int_customer_records", "dim_date", "dim_channel", "dim_geography", "dim_payment_method", "dim_email_campaign",
+    "dim_warehouse_location", "dim_customer", "dim_product", "dim_marketing_campaign", "fact_orders", "fact_order_lines", "fact_refunds",
     "fact_inventory_movements", "fact_inventory_snapshot", "fact_customer_state_daily",
 })
 
@@ -92,7 +93,7 @@ def _snap_customer(w: Warehouse) -> DataFrame:
 
 def _fact_orders(w: Warehouse) -> DataFrame:
     return facts.fact_orders(
-        w["stg_shopify__orders"], w["int_orders_enriched"], w["stg_shopify__refunds"], w["stg_stripe__charges"],
+        w["int_orders_enriched"], w["stg_shopify__refunds"], w["stg_stripe__charges"],
         dim_customer=w["dim_customer"], dim_channel=w["dim_channel"], dim_geography=w["dim_geography"],
         dim_payment_method=w["dim_payment_method"], fx_rates=w.seeds["fx_rates"],
         channel_mapping=w.seeds["channel_mapping"], params=w.params, existing=w.existing.get("fact_orders"))
@@ -115,8 +116,9 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "dim_payment_method": lambda w: dims.dim_payment_method(w["stg_stripe__payment_methods"], w.params),
     "dim_email_campaign": lambda w: dims.dim_email_campaign(w["stg_klaviyo__campaigns"], w["stg_klaviyo__flows"], w.params),
     "dim_warehouse_location": lambda w: dims.dim_warehouse_location(w["stg_shopify__locations"], w.params),
-    "int_customer_identity": lambda w: resolve_identity(
-        w["stg_shopify__customers"], w["stg_stripe__customers"], w["stg_klaviyo__profiles"], w.params),
+    "int_customer_records": lambda w: identity_records(
+        w["stg_shopify__customers"], w["stg_stripe__customers"], w["stg_klaviyo__profiles"]),
+    "int_customer_identity": lambda w: resolve_identity(w["int_customer_records"]),
     "snap_customer": _snap_customer,
     "snap_product": lambda w: w.snapshot(
         "snap_product",

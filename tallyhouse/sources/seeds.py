@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.sources.csv import scan_csv
-from pyspark.sql import types as T
 
 SEED_SCHEMAS = {
     "fx_rates": "from_currency string, to_currency string, rate_date date, rate decimal(18,8)",
@@ -76,9 +76,16 @@ def channel_rows() -> list[tuple]:
     return [(*r[:6], r[6] == "true", r[7] or None, r[8] or None) for r in rows]
 
 
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Literal rows as a local relation, whose exact size lets the planner broadcast it."""
+    fields = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows, strict=True))
+    return spark.createDataFrame(pa.table(dict(zip(fields.names, map(list, columns), strict=True))), fields)
+
+
 def channel_mapping(spark: SparkSession) -> DataFrame:
     """The built-in channel table."""
-    return spark.createDataFrame(channel_rows(), SEED_SCHEMAS["channel_mapping"])
+    return small_table(spark, channel_rows(), SEED_SCHEMAS["channel_mapping"])
 
 
 def with_channel_overrides(mapping: DataFrame, overrides: DataFrame) -> DataFrame:
@@ -125,4 +132,4 @@ def us_holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFra
     for year in range(first_year, last_year + 1):
         rows += [(date(year, m, d), "US", name, "federal") for (m, d), name in US_FIXED.items()]
         rows += [(_nth_weekday(year, m, wd, n), "US", name, "federal") for (m, wd, n), name in US_FLOATING.items()]
-    return spark.createDataFrame(rows, SEED_SCHEMAS["holidays"]).orderBy(F.col("date"))
+    return small_table(spark, sorted(rows), SEED_SCHEMAS["holidays"])

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.scd2 import scd2_start
+from tallyhouse.operators.stored import stored
 from tallyhouse.params import Params, tune
 from tallyhouse.plans.dims import product_snapshot_base
 from tallyhouse.plans.warehouse import Warehouse, shared_saver
@@ -68,6 +69,7 @@ class Lab:
         self.spark, self.dir = tune(spark), sf_dir
         self.raw = RawTables(spark, sf_dir, SQL)
         self._seeds = RawTables(spark, sf_dir, SEEDS)
+        self._stored_seeds: dict[str, DataFrame] = {}
         self._warehouses: dict[Params, Warehouse] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -77,10 +79,12 @@ class Lab:
         return spark_sql(self.spark, self.dir, text)
 
     def seeds(self) -> dict[str, DataFrame]:
-        out = {name: self._seeds[name] for name in SEEDS}
-        out["channel_mapping"] = channel_mapping(self.spark)
-        out["holidays"] = us_holidays(self.spark, 2015, 2031)
-        return out
+        """Reference tables, stored like the CSV files they stand for."""
+        if not self._stored_seeds:
+            self._stored_seeds = {name: stored(self._seeds[name], f"seed_{name}") for name in SEEDS}
+            self._stored_seeds["channel_mapping"] = channel_mapping(self.spark)
+            self._stored_seeds["holidays"] = us_holidays(self.spark, 2015, 2031)
+        return self._stored_seeds
 
     def warehouse(self, **changes) -> Warehouse:
         """The warehouse under the driver settings, some of them changed."""
