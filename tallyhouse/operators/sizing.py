@@ -1,4 +1,4 @@
-"""Broadcasting behind a measured bound."""
+"""Decisions that depend on a measured size."""
 
 from __future__ import annotations
 
@@ -17,3 +17,13 @@ def lookup_side(df: DataFrame, max_rows: int = LOOKUP_ROW_BOUND) -> DataFrame:
     Use it on stored reference tables, where the count is a cheap scan.
     """
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a scan out to all cores when it has fewer splits than there are cores.
+
+    Meant for raw files with one large row group that feed costly projections. Scans with
+    enough splits, as any big table has, stay as they are and are not shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -59,7 +59,8 @@ def tune(spark: SparkSession) -> SparkSession:
     """Session settings the operators rely on; all of them are runtime SQL settings.
 
     Skewed shuffle partitions are split even when that costs one more exchange, because a
-    single customer, SKU or source may own a large share of the rows.
+    single customer, SKU or source may own a large share of the rows. Fused methods above 8,000
+    bytes are never compiled by the JVM, so wide projections are better left unfused.
     """
     settings = {
         "spark.sql.session.timeZone": "UTC",
@@ -69,6 +70,7 @@ def tune(spark: SparkSession) -> SparkSession:
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     for key, value in settings.items():
         spark.conf.set(key, value)

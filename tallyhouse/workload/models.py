@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
+from tallyhouse.plans import dims, facts
 from tallyhouse.workload.oracle import NOW, TODAY, hashed
+from tallyhouse.workload.raw import PARAMS
 from tallyhouse.workload.registry import register
 
 # ---- Staging ------------------------------------------------------------------------------
@@ -200,7 +204,7 @@ register(
     "is_current_fiscal_year b=year(d + interval 6 month) = year(t + interval 6 month), is_wtd b=d between date_trunc('week'; t) and t, is_mtd b=d between date_trunc('month'; t) and t, is_qtd b=d between date_trunc('quarter'; t) and t,"
     "is_ytd b=d between date_trunc('year'; t) and t, is_fytd b=year(d + interval 6 month) = year(t + interval 6 month) and d <= t, is_last_7_days b=d > t - 7 and d <= t, is_last_30_days b=d > t - 30 and d <= t,"
     "is_last_90_days b=d > t - 90 and d <= t, is_last_365_days b=d > t - 365 and d <= t, orders l=n",
-    lambda w: w.warehouse(fiscal_year_start_month=7, holiday_country="none")["dim_date"].join(
+    lambda w: dims.dim_date(w.spark, replace(PARAMS, fiscal_year_start_month=7), None).join(
         w["stg_shopify__orders"].groupBy(F.col("order_date").alias("date_actual")).agg(F.count("*").alias("orders")), "date_actual"
     ),
     f"select order_date as d, {TODAY} as t, count(*) as n from o_orders group by order_date",
@@ -297,7 +301,10 @@ register(
 register(
     "fact_inventory_snapshot_daily", "FCT-8",
     "inventory_item_id s, snapshot_date D, quantity_available d=available, unit_cost d=cost, inventory_value d=(available * cost)::decimal(18;4), is_out_of_stock b=available <= 0, days_of_supply r=if(u > 0; (available::double / (u::double / 28.0))::decimal(18;2); null)",
-    lambda w: w.warehouse(snapshot_mode="daily")["fact_inventory_snapshot"],
+    lambda w: facts.fact_inventory_snapshot(
+        w["stg_shopify__inventory_levels"], w["stg_shopify__inventory_items"], w["fact_order_lines"], dim_product=w["dim_product"],
+        dim_warehouse_location=w["dim_warehouse_location"], params=replace(PARAMS, snapshot_mode="daily"),
+        daily_feed=w["stg_shopify__inventory_snapshots"]),
     "select s.inventory_item_id, s.snapshot_date, s.available, max(i.cost) as cost, sum(l.quantity - l.back_units) as u from raw_shopify_inventory_snapshots s"
     " join raw_shopify_inventory_items i on i.id = s.inventory_item_id left join o_fact_lines l on l.sku = i.sku and l.order_date between s.snapshot_date - 28 and s.snapshot_date - 1 group by 1, 2, 3",
 )

@@ -10,9 +10,11 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator, Mapping
 from datetime import date
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyhouse.operators.sizing import spread
 from tallyhouse.params import Params
 
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -277,15 +279,20 @@ def read_base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@lru_cache(maxsize=64)
+def base_view(spark: SparkSession, sf_dir: str, table: str) -> str:
+    """A temporary view on one given table."""
+    name = f"given_{zlib.crc32(sf_dir.encode()):x}_{table}"
+    spread(read_base(spark, sf_dir, table)).createOrReplaceTempView(name)
+    return name
+
+
 def spark_sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Run a shared text on Spark with the test tables it names."""
     text = text.replace("EPOCH_US(ts)", "unix_micros(cast(ts as timestamp))").replace("EPOCH(", "unix_timestamp(")
-    tag = zlib.crc32(sf_dir.encode())
     for table in BASE:
         if "{" + table + "}" in text:
-            view = f"given_{tag:x}_{table}"
-            read_base(spark, sf_dir, table).createOrReplaceTempView(view)
-            text = text.replace("{" + table + "}", view)
+            text = text.replace("{" + table + "}", base_view(spark, sf_dir, table))
     return spark.sql(text)
 
 

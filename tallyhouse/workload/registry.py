@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators.scd2 import scd2_start
 from tallyhouse.operators.stored import stored
-from tallyhouse.params import Params, tune
+from tallyhouse.params import tune
 from tallyhouse.plans.dims import product_snapshot_base
 from tallyhouse.plans.warehouse import Warehouse, shared_saver
 from tallyhouse.sources.seeds import channel_mapping, us_holidays
@@ -70,7 +70,7 @@ class Lab:
         self.raw = RawTables(spark, sf_dir, SQL)
         self._seeds = RawTables(spark, sf_dir, SEEDS)
         self._stored_seeds: dict[str, DataFrame] = {}
-        self._warehouses: dict[Params, Warehouse] = {}
+        self._warehouse: Warehouse | None = None
 
     def table(self, name: str) -> DataFrame:
         return read_base(self.spark, self.dir, name)
@@ -86,15 +86,13 @@ class Lab:
             self._stored_seeds["holidays"] = us_holidays(self.spark, 2015, 2031)
         return self._stored_seeds
 
-    def warehouse(self, **changes) -> Warehouse:
-        """The warehouse under the driver settings, some of them changed."""
-        key = tuple(sorted(changes.items()))
-        if key not in self._warehouses:
-            params = Params(**{**PARAMS.__dict__, **changes})
-            w = Warehouse(self.spark, self.raw, self.seeds(), params, save=shared_saver())
+    def warehouse(self) -> Warehouse:
+        """The warehouse under the driver settings."""
+        if self._warehouse is None:
+            w = Warehouse(self.spark, self.raw, self.seeds(), PARAMS, save=shared_saver())
             w.history = {"snap_product": self.first_product_versions(w)}
-            self._warehouses[key] = w
-        return self._warehouses[key]
+            self._warehouse = w
+        return self._warehouse
 
     def __getitem__(self, model: str) -> DataFrame:
         return self.warehouse()[model]
