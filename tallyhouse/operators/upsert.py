@@ -38,9 +38,10 @@ def since_cutoff(source: DataFrame, target: DataFrame | None, at: str, days: int
 
 
 def overwrite_table(df: DataFrame, table: str, partition: str | None = None, sort: Sequence[str] = ()) -> None:
-    """Full rebuild. Rows are sorted inside files so min/max statistics can prune."""
+    """Full rebuild: the table is dropped and created anew. Rows are sorted inside files so min/max
+    statistics can prune."""
     out = df.sortWithinPartitions(*sort) if sort else df
-    writer = out.write.mode("overwrite").format("parquet").option("partitionOverwriteMode", "static")
+    writer = out.write.mode("overwrite").format("parquet")
     (writer.partitionBy(partition) if partition else writer).saveAsTable(table)
 
 
@@ -50,7 +51,8 @@ def upsert_table(batch: DataFrame, table: str, keys: Sequence[str], partition: s
     Touched partitions are those of the batch and those now holding one of its keys, so a row
     whose date moved leaves its old partition. New content is first written to ``staging`` (a
     table name), which both cuts the lineage and lets a lost or repeated attempt start over.
-    Partitions left without rows are dropped; the list of those is one entry per partition.
+    The touched partitions are listed as literals, which prunes the scan of the target to them;
+    partitions left without rows are dropped.
     """
     spark = batch.sparkSession
     if not spark.catalog.tableExists(table):
@@ -61,16 +63,24 @@ def upsert_table(batch: DataFrame, table: str, keys: Sequence[str], partition: s
     overwrite_table(batch, arrivals)
     batch = spark.table(arrivals)
     moved = target.join(batch.select(*keys).distinct(), list(keys), "left_semi").select(partition)
-    touched = moved.union(batch.select(partition)).distinct()
-    affected = target.join(touched, partition, "left_semi")
+    touched = partition_values(moved.union(batch.select(partition)), partition)
+    affected = target.filter(F.col(partition).isin(touched))
     overwrite_table(upsert(affected, batch, keys), staging, partition)
     fresh = spark.table(staging)
     extra = [f for f in fresh.schema.fields if f.name not in target.columns]
     if extra:
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in extra)})")
+        added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in extra)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
     layout = spark.table(table).columns
     fresh.select(*layout).sortWithinPartitions(*keys).write.mode("overwrite").insertInto(table)
-    emptied = touched.join(fresh.select(partition).distinct(), partition, "left_anti")
-    for row in emptied.toLocalIterator():
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = '{row[0]}')")
+    for value in set(touched) - set(partition_values(fresh, partition)):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = '{value}')")
     spark.catalog.refreshTable(table)
+
+
+def partition_values(df: DataFrame, partition: str) -> list:
+    """Distinct values of a partition column; as many as there are partitions, so a short list."""
+    values = [row[0] for row in df.select(partition).distinct().toLocalIterator()]
+    if None in values:
+        raise ValueError(f"partition column {partition} holds NULL")
+    return values
