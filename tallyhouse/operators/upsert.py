@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FIRST_RUN = date(1900, 1, 1)
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -72,7 +73,12 @@ def upsert_table(batch: DataFrame, table: str, keys: Sequence[str], partition: s
         added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in extra)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
     layout = spark.table(table).columns
-    fresh.select(*layout).sortWithinPartitions(*keys).write.mode("overwrite").insertInto(table)
+    mode = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        fresh.select(*layout).sortWithinPartitions(*keys).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, mode)
     for value in set(touched) - set(partition_values(fresh, partition)):
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = '{value}')")
     spark.catalog.refreshTable(table)

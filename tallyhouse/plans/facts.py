@@ -249,10 +249,20 @@ def fact_marketing_spend(
     insights: DataFrame, *, dim_marketing_campaign: DataFrame, dim_channel: DataFrame, fx_rates: DataFrame, params: Params,
     existing: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per campaign and day. Without the ad channel in the channel dimension there are no rows."""
+    """One row per campaign and day. Without the ad channel in the channel dimension there are no rows.
+
+    Accounts are taken to be in reporting currency, rate 1, unless the insights bring an
+    ``account_currency``; then each campaign's currency is converted by the day's rate.
+    """
     recent = since_cutoff(insights, existing, "spend_date", params.lookback_days["fact_marketing_spend"])
-    df = spend_rollup(recent, ["campaign_id", "spend_date"]).withColumn("account_currency", F.lit(params.reporting_currency))
-    df = with_fx_rate(df, fx_rates, currency="account_currency", on="spend_date", reporting_currency=params.reporting_currency)
+    keys = ["campaign_id", "spend_date"]
+    if "account_currency" in insights.columns:
+        df = spend_rollup(recent, [*keys, "account_currency"])
+        df = with_fx_rate(df, fx_rates, currency="account_currency", on="spend_date", reporting_currency=params.reporting_currency)
+    else:
+        df = spend_rollup(recent, keys).withColumns(
+            {"account_currency": F.lit(params.reporting_currency), "fx_rate": F.lit(1).cast("decimal(18,8)")}
+        )
     df = point_in_time_join(
         df, dim_marketing_campaign, fact_key="campaign_id", version_key="campaign_id", at="spend_date", by_date=True,
         take={"campaign_sk": "campaign_sk"},
