@@ -6,24 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows a lookup side may hold before it is joined by shuffle instead.
-LOOKUP_ROW_BOUND = 200_000
+LOOKUP_ROW_BOUND = 1_000_000
 
 
 def lookup_side(df: DataFrame, max_rows: int = LOOKUP_ROW_BOUND) -> DataFrame:
-    """Hint a broadcast only when ``df`` is counted to hold at most ``max_rows`` rows.
+    """Broadcast ``df`` only when it is counted to hold at most ``max_rows`` rows.
 
-    The count stops after ``max_rows + 1`` rows. Beyond the bound the frame is returned
-    without a hint: the planner then shuffles both sides and splits skewed partitions.
-    Use it on stored reference tables, where the count is a cheap scan.
+    The count stops after ``max_rows + 1`` rows. Beyond the bound the join is told to sort and
+    merge, so that both sides are shuffled and skewed partitions split. Use it for tables made
+    from small reference data whose size the planner cannot tell, such as exploded ranges.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    fits = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if fits else df.hint("merge")
 
 
-def spread(scan: DataFrame) -> DataFrame:
+def spread(scan: DataFrame, *by: str) -> DataFrame:
     """Deal the rows of a scan out to all cores when it has fewer splits than there are cores.
 
     Meant for raw files with one large row group that feed costly projections. Scans with
-    enough splits, as any big table has, stay as they are and are not shuffled.
+    enough splits, as any big table has, stay as they are and are not shuffled. Name columns
+    with many values in ``by``: hashing them repeats exactly when a task is retried, without
+    the sort that dealing rows out in turn needs for that.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    return scan.repartition(cores, *by) if scan.rdd.getNumPartitions() < cores else scan

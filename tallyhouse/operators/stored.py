@@ -4,19 +4,21 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
 
+@cache
+def _private_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"tallyhouse-{application}-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only where none is set (tests)."""
-    folder = spark.conf.get(SETTING, None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="tallyhouse-")
-        spark.conf.set(SETTING, folder)
-    return folder
+    return spark.conf.get(SETTING, None) or _private_folder(spark.sparkContext.applicationId)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -123,8 +123,12 @@ def fact_orders(
 
 # ---- Lines --------------------------------------------------------------------------------
 def refunded_lines(refunds: DataFrame) -> DataFrame:
-    """Returned units and amount per (order, line)."""
-    items = refunds.select("order_id", F.explode("refund_line_items").alias("i")).filter(F.col("i.line_item_id").isNotNull())
+    """Returned units and amount per (order, line).
+
+    An outer explode: for an inner one the optimizer adds a filter on the array's size, which
+    would parse the payload a second time.
+    """
+    items = refunds.select("order_id", F.explode_outer("refund_line_items").alias("i")).filter(F.col("i.line_item_id").isNotNull())
     return items.groupBy("order_id", F.col("i.line_item_id").alias("line_item_id")).agg(
         F.sum(to_decimal(F.col("i.quantity"), 18, 2)).cast("decimal(18,2)").alias("refunded_quantity"),
         F.sum(to_decimal(F.col("i.subtotal"), 18, 6)).cast("decimal(18,6)").alias("refunded_amount_local"),

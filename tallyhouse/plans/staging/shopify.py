@@ -23,13 +23,14 @@ REFUND_TXN_FIELDS = ("kind", "status", "amount", "reason")
 def orders(raw: DataFrame, params: Params, overrides: Overrides = {}) -> DataFrame:
     """Orders without test orders and without those before the earliest date.
 
-    Campaign tags come out of the note attributes inside the row, so no shuffle is needed.
+    Campaign tags come out of the note attributes inside the row, so no shuffle is needed. The
+    attributes are parsed in a step of their own, once for all five tags.
     """
     src = partial(source_col, overrides, "shopify.orders")
     keep = (~F.coalesce(F.col("test"), F.lit(False))) & (
         stamp("created_at").cast("date") >= F.lit(params.min_order_date).cast("date")
     )
-    attrs = json_items("note_attributes", ("name", "value"))
+    parsed = raw.filter(keep).withColumn("_attrs", json_items("note_attributes", ("name", "value")))
     discounts = json_items("discount_codes", ("code",))
     cols = {
         "order_id": text(src("order_id", "id")),
@@ -56,7 +57,7 @@ def orders(raw: DataFrame, params: Params, overrides: Overrides = {}) -> DataFra
         "landing_page_url": text("landing_site"),
         "referrer_url": text("landing_site_ref"),
         "cart_id": text("cart_token"),
-        **pivot_items(attrs, "name", "value", UTM_KEYS),
+        **pivot_items(F.col("_attrs"), "name", "value", UTM_KEYS),
         "device_category": C.device_category(text(src("browser_width", "client_details_browser_width"))),
         "user_agent": text(src("user_agent", "client_details_user_agent")),
         "ip_address_hash": pii_hash("browser_ip", params),
@@ -71,7 +72,7 @@ def orders(raw: DataFrame, params: Params, overrides: Overrides = {}) -> DataFra
         "billing_country_code": text(src("billing_country_code", "billing_address_country_code")),
     }
     return project(
-        raw.filter(keep), cols, params, table="shopify.orders", record_id="order_id",
+        parsed, cols, params, table="shopify.orders", record_id="order_id",
         business=["order_id", "updated_at"], extracted_at=F.col("updated_at"),
     )
 
