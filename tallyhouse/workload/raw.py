@@ -8,7 +8,6 @@ calendar covers; payload columns are written as JSON text, some of it broken on
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator, Mapping
 from datetime import date
 from functools import lru_cache
 
@@ -306,21 +305,3 @@ def duck_sql(text: str) -> str:
     for table in BASE:
         text = text.replace("{" + table + "}", table)
     return text
-
-
-class RawTables(Mapping):
-    """Raw tables of one scale folder, derived on first use."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str, texts: Mapping[str, str]) -> None:
-        self._spark, self._dir, self._texts, self._made = spark, sf_dir, texts, {}
-
-    def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._made:
-            self._made[name] = spark_sql(self._spark, self._dir, self._texts[name])
-        return self._made[name]
-
-    def __iter__(self) -> Iterator[str]:
-        return iter(self._texts)
-
-    def __len__(self) -> int:
-        return len(self._texts)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -16,7 +16,7 @@ from tallyhouse.plans.dims import product_snapshot_base
 from tallyhouse.plans.warehouse import Warehouse, shared_saver
 from tallyhouse.sources.seeds import channel_mapping, us_holidays
 from tallyhouse.workload.oracle import with_models
-from tallyhouse.workload.raw import PARAMS, SEEDS, SQL, RawTables, read_base, spark_sql
+from tallyhouse.workload.raw import PARAMS, SEEDS, SQL, read_base, spark_sql
 
 # Column kinds: how each side is brought to one comparable form.
 SPARK_FORM: dict[str, Callable[[Column], Column]] = {
@@ -62,14 +62,39 @@ class Query:
         return with_models(f"select {cols} from {source} q", dict(self.extra))
 
 
+class Lazy(Mapping):
+    """Frames by name, each made on first use."""
+
+    def __init__(self, makers: Mapping[str, Callable[[], DataFrame]]) -> None:
+        self._makers, self._made = makers, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __contains__(self, name: object) -> bool:
+        return name in self._makers
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
 class Lab:
     """One session and scale folder: given tables, raw tables, seeds and the warehouse on them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.dir = tune(spark), sf_dir
-        self.raw = RawTables(spark, sf_dir, SQL)
-        self._seeds = RawTables(spark, sf_dir, SEEDS)
-        self._stored_seeds: dict[str, DataFrame] = {}
+        self.raw = Lazy({n: (lambda t=t: self.sql(t)) for n, t in SQL.items()})
+        derived = {n: (lambda n=n, t=t: stored(self.sql(t), f"seed_{n}")) for n, t in SEEDS.items()}
+        self._seeds = Lazy({
+            **derived,
+            "channel_mapping": lambda: channel_mapping(spark),
+            "holidays": lambda: us_holidays(spark, 2015, 2031),
+        })
         self._warehouse: Warehouse | None = None
 
     def table(self, name: str) -> DataFrame:
@@ -78,19 +103,15 @@ class Lab:
     def sql(self, text: str) -> DataFrame:
         return spark_sql(self.spark, self.dir, text)
 
-    def seeds(self) -> dict[str, DataFrame]:
+    def seeds(self) -> Mapping[str, DataFrame]:
         """Reference tables, stored like the CSV files they stand for."""
-        if not self._stored_seeds:
-            self._stored_seeds = {name: stored(self._seeds[name], f"seed_{name}") for name in SEEDS}
-            self._stored_seeds["channel_mapping"] = channel_mapping(self.spark)
-            self._stored_seeds["holidays"] = us_holidays(self.spark, 2015, 2031)
-        return self._stored_seeds
+        return self._seeds
 
     def warehouse(self) -> Warehouse:
         """The warehouse under the driver settings."""
         if self._warehouse is None:
             w = Warehouse(self.spark, self.raw, self.seeds(), PARAMS, save=shared_saver())
-            w.history = {"snap_product": self.first_product_versions(w)}
+            w.history = Lazy({"snap_product": lambda: self.first_product_versions(w)})
             self._warehouse = w
         return self._warehouse
 
