@@ -250,7 +250,7 @@ register(
     "select d.*, case d.shopify_customer_id::int % 30 when 0 then 'vip| B2B' when 1 then 'Wholesale' when 2 then 'reseller' end as tags from o_dim_customer d",
 )
 register(
-    "dim_product", "DIM-3 SCD-3 SCD-4 PRJ-10",
+    "dim_product", "DIM-3 SCD-3 SCD-4 PRJ-10 JN-17",
     "product_sk s, sku s, variant_id s, product_title s=p_name, display_name s, category s, vendor s=p_brand, unit_cost d, tags j=if(k % 2 = 0; 'a|b'; ''), valid_from t, valid_to t, is_current b=valid_to is null",
     lambda w: w["dim_product"], "o_dim_product",
 )
@@ -360,3 +360,10 @@ register(
     "select i.*, d.category as cat, d.display_name as title, case when s_suppkey is null then null when s_suppkey % 5 = 0 then '3pl' when s_suppkey % 4 = 0 then 'store' else 'warehouse' end as kind from o_inventory i"
     " left join o_dim_product d on d.product_sk = i.product_sk left join supplier on s_suppkey::varchar = i.place",
 )
+register(
+    "dim_product_backdated", "SCD-5",
+    "variant_id s, valid_from t=if(valid_to is null; timestamp '2018-06-01'; valid_from), valid_to t, product_sk s",
+    lambda w: dims.dim_product(
+        w["snap_product"], w.warehouse().seeds["product_category_mapping"], replace(PARAMS, backdate_products=True)),
+    "o_dim_product",
+)
