@@ -44,8 +44,8 @@ def run_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.array([len(w) for w in marked])
     left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(chars))  # characters up to the word's end
     word = np.repeat(np.arange(len(words)), sizes)
-    rows, owners, value = [], [], np.zeros(len(chars), dtype=np.uint64)
-    for n in range(1, max(RUNS) + 1):
+    rows, owners, value = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], np.zeros(len(chars), dtype=np.uint64)
+    for n in range(1, min(max(RUNS), len(chars)) + 1):
         value[: len(chars) - n + 1] = value[: len(chars) - n + 1] * np.uint64(1_000_003) + chars[n - 1 :]
         if n in RUNS:
             whole = left >= n

@@ -127,7 +127,7 @@ def judged(stats: DataFrame) -> DataFrame:
         rows = rows.withColumns({"open": F.when(deep, F.col("alike")).otherwise(F.col("open")), "group": F.when(deep & F.col("alike"), at).otherwise(F.col("group"))}).drop("alike")
     rows = keep(rows, "groups")
     groups = rows.groupBy("host", "group").agg(*[F.sum(c).alias(c) for c in ("good", "known", "pages")])
-    general = groups.agg(F.coalesce(F.sum("good") / F.sum("known"), F.lit(1.0))).first()[0]  # one number; without labels all is allowed
+    general = groups.agg(F.coalesce(F.try_divide(F.sum("good"), F.sum("known")), F.lit(1.0))).first()[0]  # one number; without labels all is allowed
     verdicts = groups.withColumn("purity", smoothed(F.col("good"), F.col("known"), F.col("pages"), float(general)))
     return rows.join(verdicts.select("host", "group", "purity"), ["host", "group"]).select("host", "parts", name_of(F.col("group")).alias("template"), "purity")
 
