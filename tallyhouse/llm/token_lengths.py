@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import by_batch, running_totals, text_of
+from tallyhouse.llm.common import by_batch, keep, running_totals, text_of
 from tallyhouse.llm.tokens import MODEL, RANKS, encoder
 
 LENGTHS_PER_RANGE = 4096
@@ -38,8 +38,9 @@ def suffix_sums(histogram: DataFrame) -> DataFrame:
     ``documents_from`` and ``tokens_from`` cover lengths of ``n_tokens`` and more, ``truncated``
     is the corpus total when every text is cut at ``n_tokens`` ids, ``documents_to`` counts the
     texts that fit. Between two lengths of the table all of them follow from the next longer row.
+    The histogram is stored first, as it is read several times.
     """
-    sized = histogram.select("n_tokens", "documents", (F.col("n_tokens") * F.col("documents")).alias("tokens"))
+    sized = keep(histogram.select("n_tokens", "documents", (F.col("n_tokens") * F.col("documents")).alias("tokens")), "lengths")
     above = running_totals(sized, "n_tokens", {"documents": "documents_above", "tokens": "tokens_above"}, LENGTHS_PER_RANGE, descending=True)
     both = running_totals(above, "n_tokens", {"documents": "documents_below", "tokens": "tokens_below"}, LENGTHS_PER_RANGE)
     return both.select(
