@@ -16,6 +16,18 @@ def pii_hash(col: Column | str, params: Params) -> Column:
     return F.sha2(F.concat(F.lit(params.pii_salt), F.lower(F.trim(col))), 256)
 
 
+def phone_hash(col: Column | str, params: Params) -> Column:
+    """Hash of a phone number as given, or of its digits and plus sign, so that its spelling does not matter.
+
+    In the second form a value without a digit is NULL.
+    """
+    if params.phone_format == "as_given":
+        return pii_hash(col, params)
+    col = (F.col(col) if isinstance(col, str) else col).cast("string")
+    bare = F.regexp_replace(col, "[^0-9+]", "")
+    return pii_hash(F.when(bare.rlike("[0-9]"), bare), params)
+
+
 def pii_null(col: Column | str, params: Params) -> Column:
     """NULL while masking is on; the value itself when it is off."""
     col = (F.col(col) if isinstance(col, str) else col).cast("string")

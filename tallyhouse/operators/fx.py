@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.intervals import to_intervals
-from tallyhouse.operators.sizing import lookup_side
 
 RATE = "decimal(18,8)"
 
@@ -28,8 +27,8 @@ def with_fx_rate(
 
     Closed intervals become one row per (currency, day) and the open last interval one row per
     currency, so each fact does two hash probes instead of testing every interval of its
-    currency. The table of days holds currencies x days of rate history; it is counted before
-    it is broadcast. The reporting currency itself is 1; anything else unknown is NULL.
+    currency. The table of days holds currencies x days of rate history; whether it is broadcast
+    is left to the planner's statistics. The reporting currency itself is 1; anything else unknown is NULL.
     """
     spans = rate_intervals(rates, reporting_currency)
     daily = spans.filter(F.col("valid_to") > F.col("valid_from")).select(
@@ -43,7 +42,7 @@ def with_fx_rate(
     code = F.upper(F.col(currency))
     joined = (
         facts.withColumns({"_code": code, "_on": F.col(on).cast("date")})
-        .join(lookup_side(daily), (F.col("_code") == F.col("_cur_d")) & (F.col("_on") == F.col("_day")), "left")
+        .join(daily, (F.col("_code") == F.col("_cur_d")) & (F.col("_on") == F.col("_day")), "left")
         .join(latest, (F.col("_code") == F.col("_cur_l")) & (F.col("_on") >= F.col("_from")), "left")
     )
     same = F.when(F.col("_code") == reporting_currency, F.lit(1).cast(RATE))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -17,8 +18,17 @@ def _private_folder(application: str) -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is set (tests)."""
-    return spark.conf.get(SETTING, None) or _private_folder(spark.sparkContext.applicationId)
+    """The shared folder the cluster names.
+
+    Where none is set, a session that runs in one process gets a temporary folder; on a cluster
+    that is an error, as each machine would write to its own disk.
+    """
+    folder = spark.conf.get(SETTING, None)
+    if folder:
+        return folder
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError(f"{SETTING} is not set: it must name a folder that driver and executors share")
+    return _private_folder(spark.sparkContext.applicationId)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -33,6 +33,7 @@ class Params:
     reporting_timezone: str = "Africa/Nairobi"
     pii_masking: bool = True
     pii_salt: str = ""
+    phone_format: str = "as_given"  # as_given | digits: what of a phone number is hashed
     min_order_date: str = "2020-01-01"
     fiscal_year_start_month: int = 1
     holiday_country: str = "US"
@@ -51,6 +52,8 @@ class Params:
             raise ValueError(f"unknown snapshot_mode: {self.snapshot_mode}")
         if self.sale_quantity not in ("net", "gross"):
             raise ValueError(f"unknown sale_quantity: {self.sale_quantity}")
+        if self.phone_format not in ("as_given", "digits"):
+            raise ValueError(f"unknown phone_format: {self.phone_format}")
         if not 1 <= self.fiscal_year_start_month <= 12:
             raise ValueError("fiscal_year_start_month must be 1..12")
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import classify as C
-from tallyhouse.functions.pii import pii_hash
+from tallyhouse.functions.pii import phone_hash, pii_hash
 from tallyhouse.params import Params
 from tallyhouse.plans.staging.common import project, stamp, text
 from tallyhouse.sources.mapping import Overrides, source_col
@@ -51,7 +51,7 @@ def profiles(raw: DataFrame, params: Params, overrides: Overrides = {}) -> DataF
     cols = {
         "klaviyo_profile_id": text("id"),
         "customer_email_hash": pii_hash("email", params),
-        "phone_hash": pii_hash("phone_number", params),
+        "phone_hash": phone_hash("phone_number", params),
         "first_name_hash": pii_hash("first_name", params),
         "last_name_hash": pii_hash("last_name", params),
         "email_subscribed": email,

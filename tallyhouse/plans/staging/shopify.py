@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyhouse.functions import classify as C
 from tallyhouse.functions.dates import local_date
 from tallyhouse.functions.json_ops import json_items, pivot_items, sum_items
-from tallyhouse.functions.pii import loose_name_key, pii_hash
+from tallyhouse.functions.pii import loose_name_key, phone_hash, pii_hash
 from tallyhouse.params import Params
 from tallyhouse.plans.staging.common import flag, money, project, stamp, text
 from tallyhouse.sources.mapping import Overrides, source_col
@@ -118,7 +118,7 @@ def customers(raw: DataFrame, params: Params, overrides: Overrides = {}) -> Data
     cols = {
         "shopify_customer_id": text(src("customer_id", "id")),
         "customer_email_hash": pii_hash(src("customer_email", "email"), params),
-        "phone_hash": pii_hash("phone", params),
+        "phone_hash": phone_hash("phone", params),
         "first_name_hash": pii_hash("first_name", params),
         "last_name_hash": pii_hash("last_name", params),
         "name_address_key": loose_name_key(text("first_name"), text("last_name"), postal, params),

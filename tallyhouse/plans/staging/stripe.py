@@ -7,7 +7,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.pii import pii_hash
+from tallyhouse.functions.pii import phone_hash, pii_hash
 from tallyhouse.params import Params
 from tallyhouse.plans.staging.common import cents, epoch, flag, project, text
 from tallyhouse.sources.mapping import Overrides, source_col
@@ -44,7 +44,7 @@ def customers(raw: DataFrame, params: Params, overrides: Overrides = {}) -> Data
     cols = {
         "stripe_customer_id": text("id"),
         "customer_email_hash": pii_hash("email", params),
-        "phone_hash": pii_hash("phone", params),
+        "phone_hash": phone_hash("phone", params),
         "name_hash": pii_hash("name", params),
         "is_delinquent": flag("delinquent", False),
         "is_live": flag("livemode", True),

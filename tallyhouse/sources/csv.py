@@ -32,20 +32,27 @@ def coerce(df: DataFrame, schema: T.StructType) -> DataFrame:
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType, trim: bool = False, multi_line: bool = False) -> DataFrame:
     """Header-matched scan: columns are found by name, in any order, missing ones are NULL.
 
-    The header is read once to line names up with the schema; columns the schema does not know
-    are ignored. Quotes are optional, blank lines skipped, and a malformed line aborts the read.
+    Files may name their columns in different orders: each file's header is read, files with the
+    same header are scanned together, and every scan is lined up with the schema by name. Columns
+    the schema does not know are ignored. Quotes are optional, blank lines skipped, and a malformed line aborts the read.
     Set ``multi_line`` only for files with line breaks inside quotes: such files cannot be split.
     """
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
     reader = reader.option("mode", "FAILFAST").option("ignoreLeadingWhiteSpace", trim).option("ignoreTrailingWhiteSpace", trim)
-    header = reader.csv(path).columns
-    text = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in header])).csv(path)
-    found = {c.strip().lower(): c for c in header}
-    by_name = [
-        (F.col(f"`{found[f.name.lower()]}`") if f.name.lower() in found else F.lit(None).cast("string")).alias(f.name)
-        for f in schema.fields
-    ]
-    return coerce(text.select(*by_name), schema)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(spark.read.text(path).inputFiles()):
+        by_header.setdefault(tuple(reader.csv(file).columns), []).append(file)
+
+    def scan(header: tuple[str, ...], files: list[str]) -> DataFrame:
+        text = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in header])).csv(files)
+        found = {c.strip().lower(): c for c in header}
+        return text.select(*[
+            (F.col(f"`{found[f.name.lower()]}`") if f.name.lower() in found else F.lit(None).cast("string")).alias(f.name)
+            for f in schema.fields
+        ])
+
+    scans = [scan(header, files) for header, files in by_header.items()] or [spark.createDataFrame([], _as_text(schema))]
+    return coerce(reduce(DataFrame.union, scans), schema)
 
 
 def scan_csv_positional(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 Overrides = Mapping[str, Mapping[str, str]]
 
+# Fields that are no column of their own and the column their value map reads.
+DERIVED = {"order_status": "financial_status"}
+
 
 def source_col(overrides: Overrides, table: str, name: str, default: str) -> Column:
     """The column that feeds a field: its default, or the override given for the table.
@@ -31,6 +34,7 @@ class TableMapping:
     optional: tuple[str, ...] = ()
     fields: Mapping[str, str] = field(default_factory=dict)
     value_maps: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
+    value_sources: Mapping[str, str] = field(default_factory=dict)
     clean_text: tuple[str, ...] = ()
     exclude_test: bool = True
     exclude_archived: bool = False
@@ -45,6 +49,7 @@ class TableMapping:
             optional=tuple(doc.get("optional_fields", ())),
             fields=dict(doc.get("field_mappings", {})),
             value_maps={k: v["map_values"] for k, v in rules.items() if isinstance(v, Mapping) and "map_values" in v},
+            value_sources={k: v["source"] for k, v in rules.items() if isinstance(v, Mapping) and "source" in v},
             clean_text=tuple(k for k, v in rules.items() if isinstance(v, list)),
             exclude_test=filters.get("exclude_test_orders", True),
             exclude_archived=filters.get("exclude_archived", False),
@@ -80,7 +85,9 @@ def apply_mapping(df: DataFrame, mapping: TableMapping) -> DataFrame:
     kept = [c for c in df.columns if c not in mapping.fields.values() and c not in mapping.fields]
     out = df.select(*mapped, *kept)
     for target, values in mapping.value_maps.items():
-        source = target if target in out.columns else "financial_status"
+        source = mapping.value_sources.get(target) or (target if target in out.columns else DERIVED.get(target))
+        if source not in out.columns:
+            raise ValueError(f"value map of {target} has no source column")
         lookup = F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
         out = out.withColumn(target, F.coalesce(F.try_element_at(lookup, F.col(source)), F.lit("unknown")))
     return out

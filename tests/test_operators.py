@@ -15,7 +15,6 @@ from tallyhouse.operators.fx import with_fx_rate
 from tallyhouse.operators.intervals import overlapping_versions, point_in_time_join, to_intervals, to_intervals_skewed
 from tallyhouse.operators.lookup import lookup_with_wildcard
 from tallyhouse.operators.scd2 import backdate_current, greatest_or_null, scd2_merge, scd2_start
-from tallyhouse.operators.sizing import lookup_side
 from tallyhouse.operators.upsert import cutoff, since_cutoff, upsert
 from tallyhouse.params import Params
 from tallyhouse.plans import dims, kpis
@@ -100,15 +99,6 @@ def test_wildcard_lookup(spark):
     assert rows(without, "key") == [(None, None), ("x", "one"), ("y", None)]
 
 
-def test_lookup_side_checks_the_bound(spark):
-    small = lookup_side(spark.range(10), max_rows=10)
-    big = lookup_side(spark.range(11), max_rows=10)
-    facts = spark.range(100)
-    strategy = lambda side: facts.join(side, "id", "left")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in strategy(small) and "SortMergeJoin" in strategy(big)
-
-
-# ---- History ------------------------------------------------------------------------------
 def test_scd2_check(spark):
     schema = "k string, a string, b int"
     history = scd2_start(spark.createDataFrame([("same", "x", 1), ("changed", "x", 1), ("filled", None, 1), ("gone", "x", 1)], schema), "k", now=F.lit("2024-01-01"))
