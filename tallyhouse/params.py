@@ -43,6 +43,8 @@ class Params:
     snapshot_mode: str = "today"  # today | month_end | daily
     backdate_products: bool = False
     backdate_customers: bool = False
+    link_customers: bool = False  # orders find customers through merged storefront ids too
+    return_units: str = "order"  # order | refund_line: what a return movement counts
     sale_quantity: str = "net"  # net | gross units on sale movements
     run_id: str = "manual"
     lookback_days: Mapping[str, int] = field(default_factory=lambda: dict(LOOKBACK_DAYS))
@@ -52,6 +54,8 @@ class Params:
             raise ValueError(f"unknown snapshot_mode: {self.snapshot_mode}")
         if self.sale_quantity not in ("net", "gross"):
             raise ValueError(f"unknown sale_quantity: {self.sale_quantity}")
+        if self.return_units not in ("order", "refund_line"):
+            raise ValueError(f"unknown return_units: {self.return_units}")
         if self.phone_format not in ("as_given", "digits"):
             raise ValueError(f"unknown phone_format: {self.phone_format}")
         if not 1 <= self.fiscal_year_start_month <= 12:

@@ -71,10 +71,13 @@ def charge_payment_methods(charges: DataFrame, payment_methods: DataFrame) -> Da
 def fact_orders(
     enriched: DataFrame, refunds: DataFrame, charges: DataFrame, *, dim_customer: DataFrame,
     dim_channel: DataFrame, dim_geography: DataFrame, dim_payment_method: DataFrame, fx_rates: DataFrame,
-    channel_mapping: DataFrame, params: Params, existing: DataFrame | None = None,
+    channel_mapping: DataFrame, params: Params, existing: DataFrame | None = None, links: DataFrame | None = None,
 ) -> DataFrame:
     """One row per order in reporting currency, with its dimension keys and attribution.
 
+    With ``links`` (``customer_links``) an order finds its customer through every storefront id
+    that was merged into that customer, not only through the newest one.
+
     ``enriched`` are the staged orders with their line counts and first/repeat flags.
 
     Everything keyed by order id joins first, so those joins share one partitioning of the
@@ -87,8 +90,12 @@ def fact_orders(
     )
     df = with_fx_rate(df, fx_rates, currency="original_currency_code", on="order_date",
                       reporting_currency=params.reporting_currency)
+    key = "shopify_customer_id"
+    if links is not None:
+        known = links.filter(F.col("source_system") == "shopify").select(F.col("source_id").alias(key), F.col("customer_id").alias("_linked"))
+        df = df.join(known, key, "left")
     df = point_in_time_join(
-        df, dim_customer, fact_key="shopify_customer_id", version_key="shopify_customer_id", at="order_timestamp",
+        df, dim_customer, fact_key=key if links is None else "_linked", version_key=key if links is None else "customer_id", at="order_timestamp",
         take={"customer_sk": "customer_sk", "customer_id": "customer_id"},
     )
     df = df.withColumn("_traffic", C.order_traffic_key(F.col("utm_source"), F.col("utm_medium"), F.col("source_name")))
@@ -435,9 +442,14 @@ def fact_customer_state_daily(orders: DataFrame, dim_customer: DataFrame, params
 
 # ---- Inventory ----------------------------------------------------------------------------
 def fact_inventory_movements(
-    order_lines: DataFrame, orders: DataFrame, refunds: DataFrame, params: Params, existing: DataFrame | None = None
+    order_lines: DataFrame, orders: DataFrame, refunds: DataFrame, params: Params, existing: DataFrame | None = None,
+    refund_lines: DataFrame | None = None,
 ) -> DataFrame:
-    """Sales (negative) and returns (positive) per line. Returns follow every refund of the order."""
+    """Sales (negative) and returns (positive) per line.
+
+    Returns follow every refund of the order; with ``refund_lines``, the staged refunds, they are
+    the units that each refund's payload names for a line, so no unit comes back twice.
+    """
     start = cutoff(existing, "movement_date", params.lookback_days["fact_inventory_movements"])
     lines = order_lines.select("line_item_id", "order_id", "product_sk", "sku", "quantity", "refunded_quantity", "unit_cost")
     kept = F.col("quantity") - F.col("refunded_quantity")
@@ -462,9 +474,16 @@ def fact_inventory_movements(
         ),
         "order_id",
     )
+    back = F.col("refunded_quantity")
+    if refund_lines is not None:
+        item = refund_lines.select("refund_id", F.explode("refund_line_items").alias("i")).filter(F.col("i.line_item_id").isNotNull())
+        units = item.groupBy("refund_id", F.col("i.line_item_id").alias("line_item_id")).agg(F.sum(F.col("i.quantity").try_cast("decimal(18,2)")).alias("units"))
+        recent = refunds.filter(F.col("refund_date") >= start).select("order_id", "refund_id", "refund_date", "refund_timestamp", "refund_reason", "_extracted_at")
+        returned = lines.join(recent.join(units, "refund_id"), ["order_id", "line_item_id"]).filter(F.col("units") != 0)
+        back = F.col("units")
     both = shape(sales, F.concat(F.lit("sale_"), "line_item_id"), "sale", "order_date", "order_timestamp", sold, -1, C.null_as("string")).unionByName(
         shape(returned, F.concat(F.lit("return_"), "refund_id", F.lit("_"), "line_item_id"), "return", "refund_date", "refund_timestamp",
-              F.col("refunded_quantity"), 1, F.col("refund_reason"))
+              back, 1, F.col("refund_reason"))
     )
     out = both.select(surrogate_key(["movement_id"]).alias("movement_sk"), "*", F.lit(params.as_of).cast("timestamp").alias("loaded_at"))
     return with_audit(out, params, model="fact_inventory_movements", source_system="shopify", record_id="movement_id",

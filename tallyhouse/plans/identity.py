@@ -96,6 +96,11 @@ def identity_links(records: DataFrame) -> DataFrame:
     return known.unionByName(tier3)
 
 
+def customer_links(records: DataFrame) -> DataFrame:
+    """``source_system``, ``source_id``, ``customer_id`` and match ``tier`` of every source record, merged ones included."""
+    return identity_links(records).select("source_system", "source_id", "customer_id", F.col("_tier").alias("tier"))
+
+
 def resolve_identity(records: DataFrame, let_shopify_win: bool = False) -> DataFrame:
     """One row per customer: ids per source, profile, consent, match method, sources.
 

@@ -13,7 +13,7 @@ from tallyhouse.operators.upsert import replace_table, upsert_table
 from tallyhouse.operators.scd2 import backdate_current, scd2_merge, scd2_start
 from tallyhouse.params import Params
 from tallyhouse.plans import dims, facts, marts
-from tallyhouse.plans.identity import identity_records, resolve_identity
+from tallyhouse.plans.identity import customer_links, identity_records, resolve_identity
 from tallyhouse.plans.sessions import enrich_orders, sessionize
 from tallyhouse.plans.staging import STAGES
 from tallyhouse.sources.mapping import Overrides
@@ -138,7 +138,8 @@ def _fact_orders(w: Warehouse) -> DataFrame:
         w["int_orders_enriched"], w["stg_shopify__refunds"], w["stg_stripe__charges"],
         dim_customer=w["dim_customer"], dim_channel=w["dim_channel"], dim_geography=w["dim_geography"],
         dim_payment_method=w["dim_payment_method"], fx_rates=w.seeds["fx_rates"],
-        channel_mapping=w.seeds["channel_mapping"], params=w.params, existing=w.existing.get("fact_orders"))
+        channel_mapping=w.seeds["channel_mapping"], params=w.params, existing=w.existing.get("fact_orders"),
+        links=w["int_customer_links"] if w.params.link_customers else None)
 
 
 def _fact_inventory_snapshot(w: Warehouse) -> DataFrame:
@@ -160,6 +161,7 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "dim_warehouse_location": lambda w: dims.dim_warehouse_location(w["stg_shopify__locations"], w.params),
     "int_customer_records": lambda w: identity_records(
         w["stg_shopify__customers"], w["stg_stripe__customers"], w["stg_klaviyo__profiles"]),
+    "int_customer_links": lambda w: customer_links(w["int_customer_records"]),
     "int_customer_identity": lambda w: resolve_identity(w["int_customer_records"]),
     "snap_customer": _snap_customer,
     "snap_product": lambda w: w.snapshot(
@@ -181,7 +183,8 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
         w["stg_shopify__refunds"], w["fact_orders"], w["stg_stripe__charges"], w["stg_stripe__refunds"], w.params,
         w.existing.get("fact_refunds")),
     "fact_inventory_movements": lambda w: facts.fact_inventory_movements(
-        w["fact_order_lines"], w["fact_orders"], w["fact_refunds"], w.params, w.existing.get("fact_inventory_movements")),
+        w["fact_order_lines"], w["fact_orders"], w["fact_refunds"], w.params, w.existing.get("fact_inventory_movements"),
+        w["stg_shopify__refunds"] if w.params.return_units == "refund_line" else None),
     "fact_inventory_snapshot": _fact_inventory_snapshot,
     "fact_customer_state_daily": lambda w: facts.fact_customer_state_daily(w["fact_orders"], w["dim_customer"], w.params),
     "fact_marketing_spend": lambda w: facts.fact_marketing_spend(
