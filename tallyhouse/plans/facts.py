@@ -521,30 +521,50 @@ def average_daily_units(order_lines: DataFrame, days: DataFrame) -> DataFrame:
     return totals.select("sku", "snapshot_date", (F.col("units_28d").cast("double") / 28.0).alias("avg_daily_units_28d"))
 
 
-def inventory_positions(
-    levels: DataFrame, items: DataFrame, days: DataFrame, params: Params, *, movements: DataFrame | None = None,
+def by_snapshot(df: DataFrame, value: str) -> DataFrame:
+    """One row per SKU with a map from snapshot day to ``value``; as long as the list of snapshots at most."""
+    return df.groupBy("sku").agg(F.map_from_entries(F.collect_list(F.struct("snapshot_date", value))).alias(value))
+
+
+def stock_by_day(
+    levels: DataFrame, items: DataFrame, days: DataFrame, params: Params, *, units: DataFrame, movements: DataFrame | None = None,
     daily_feed: DataFrame | None = None,
 ) -> DataFrame:
-    """Stock per (item, location, day): today's level, rebuilt month-ends, or the daily feed."""
+    """Stock per (item, location): today's level, rebuilt month-ends, or a row of the daily feed.
+
+    The days lie in the array ``_days`` of day, stock and daily units, so that what follows joins
+    items, not items times days, and explodes last.
+    """
     costs = items.select("inventory_item_id", "sku", "unit_cost")
+    columns = ["inventory_item_id", "location_id", "sku", "unit_cost", "quantity_incoming", "_extracted_at"]
+    stock = F.col("quantity_available").cast("decimal(18,2)")
     if params.snapshot_mode == "daily":
-        return daily_feed.join(costs, "inventory_item_id", "left").select(
-            "inventory_item_id", "location_id", "sku", "unit_cost", "quantity_incoming", "_extracted_at", "snapshot_date",
-            F.col("quantity_available").cast("decimal(18,2)").alias("quantity_available"),
-        )
+        fed = daily_feed.join(costs, "inventory_item_id", "left").join(units, ["sku", "snapshot_date"], "left")
+        return fed.select(*columns, F.array(F.struct("snapshot_date", stock.alias("quantity_available"), "avg_daily_units_28d")).alias("_days"))
     listed = days.agg(F.collect_set("snapshot_date")).scalar()
-    base = levels.join(costs, "inventory_item_id", "left").select(
-        "inventory_item_id", "location_id", "sku", "unit_cost", "quantity_incoming", "_extracted_at", "quantity_available",
-        F.explode(listed).alias("snapshot_date"),
-    )
-    stock = F.col("quantity_available").cast("decimal(18,2)")
-    if params.snapshot_mode == "today":
-        return base.withColumn("quantity_available", stock)
-    rebuilt = base.join(movements_after(movements, days), ["sku", "snapshot_date"], "left")
-    then = (stock - F.coalesce("qty_after", F.lit(0))).cast("decimal(18,2)")
-    floor = F.lit(0).cast("decimal(18,2)")
-    # NULL stock stays NULL: greatest() alone would turn it into 0.
-    return rebuilt.withColumn("quantity_available", F.when(then.isNotNull(), F.greatest(floor, then))).drop("qty_after")
+    base = levels.join(costs, "inventory_item_id", "left").join(by_snapshot(units, "avg_daily_units_28d"), "sku", "left")
+    if params.snapshot_mode == "month_end":
+        base = base.join(by_snapshot(movements_after(movements, days), "qty_after"), "sku", "left")
+
+    def on(day: Column) -> Column:
+        then = stock
+        if params.snapshot_mode == "month_end":
+            then = (stock - F.coalesce(F.try_element_at("qty_after", day), F.lit(0))).cast("decimal(18,2)")
+            # NULL stock stays NULL: greatest() alone would turn it into 0.
+            then = F.when(then.isNotNull(), F.greatest(F.lit(0).cast("decimal(18,2)"), then))
+        return F.struct(day.alias("snapshot_date"), then.alias("quantity_available"), F.try_element_at("avg_daily_units_28d", day).alias("avg_daily_units_28d"))
+
+    return base.withColumn("_listed", listed).select(*columns, F.transform("_listed", on).alias("_days"))
+
+
+def inventory_positions(
+    levels: DataFrame, items: DataFrame, days: DataFrame, params: Params, *, movements: DataFrame | None = None,
+    daily_feed: DataFrame | None = None,
+) -> DataFrame:
+    """``stock_by_day`` as one row per (item, location, day), without units."""
+    none = levels.sparkSession.createDataFrame([], "sku string, snapshot_date date, avg_daily_units_28d double")
+    by_day = stock_by_day(levels, items, days, params, units=none, movements=movements, daily_feed=daily_feed)
+    return by_day.select("*", F.inline("_days")).drop("_days", "avg_daily_units_28d")
 
 
 def days_of_supply(available: Column, daily_units: Column) -> Column:
@@ -562,14 +582,12 @@ def fact_inventory_snapshot(
         days = daily_feed.select("snapshot_date").distinct()
     else:
         days = snapshot_days(params.snapshot_mode, order_lines, as_of, "order_date")
-    pos = inventory_positions(levels, items, days, params, movements=movements, daily_feed=daily_feed)
+    units = average_daily_units(order_lines, days)
+    pos = stock_by_day(levels, items, days, params, units=units, movements=movements, daily_feed=daily_feed)
     products = dim_product.filter("is_current").select("sku", "product_sk")
     places = dim_warehouse_location.select("location_id", "location_sk")
-    df = (
-        pos.join(average_daily_units(order_lines, days), ["sku", "snapshot_date"], "left")
-        .join(products, "sku", "left")
-        .join(places, "location_id", "left")
-    )
+    named = pos.join(products, "sku", "left").join(places, "location_id", "left")
+    df = named.select("*", F.inline("_days")).drop("_days")
     qty, cost = F.col("quantity_available"), F.col("unit_cost")
     out = df.select(
         surrogate_key(["inventory_item_id", "location_id", "snapshot_date"]).alias("inventory_snapshot_sk"),
