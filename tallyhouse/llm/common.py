@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -14,6 +15,7 @@ from tallyhouse.operators.stored import shared_folder
 # White space of the word rule, as the inside of a character class.
 BLANKS = r"\x20\x09-\x0D"
 ROWS_PER_BATCH = 256
+PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,7 +34,15 @@ def keep(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch holds, so that long texts do not add up in a worker."""
+    """Bound what one Arrow batch holds, so that long texts do not add up in a worker.
+
+    Workers also get the folder this package was imported from, for sessions that were started
+    without it on their path. Where that folder is not shared, the package has to be installed.
+    """
+    workers = spark.sparkContext.environment
+    known = [x for x in workers.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if PACKAGE_ROOT not in known:
+        workers["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *known])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
