@@ -28,7 +28,7 @@ SIZE = 8  # states per direction
 WIDTH = 16  # of an input vector
 WORD_ROWS, RUN_ROWS = 1 << 14, 1 << 15
 RUNS = (3, 5, 7)  # lengths of character runs, a mark before and after the word included
-SAMPLE_TOXIC, SAMPLE_OTHER, SAMPLE_CHARS = 600, 1800, 8000  # bounds of the training sample
+SAMPLE_TOXIC, SAMPLE_OTHER, SAMPLE_CHARS = 800, 2400, 8000  # bounds of the training sample
 ROUNDS, BATCH, RATE = 8, 512, 0.01
 CALIBRATE = 4  # each so-manieth text of the sample is kept for the last step
 KNOWN_WORDS = 150_000
@@ -219,7 +219,7 @@ def _start(rng: np.random.Generator) -> dict[str, np.ndarray]:
 
     n = SIZE
     return {
-        "words": draw(WORD_ROWS, WIDTH, size=0.1), "runs": draw(RUN_ROWS, WIDTH, size=0.1), "in": draw(WIDTH, 6 * n, size=0.3),
+        "words": draw(WORD_ROWS, WIDTH, size=0.005), "runs": draw(RUN_ROWS, WIDTH, size=0.005), "in": draw(WIDTH, 6 * n, size=0.3),
         "gates": np.zeros(6 * n, np.float32), "fore": draw(n, 3 * n, size=0.3), "back": draw(n, 3 * n, size=0.3),
         "look": draw(2 * n, size=0.3), "out": draw(2 * n, size=0.3), "base": np.zeros(1, np.float32),
     }
