@@ -153,12 +153,27 @@ def run_checks(
 def quarantine(
     df: DataFrame, table: str, checks: Sequence[Check], params: Params, parents: Mapping[str, DataFrame], schema: str
 ) -> list[str]:
-    """Store the failing rows of every check in its own table; returns the table names."""
-    names = []
-    for check in checks:
-        name = f"{schema}.{table}__{check.name}"
-        failing_rows(df, check, parents, params).write.mode("overwrite").format("parquet").saveAsTable(name)
-        names.append(name)
+    """Store what fails; returns the table names.
+
+    Rows that break a condition or a reference go to one table, ``<table>__rows``, once for each
+    check they break: the data is read once and written once, in a folder per check. Keys held
+    more than once and stale maxima have other columns and a small table each.
+    """
+    names, tagged, broken = [], df, []
+    for i, check in enumerate(checks):
+        if isinstance(check, RowCheck):
+            broken.append(F.when(check.bad, F.lit(check.name)))
+        elif isinstance(check, ForeignKey):
+            refs = parents[check.parent].select(F.col(check.parent_column).alias(f"_ref{i}")).distinct()
+            tagged = tagged.join(refs, F.col(check.column) == F.col(f"_ref{i}"), "left")
+            broken.append(F.when(F.col(check.column).isNotNull() & F.col(f"_ref{i}").isNull(), F.lit(check.name)))
+        else:
+            names.append(f"{schema}.{table}__{check.name}")
+            failing_rows(df, check, parents, params).write.mode("overwrite").format("parquet").saveAsTable(names[-1])
+    if broken:
+        rows = tagged.select(*df.columns, F.explode(F.array_compact(F.array(*broken))).alias("check_name"))
+        names.append(f"{schema}.{table}__rows")
+        rows.write.mode("overwrite").format("parquet").partitionBy("check_name").saveAsTable(names[-1])
     return names
 
 

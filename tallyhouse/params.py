@@ -20,6 +20,35 @@ LOOKBACK_DAYS = {
 }
 
 
+@dataclass(frozen=True)
+class B2bRule:
+    """What makes a customer a business: a tag pattern, a company name, or a high average order value."""
+
+    # Tag patterns of business customers.
+    patterns: tuple[str, ...] = ("wholesale", "b2b", "reseller", "trade", "business")
+    company_required: bool = False
+    min_order_amount: float | None = None
+
+
+@dataclass(frozen=True)
+class Rules:
+    """Optional rules of a run; all of them are off by default."""
+
+    b2b: B2bRule | None = None  # None keeps the flag that staging derives
+    drop_bot_sessions: bool = False  # sessions of one event and no duration
+    drop_private_opens: bool = False  # opens fetched ahead by mail privacy proxies
+    email_events: Mapping[str, str] = field(default_factory=dict)  # further raw event name -> event type
+    storefront_consent_wins: bool = False  # over the e-mail system's
+    campaign_name_pattern: str | None = None  # named groups become columns of int_campaign_names
+    insight_level: str = "campaign"  # campaign | ad_set | ad: grain of int_marketing_insights
+    synthetic_orders: bool = False  # orders for paid charges without a storefront order
+    disputes_as_refunds: bool = False  # refunds of type chargeback
+
+    def __post_init__(self) -> None:
+        if self.insight_level not in ("campaign", "ad_set", "ad"):
+            raise ValueError(f"unknown insight_level: {self.insight_level}")
+
+
 @dataclass(frozen=True)
 class Params:
     """One immutable bundle of business settings.
@@ -47,6 +76,7 @@ class Params:
     return_units: str = "order"  # order | refund_line: what a return movement counts
     sale_quantity: str = "net"  # net | gross units on sale movements
     run_id: str = "manual"
+    rules: Rules = field(default_factory=Rules)
     lookback_days: Mapping[str, int] = field(default_factory=lambda: dict(LOOKBACK_DAYS))
 
     def __post_init__(self) -> None:
@@ -58,6 +88,8 @@ class Params:
             raise ValueError(f"unknown return_units: {self.return_units}")
         if self.phone_format not in ("as_given", "digits"):
             raise ValueError(f"unknown phone_format: {self.phone_format}")
+        if self.pii_masking and not self.pii_salt:
+            raise ValueError("masking needs a pii_salt; without one, hashes of known addresses can be looked up")
         if not 1 <= self.fiscal_year_start_month <= 12:
             raise ValueError("fiscal_year_start_month must be 1..12")
 

@@ -101,10 +101,15 @@ def dim_date(spark: SparkSession, params: Params, holidays: DataFrame | None = N
 
 # ---- Type 1 -------------------------------------------------------------------------------
 def dim_channel(channel_mapping: DataFrame, params: Params) -> DataFrame:
-    """Canonical channels out of the mapping rows."""
-    attrs = ["channel_id", "channel_name", "channel_category", "channel_subcategory", "is_paid", "platform", "parent_channel"]
+    """Canonical channels out of the mapping rows, one row each.
+
+    Where rows of a channel differ, as after overrides that give no attributes, those with
+    attributes win, then the greatest.
+    """
+    attrs = ["channel_name", "channel_category", "channel_subcategory", "is_paid", "platform", "parent_channel"]
     category = F.col("channel_category")
-    out = channel_mapping.select(*attrs).distinct().select(
+    rows = channel_mapping.groupBy("channel_id").agg(F.max(F.struct(*attrs)).alias("a")).select("channel_id", "a.*")
+    out = rows.select(
         surrogate_key(["channel_id"]).alias("channel_sk"),
         "channel_id", "channel_name", "channel_category", "channel_subcategory",
         C.channel_type(category).alias("channel_type"),

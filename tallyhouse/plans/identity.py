@@ -152,11 +152,16 @@ def resolve_identity(records: DataFrame, let_shopify_win: bool = False) -> DataF
     )
 
 
+def due_requests(requests: DataFrame, params: Params) -> DataFrame:
+    """``_cid`` of every customer with a request up to ``as_of``, and whether one of them is ``_full``."""
+    return requests.filter(F.col("request_date") <= F.lit(params.as_of)).groupBy(F.col("customer_id").alias("_cid")).agg(
+        F.coalesce(F.bool_or(F.col("scope") == "full_erasure"), F.lit(False)).alias("_full")
+    )
+
+
 def apply_erasure(customers: DataFrame, requests: DataFrame, params: Params) -> DataFrame:
     """Honour erasure requests made up to ``as_of``: full ones null personal data, both revoke consent."""
-    due = requests.filter(F.col("request_date") <= F.lit(params.as_of)).groupBy(F.col("customer_id").alias("_cid")).agg(
-        F.bool_or(F.col("scope") == "full_erasure").alias("_full")
-    )
+    due = due_requests(requests, params)
     personal = ["email_hash", "phone_hash", "first_name_hash", "last_name_hash", "postal_code_hash", "company",
                 "email", "phone", "first_name", "last_name"]
     joined = customers.join(due, F.col("customer_id") == F.col("_cid"), "left")
@@ -165,3 +170,25 @@ def apply_erasure(customers: DataFrame, requests: DataFrame, params: Params) ->
     changes = {c: F.when(~hidden, F.col(c)) for c in personal if c in customers.columns}
     changes |= {c: F.when(revoked, F.lit(False)).otherwise(F.col(c)) for c in CONSENT if c in customers.columns}
     return joined.withColumns(changes).drop("_cid", "_full")
+
+
+# What an order knows about the person who placed it.
+ORDER_PERSONAL = ("customer_email_hash_at_order", "ip_address_hash", "note")
+
+
+def erase_orders(batch: DataFrame, requests: DataFrame, params: Params, stored: DataFrame | None = None) -> DataFrame:
+    """``batch`` without personal data of customers who asked for full erasure.
+
+    Of ``stored``, the orders stored earlier that are not in the batch, those of such customers
+    that still hold personal data come along, erased, so that a merge rewrites them. Later runs
+    find none of them again.
+    """
+    full = due_requests(requests, params).filter("_full").select("_cid")
+    marked = batch.join(full, F.col("customer_id") == F.col("_cid"), "left")
+    out = marked.withColumns({c: F.when(F.col("_cid").isNull(), F.col(c)) for c in ORDER_PERSONAL}).drop("_cid")
+    if stored is None:
+        return out
+    holds = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in ORDER_PERSONAL])
+    old = stored.filter(holds).join(full, F.col("customer_id") == F.col("_cid"), "left_semi")
+    blank = {c: F.lit(None).cast(stored.schema[c].dataType) for c in ORDER_PERSONAL}
+    return out.unionByName(old.withColumns(blank))

@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import classify as C
-from tallyhouse.functions.keys import surrogate_key
+from tallyhouse.functions.keys import surrogate_key, with_audit
+from tallyhouse.operators.fx import with_fx_rate
+from tallyhouse.params import B2bRule, Params
 from tallyhouse.plans.facts import spend_rollup
 
-# Tag patterns of the configurable business-customer rule.
-B2B_PATTERNS = ("wholesale", "b2b", "reseller", "trade", "business")
 GRANULARITY = {
     "campaign": ["campaign_id", "spend_date"],
     "ad_set": ["campaign_id", "ad_set_id", "spend_date"],
@@ -22,7 +22,7 @@ GRANULARITY = {
 
 
 def flag_b2b(
-    customers: DataFrame, patterns: Sequence[str] = B2B_PATTERNS, company_required: bool = False,
+    customers: DataFrame, patterns: Sequence[str] = B2bRule().patterns, company_required: bool = False,
     min_order_amount: float | None = None,
 ) -> DataFrame:
     """Business flag: a tag pattern, a company name when asked for, or a high average order value."""
@@ -109,3 +109,27 @@ def synthetic_orders(charges: DataFrame, channel_id: str = "stripe_direct") -> D
         surrogate_key([F.lit(channel_id)]).alias("channel_sk"),
         F.lit("stripe").alias("_source_system"),
     )
+
+
+def direct_orders(charges: DataFrame, fx_rates: DataFrame, params: Params) -> DataFrame:
+    """``synthetic_orders`` of paid charges in the layout of ``fact_orders`` and in reporting currency.
+
+    Columns that a charge knows nothing about are left to the union that adds these rows.
+    """
+    made = synthetic_orders(charges.filter("is_paid")).drop("_source_system")
+    df = with_fx_rate(made, fx_rates, currency="original_currency_code", on="order_date", reporting_currency=params.reporting_currency)
+    rate = F.col("fx_rate")
+    out = df.withColumns({
+        "original_gross_amount": F.col("gross_amount"),
+        **{c: C.convert(F.col(c).cast("decimal(18,6)"), rate) for c in ("gross_amount", "net_amount")},
+        "net_after_refunds": C.convert(F.col("net_amount").cast("decimal(18,6)"), rate),
+        **{c: F.lit(0).cast("decimal(18,4)") for c in ("discount_amount", "tax_amount", "shipping_amount", "tip_amount", "refunded_amount")},
+        "order_number": F.col("order_id"), "order_status": F.lit("paid"), "financial_status": F.lit("paid"),
+        "currency_code": F.lit(params.reporting_currency),
+        "fx_rate_to_reporting": F.coalesce(rate, F.lit(1).cast("decimal(18,8)")), "is_fx_rate_missing": rate.isNull(),
+        **{c: F.lit(False) for c in ("is_first_order", "is_repeat_order", "is_subscription_order", "is_test_order")},
+        "created_at": F.col("order_timestamp"), "updated_at": F.col("order_timestamp"),
+        "loaded_at": F.lit(params.as_of).cast("timestamp"),
+    }).drop("fx_rate")
+    return with_audit(out, params, model="fact_orders", source_system="stripe", record_id="order_id",
+                      business_columns=["order_id", "updated_at"], extracted_at="order_timestamp")

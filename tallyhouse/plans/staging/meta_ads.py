@@ -118,6 +118,8 @@ def daily_insights(raw: DataFrame, params: Params, overrides: Overrides = {}) ->
         "platform_reported_conversions": purchases("actions_raw", "actions"),
         "platform_reported_conversion_value": purchases("action_values_raw", "action_values"),
     }
+    if "account_currency" in raw.columns or "account_currency" in overrides.get("meta_ads.daily_insights", {}):
+        cols["account_currency"] = F.upper(text(src("account_currency", "account_currency")))
     blank = lambda c: F.coalesce(c, F.lit("null"))
     record = F.concat_ws("_", "campaign_id", blank(F.col("ad_set_id")), blank(F.col("ad_id")), text("spend_date"))
     return project(

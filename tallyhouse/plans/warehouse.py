@@ -9,14 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.stored import stored
-from tallyhouse.operators.upsert import replace_table, upsert_table
+from tallyhouse.operators.upsert import replace_table, since_cutoff, upsert_table
 from tallyhouse.operators.scd2 import backdate_current, scd2_merge, scd2_start
 from tallyhouse.params import Params
-from tallyhouse.plans import dims, facts, marts
-from tallyhouse.plans.identity import customer_links, identity_records, resolve_identity
-from tallyhouse.plans.sessions import enrich_orders, sessionize
-from tallyhouse.plans.staging import STAGES
+from tallyhouse.plans import dims, facts, marts, rules
+from tallyhouse.plans.identity import apply_erasure, customer_links, erase_orders, identity_records, resolve_identity
+from tallyhouse.plans.sessions import enrich_orders, sessionize, without_bots
+from tallyhouse.plans.staging import STAGES, klaviyo
 from tallyhouse.sources.mapping import Overrides
+from tallyhouse.sources.seeds import with_channel_overrides
 
 Save = Callable[[str, DataFrame], DataFrame]
 
@@ -94,6 +95,10 @@ class Warehouse:
     ``raw`` maps ``source.table`` to raw frames, ``seeds`` the reference tables, ``history`` the
     stored SCD2 snapshots and ``existing`` the stored facts whose newest day limits an incremental
     run. Everything is lazy unless ``save`` stores the models.
+
+    Optional seeds: ``holidays``; ``channel_overrides``, whose rows replace channel rows of the same
+    source system and value; ``erasure_requests``, which are honoured in the customer history and in
+    orders. Optional rules come with ``params.rules``.
     """
 
     def __init__(
@@ -114,6 +119,13 @@ class Warehouse:
         """Several models, by default all of them, in dependency order."""
         return {name: self[name] for name in names or MODELS}
 
+    def channels(self) -> DataFrame:
+        mapping = self.seeds["channel_mapping"]
+        return with_channel_overrides(mapping, self.seeds["channel_overrides"]) if "channel_overrides" in self.seeds else mapping
+
+    def erased(self, customers: DataFrame) -> DataFrame:
+        return apply_erasure(customers, self.seeds["erasure_requests"], self.params) if "erasure_requests" in self.seeds else customers
+
     def snapshot(self, name: str, current: DataFrame, key: str, **strategy) -> DataFrame:
         now = F.lit(self.params.as_of).cast("timestamp")
         if name in self.history:
@@ -126,20 +138,53 @@ def _stage(name: str) -> Callable[[Warehouse], DataFrame]:
 
 
 def _snap_customer(w: Warehouse) -> DataFrame:
-    history = w.snapshot("snap_customer", w["int_customer_identity"], "customer_id", check=dims.SNAP_CUSTOMER_CHECKS)
+    history = w.erased(w.snapshot("snap_customer", w["int_customer_identity"], "customer_id", check=dims.SNAP_CUSTOMER_CHECKS))
     if not w.params.backdate_customers:
         return history
     return backdate_current(history, w["stg_shopify__customers"], key="shopify_customer_id",
                             created_key="shopify_customer_id", created_at="created_at")
 
 
+def _stg_customers(w: Warehouse) -> DataFrame:
+    staged, rule = _stage("shopify.customers")(w), w.params.rules.b2b
+    return staged if rule is None else rules.flag_b2b(staged, rule.patterns, rule.company_required, rule.min_order_amount)
+
+
+def _stg_email_events(w: Warehouse) -> DataFrame:
+    staged = klaviyo.events(w.raw["klaviyo.events"], w.params, w.overrides, dict(w.params.rules.email_events) or None)
+    return rules.without_private_opens(staged) if w.params.rules.drop_private_opens else staged
+
+
+def _web_sessions(w: Warehouse) -> DataFrame:
+    sessions = sessionize(w["stg_ga4__events"])
+    return without_bots(sessions) if w.params.rules.drop_bot_sessions else sessions
+
+
+def _campaign_names(w: Warehouse) -> DataFrame:
+    campaigns, pattern = w["stg_meta_ads__campaigns"].select("campaign_id", "campaign_name"), w.params.rules.campaign_name_pattern
+    return campaigns if pattern is None else rules.parse_campaign_name(campaigns, pattern)
+
+
 def _fact_orders(w: Warehouse) -> DataFrame:
-    return facts.fact_orders(
+    existing, days = w.existing.get("fact_orders"), w.params.lookback_days["fact_orders"]
+    orders = facts.fact_orders(
         w["int_orders_enriched"], w["stg_shopify__refunds"], w["stg_stripe__charges"],
         dim_customer=w["dim_customer"], dim_channel=w["dim_channel"], dim_geography=w["dim_geography"],
         dim_payment_method=w["dim_payment_method"], fx_rates=w.seeds["fx_rates"],
-        channel_mapping=w.seeds["channel_mapping"], params=w.params, existing=w.existing.get("fact_orders"),
+        channel_mapping=w.channels(), params=w.params, existing=existing,
         links=w["int_customer_links"] if w.params.link_customers else None)
+    if w.params.rules.synthetic_orders:
+        charges = w["stg_stripe__charges"]
+        if existing is not None:
+            charges = since_cutoff(charges.withColumn("updated_at", F.col("charge_timestamp")), existing, "updated_at", days)
+        orders = orders.unionByName(rules.direct_orders(charges, w.seeds["fx_rates"], w.params), allowMissingColumns=True)
+    if "erasure_requests" in w.seeds:
+        stored_before = None
+        if existing is not None:
+            changed = since_cutoff(w["stg_shopify__orders"], existing, "updated_at", days).select("order_id")
+            stored_before = existing.join(changed, "order_id", "left_anti")
+        orders = erase_orders(orders, w.seeds["erasure_requests"], w.params, stored_before)
+    return orders
 
 
 def _fact_inventory_snapshot(w: Warehouse) -> DataFrame:
@@ -153,8 +198,10 @@ def _fact_inventory_snapshot(w: Warehouse) -> DataFrame:
 
 MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
     **{f"stg_{name.replace('.', '__')}": _stage(name) for name in STAGES},
+    "stg_shopify__customers": _stg_customers,
+    "stg_klaviyo__events": _stg_email_events,
     "dim_date": lambda w: dims.dim_date(w.spark, w.params, w.seeds.get("holidays")),
-    "dim_channel": lambda w: dims.dim_channel(w.seeds["channel_mapping"], w.params),
+    "dim_channel": lambda w: dims.dim_channel(w.channels(), w.params),
     "dim_geography": lambda w: dims.dim_geography(w.seeds["geography_data"], w.params),
     "dim_payment_method": lambda w: dims.dim_payment_method(w["stg_stripe__payment_methods"], w.params),
     "dim_email_campaign": lambda w: dims.dim_email_campaign(w["stg_klaviyo__campaigns"], w["stg_klaviyo__flows"], w.params),
@@ -162,7 +209,7 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "int_customer_records": lambda w: identity_records(
         w["stg_shopify__customers"], w["stg_stripe__customers"], w["stg_klaviyo__profiles"]),
     "int_customer_links": lambda w: customer_links(w["int_customer_records"]),
-    "int_customer_identity": lambda w: resolve_identity(w["int_customer_records"]),
+    "int_customer_identity": lambda w: w.erased(resolve_identity(w["int_customer_records"], w.params.rules.storefront_consent_wins)),
     "snap_customer": _snap_customer,
     "snap_product": lambda w: w.snapshot(
         "snap_product",
@@ -174,14 +221,16 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "dim_product": lambda w: dims.dim_product(w["snap_product"], w.seeds["product_category_mapping"], w.params),
     "dim_marketing_campaign": lambda w: dims.dim_marketing_campaign(w["snap_marketing_campaign"], w["dim_channel"], w.params),
     "int_orders_enriched": lambda w: enrich_orders(w["stg_shopify__orders"], w["stg_shopify__order_line_items"]),
-    "int_web_sessions": lambda w: sessionize(w["stg_ga4__events"]),
+    "int_web_sessions": _web_sessions,
+    "int_campaign_names": _campaign_names,
+    "int_marketing_insights": lambda w: rules.insights_at(w["stg_meta_ads__daily_insights"], w.params.rules.insight_level),
     "fact_orders": _fact_orders,
     "fact_order_lines": lambda w: facts.fact_order_lines(
         w["stg_shopify__order_line_items"], w["fact_orders"], w["stg_shopify__refunds"], w["dim_product"], w.params,
         w.existing.get("fact_order_lines")),
     "fact_refunds": lambda w: facts.fact_refunds(
         w["stg_shopify__refunds"], w["fact_orders"], w["stg_stripe__charges"], w["stg_stripe__refunds"], w.params,
-        w.existing.get("fact_refunds")),
+        w.existing.get("fact_refunds"), w["stg_stripe__disputes"] if w.params.rules.disputes_as_refunds else None),
     "fact_inventory_movements": lambda w: facts.fact_inventory_movements(
         w["fact_order_lines"], w["fact_orders"], w["fact_refunds"], w.params, w.existing.get("fact_inventory_movements"),
         w["stg_shopify__refunds"] if w.params.return_units == "refund_line" else None),
@@ -192,7 +241,7 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
         fx_rates=w.seeds["fx_rates"], params=w.params, existing=w.existing.get("fact_marketing_spend")),
     "fact_web_sessions": lambda w: facts.fact_web_sessions(
         w["int_web_sessions"], dim_customer=w["dim_customer"], dim_channel=w["dim_channel"], dim_geography=w["dim_geography"],
-        channel_mapping=w.seeds["channel_mapping"], params=w.params, existing=w.existing.get("fact_web_sessions")),
+        channel_mapping=w.channels(), params=w.params, existing=w.existing.get("fact_web_sessions")),
     "fact_email_engagement": lambda w: facts.fact_email_engagement(
         w["stg_klaviyo__events"], dim_customer=w["dim_customer"], dim_email_campaign=w["dim_email_campaign"], params=w.params,
         existing=w.existing.get("fact_email_engagement")),

@@ -20,7 +20,7 @@ from tallyhouse.params import Params
 from tallyhouse.plans import dims, kpis
 from tallyhouse.sources.seeds import us_holidays
 
-PARAMS = Params(as_of=date(2026, 8, 15))
+PARAMS = Params(as_of=date(2026, 8, 15), pii_salt="s")
 
 
 def rows(df, *order):
@@ -208,7 +208,7 @@ def test_calendar(spark):
     assert day(date(2025, 11, 27)).holiday_name == "Thanksgiving Day" and not day(date(2025, 11, 27)).is_business_day
     assert day(date(2026, 5, 25)).holiday_name == "Memorial Day"
     assert day(date(2026, 8, 15)).is_today and day(date(2026, 8, 9)).is_last_7_days and not day(date(2026, 8, 8)).is_last_7_days
-    short = dims.dim_date(spark, Params(as_of=date(2026, 8, 15), calendar_end_inclusive=False))
+    short = dims.dim_date(spark, Params(as_of=date(2026, 8, 15), pii_salt="s", calendar_end_inclusive=False))
     assert short.count() == 6208
 
 

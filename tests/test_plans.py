@@ -14,7 +14,7 @@ from tallyhouse.plans.identity import apply_erasure, identity_links, resolve_ide
 from tallyhouse.plans.sessions import enrich_orders, sessionize, without_bots
 
 AS_OF = date(2026, 8, 15)
-PARAMS = Params(as_of=AS_OF, snapshot_mode="month_end")
+PARAMS = Params(as_of=AS_OF, pii_salt="s", snapshot_mode="month_end")
 RECORD = """source_system string, source_id string, email_hash string, phone_hash string, first_name_hash string, last_name_hash string,
     name_address_key string, customer_status string, is_b2b_customer boolean, country_code string, province_code string, postal_code_hash string,
     company string, customer_tags_raw string, email_subscribed boolean, sms_subscribed boolean, marketing_consent boolean, created_at timestamp, updated_at timestamp"""
@@ -152,7 +152,7 @@ def test_movements_of_two_refunds_repeat_lines(spark):
                                     "refund_id string, order_id string, refund_date date, refund_timestamp timestamp, refund_reason string, _extracted_at timestamp")
     got = {r.movement_id: r.quantity_change for r in facts.fact_inventory_movements(lines, orders, refunds, PARAMS).collect()}
     assert got == {"sale_l1": -3, "return_r1_l1": 2, "return_r1_l2": 1, "return_r2_l1": 2, "return_r2_l2": 1}
-    gross = facts.fact_inventory_movements(lines, orders, refunds, Params(as_of=AS_OF, sale_quantity="gross"))
+    gross = facts.fact_inventory_movements(lines, orders, refunds, Params(as_of=AS_OF, pii_salt="s", sale_quantity="gross"))
     assert {r.movement_id: r.quantity_change for r in gross.filter("movement_type = 'sale'").collect()} == {"sale_l1": -5, "sale_l2": -1}
 
 

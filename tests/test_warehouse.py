@@ -45,10 +45,18 @@ def test_joins_keep_the_grain(house):
 
 def test_quarantine(spark, house):
     spark.sql("create database if not exists quarantine")
-    checks = [c for c in model_checks()["fact_email_engagement"] if c.name in ("accepted_values_bounce_type", "unique_event_id")]
-    names = Q.quarantine(house["fact_email_engagement"], "fact_email_engagement", checks, PARAMS, {}, "quarantine")
-    counts = {n.split("__")[-1]: spark.table(n).count() for n in names}
-    assert counts["unique_event_id"] == 0 and counts["accepted_values_bounce_type"] > 0
+    fact, orphan = house["fact_email_engagement"], Q.foreign_key("event_id", "dim_email_campaign", "email_campaign_sk")
+    checks = [*model_checks()["fact_email_engagement"], orphan]
+    parents = {"dim_email_campaign": house["dim_email_campaign"]}
+    names = Q.quarantine(fact, "fact_email_engagement", checks, PARAMS, parents, "quarantine")
+    assert [n.split("__")[-1] for n in names] == ["recency_event_date_3d", "unique_event_id", "rows"]
+    assert spark.table(names[1]).count() == 0
+    kept = spark.table(names[2])
+    assert set(kept.columns) == {*fact.columns, "check_name"}
+    counts = {r.check_name: r["count"] for r in kept.groupBy("check_name").count().collect()}
+    wanted = {r.check_name: r.failures for r in Q.run_checks("t", fact, checks, PARAMS, parents).collect() if r.failures}
+    assert counts == {n: k for n, k in wanted.items() if not n.startswith(("recency", "unique"))}
+    assert counts[orphan.name] == fact.count() and counts["accepted_values_bounce_type"] > 0
 
 
 def test_audit_footer_everywhere(house):
