@@ -22,13 +22,13 @@ from tallyhouse.operators.snapshots import trailing_totals
 from tallyhouse.operators.upsert import since_cutoff, upsert
 from tallyhouse.plans import facts, kpis, rules
 from tallyhouse.plans.checks import model_checks
-from tallyhouse.plans.identity import apply_erasure
+from tallyhouse.plans.identity import apply_erasure, erase_orders
 from tallyhouse.plans.marts import daily_sales
 from tallyhouse.plans.sessions import without_bots
 from tallyhouse.sources.csv import json_column, row_counts
 from tallyhouse.sources.mapping import TableMapping, apply_mapping
 from tallyhouse.sources.registry import raw_tables
-from tallyhouse.sources.seeds import small_table, with_channel_overrides
+from tallyhouse.sources.seeds import channel_rows, small_table, with_channel_overrides
 from tallyhouse.workload.oracle import TODAY
 from tallyhouse.workload.raw import PARAMS
 from tallyhouse.workload.registry import Lab, register
@@ -272,7 +272,12 @@ register(
 )
 register(
     "version_overlaps", "SCD-1 DQ-5",
-    "n l", lambda w: overlapping_versions(w["dim_product"], "variant_id").agg(F.count("*").alias("n")), "select 0 as n",
+    "part_key l=p, n l",
+    lambda w: overlapping_versions(
+        w.table("lineitem").select(F.col("l_partkey").alias("part_key"), F.expr("cast(l_shipdate as date) as valid_from"), F.expr("cast(l_shipdate as date) + cast(l_quantity as int) as valid_to")), "part_key",
+    ).groupBy("part_key").agg(F.count("*").alias("n")),
+    """with v as (select l_partkey as p, l_shipdate::date as a, l_shipdate::date + l_quantity::int as b, row_number() over (partition by l_partkey order by l_shipdate::date, l_quantity) as r from lineitem)
+       select p, count(*) as n from v where exists (select 1 from v s where s.p = v.p and s.r > v.r and s.a < v.b) group by p""",
 )
 register(
     "erased_customers", "GOV-4",
@@ -282,6 +287,14 @@ register(
 )
 
 
+register(
+    "erased_orders", "GOV-4",
+    "order_id s, customer_id s, email_hash s=if(h; null; email_hash)",
+    lambda w: erase_orders(w["fact_orders"], _erasure_requests(w), PARAMS).withColumn("email_hash", F.col("customer_email_hash_at_order")),
+    "select o.*, coalesce(o.customer_id in (select customer_id from o_dim_customer where shopify_customer_id::int % 10 = 3), false) as h from o_fact_orders o",
+)
+
+
 def _erasure_requests(w: Lab) -> DataFrame:
     last = F.col("shopify_customer_id").cast("int") % 10
     due = w["dim_customer"].filter(last.isin(3, 4, 5))
@@ -338,28 +351,36 @@ register(
 )
 
 # ---- Quality ------------------------------------------------------------------------------
+# Every declared check of the order fact, with its severity and a SQL count of the rows that break it.
+_ORDER_COUNTS = {
+    "net_amount_non_negative": ("warn", "count(*) filter (where net4 < 0)"),
+    "refunded_not_exceed_net": ("error", "count(*) filter (where back4 > net4 + 0.01)"),
+    "gross_gte_discount": ("warn", "count(*) filter (where gross4 < discount4)"),
+    "recency_order_date_2d": ("warn", f"(max(order_date) < {TODAY} - 2)::int"),
+    **{f"not_null_{name}": ("error", f"count(*) filter (where {expr} is null)") for name, expr in {
+        "order_sk": "order_sk", "order_id": "order_id", "order_number": "order_number", "order_date": "order_date", "order_timestamp": "order_timestamp",
+        "order_status": "order_status", "gross_amount": "gross4", "discount_amount": "discount4", "net_amount": "net4", "refunded_amount": "back4",
+        "net_after_refunds": "after4", "fx_rate_to_reporting": "coalesce(fx, 1)", "is_first_order": "is_first", "is_repeat_order": "is_repeat"}.items()},
+    "accepted_range_order_date": ("error", f"count(*) filter (where order_date not between date '{PARAMS.calendar_start}' and date '{PARAMS.calendar_end}')"),
+    "accepted_values_order_status": ("error", "count(*) filter (where order_status not in ('pending', 'paid', 'fulfilled', 'cancelled', 'refunded', 'partial_refund', 'unknown'))"),
+    "accepted_values_financial_status": ("error", "count(*) filter (where financial_status not in ('pending', 'paid', 'refunded', 'partially_refunded', 'voided'))"),
+    "foreign_currency_has_rate": ("warn", "count(*) filter (where fx is null)"),
+    "unique_order_sk": ("error", "count(*) - count(distinct order_sk)"),
+    "unique_order_id": ("error", "count(*) - count(distinct order_id)"),
+    **{f"relationship_{col}_{dim}": ("error", f"count(*) filter (where {expr} not in ({keys}))") for col, dim, expr, keys in (
+        ("customer_sk", "dim_customer", "customer_sk", "select customer_sk from o_dim_customer"),
+        ("channel_sk", "dim_channel", "channel_sk", ", ".join(f"md5('{c}')" for c in sorted({r[2] for r in channel_rows()}))),
+        ("geography_sk", "dim_geography", "geography_sk", "select md5('C' || n_nationkey) from nation"),
+        ("payment_method_sk", "dim_payment_method", "pm_sk", "select sk from o_payment_methods"))},
+}
 register(
     "dq_fact_orders", "DQ-1 DQ-2 DQ-3 DQ-4 DQ-5 DQ-6 DQ-7 DQ-10",
     "check_name s, severity s, failures l, status s",
-    lambda w: Q.run_checks("fact_orders", w["fact_orders"], [c for c in model_checks()["fact_orders"] if c.name in _ORDER_CHECKS], PARAMS,
+    lambda w: Q.run_checks("fact_orders", w["fact_orders"], model_checks(PARAMS)["fact_orders"], PARAMS,
                            {n: w[n] for n in ("dim_customer", "dim_channel", "dim_geography", "dim_payment_method")}),
-    """select check_name, severity, failures, case when failures = 0 then 'pass' when severity = 'error' then 'fail' else 'warn' end as status from (
-        select 'net_amount_non_negative' as check_name, 'warn' as severity, count(*) filter (where net4 < 0) as failures from o_fact_orders
-        union all select 'refunded_not_exceed_net', 'error', count(*) filter (where back4 > net4 + 0.01) from o_fact_orders
-        union all select 'recency_order_date_2d', 'warn', (max(order_date) < """ + TODAY + """ - 2)::int from o_fact_orders
-        union all select 'not_null_order_id', 'error', count(*) filter (where order_id is null) from o_fact_orders
-        union all select 'accepted_range_order_date', 'error', count(*) filter (where order_date not between date '2015-01-01' and date '2030-01-01') from o_fact_orders
-        union all select 'accepted_values_financial_status', 'error', count(*) filter (where financial_status not in ('pending', 'paid', 'refunded', 'partially_refunded', 'voided')) from o_fact_orders
-        union all select 'foreign_currency_has_rate', 'warn', count(*) filter (where fx is null) from o_fact_orders
-        union all select 'unique_order_id', 'error', count(*) - count(distinct order_id) from o_fact_orders
-        union all select 'relationship_channel_sk_dim_channel', 'error', 0
-        union all select 'relationship_payment_method_sk_dim_payment_method', 'error', count(*) from o_fact_orders where pm_sk not in (select sk from o_payment_methods))""",
-)
-_ORDER_CHECKS = {
-    "net_amount_non_negative", "refunded_not_exceed_net", "recency_order_date_2d", "not_null_order_id", "accepted_range_order_date",
-    "accepted_values_financial_status", "foreign_currency_has_rate", "unique_order_id", "relationship_channel_sk_dim_channel",
-    "relationship_payment_method_sk_dim_payment_method",
-}
+    "select check_name, severity, failures, case when failures = 0 then 'pass' when severity = 'error' then 'fail' else 'warn' end as status from ("
+    + " union all ".join(f"select '{name}' as check_name, '{severity}' as severity, {count} as failures from o_fact_orders" for name, (severity, count) in _ORDER_COUNTS.items()) + ")",
+)
 register(
     "dq_given_tables", "DQ-1 DQ-2 DQ-4 DQ-5 DQ-7",
     "check_name s, failures l",

@@ -93,7 +93,7 @@ class Lab:
         self._seeds = Lazy({
             **derived,
             "channel_mapping": lambda: channel_mapping(spark),
-            "holidays": lambda: us_holidays(spark, 2015, 2031),
+            "holidays": lambda: us_holidays(spark, PARAMS.calendar_start.year, PARAMS.calendar_end.year),
         })
         self._warehouse: Warehouse | None = None
 

@@ -23,7 +23,7 @@ def test_every_model_has_rows(house):
 
 def test_all_checks_run(house):
     worst = {}
-    for model, checks in model_checks().items():
+    for model, checks in model_checks(PARAMS).items():
         parents = {c.parent: house[c.parent] for c in checks if isinstance(c, Q.ForeignKey)}
         for r in Q.run_checks(model, house[model], checks, PARAMS, parents).collect():
             if r.status == "fail":
@@ -46,7 +46,7 @@ def test_joins_keep_the_grain(house):
 def test_quarantine(spark, house):
     spark.sql("create database if not exists quarantine")
     fact, orphan = house["fact_email_engagement"], Q.foreign_key("event_id", "dim_email_campaign", "email_campaign_sk")
-    checks = [*model_checks()["fact_email_engagement"], orphan]
+    checks = [*model_checks(PARAMS)["fact_email_engagement"], orphan]
     parents = {"dim_email_campaign": house["dim_email_campaign"]}
     names = Q.quarantine(fact, "fact_email_engagement", checks, PARAMS, parents, "quarantine")
     assert [n.split("__")[-1] for n in names] == ["recency_event_date_3d", "unique_event_id", "rows"]
