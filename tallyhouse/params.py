@@ -73,6 +73,7 @@ class Params:
     backdate_products: bool = False
     backdate_customers: bool = False
     link_customers: bool = False  # orders find customers through merged storefront ids too
+    product_key: str = "sku"  # sku | variant: by what order lines find their product, where variants share a SKU
     return_units: str = "order"  # order | refund_line: what a return movement counts
     sale_quantity: str = "net"  # net | gross units on sale movements
     run_id: str = "manual"
@@ -84,6 +85,8 @@ class Params:
             raise ValueError(f"unknown snapshot_mode: {self.snapshot_mode}")
         if self.sale_quantity not in ("net", "gross"):
             raise ValueError(f"unknown sale_quantity: {self.sale_quantity}")
+        if self.product_key not in ("sku", "variant"):
+            raise ValueError(f"unknown product_key: {self.product_key}")
         if self.return_units not in ("order", "refund_line"):
             raise ValueError(f"unknown return_units: {self.return_units}")
         if self.phone_format not in ("as_given", "digits"):

@@ -151,13 +151,18 @@ def fact_order_lines(
     lines: DataFrame, orders: DataFrame, refunds: DataFrame, dim_product: DataFrame, params: Params,
     existing: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per order line with the product version of the order day, cost, margin and returns."""
+    """One row per order line with the product version of the order day, cost, margin and returns.
+
+    Products are found by SKU, or with ``product_key="variant"`` by variant: then a line stays one
+    row where variants share a SKU.
+    """
+    product_key = "variant_id" if params.product_key == "variant" else "sku"
     recent = since_cutoff(lines, existing, "_loaded_at", params.lookback_days["fact_order_lines"])
     ctx = orders.select("order_id", "order_sk", "customer_sk", "channel_sk", "order_date", "order_timestamp",
                         "fx_rate_to_reporting")
     df = recent.join(refunded_lines(refunds), ["order_id", "line_item_id"], "left").join(ctx, "order_id", "left")
     df = point_in_time_join(
-        df, dim_product, fact_key="sku", version_key="sku", at="order_date", by_date=True,
+        df, dim_product, fact_key=product_key, version_key=product_key, at="order_date", by_date=True,
         take={"product_sk": "product_sk", "unit_cost": "_cost"},
     )
     rate, qty = F.col("fx_rate_to_reporting"), F.col("quantity").cast("decimal(18,2)")
@@ -585,6 +590,8 @@ def fact_inventory_snapshot(
     units = average_daily_units(order_lines, days)
     pos = stock_by_day(levels, items, days, params, units=units, movements=movements, daily_feed=daily_feed)
     products = dim_product.filter("is_current").select("sku", "product_sk")
+    if params.product_key == "variant":  # a stock item knows only its SKU: one product each, so that stock is not doubled
+        products = products.groupBy("sku").agg(F.min("product_sk").alias("product_sk"))
     places = dim_warehouse_location.select("location_id", "location_sk")
     named = pos.join(products, "sku", "left").join(places, "location_id", "left")
     df = named.select("*", F.inline("_days")).drop("_days")

@@ -86,6 +86,18 @@ def test_erasure_reaches_stored_rows(spark):
         assert {p[:2] for p in people if p[0] == who[2]} == {(who[2], False)}
 
 
+def test_shared_skus_do_not_double_lines_and_stock(spark):
+    shop = lab(spark, SF_DIR)
+    raw = {n: shop.raw[n] for n in shop.raw}
+    for name in ("shopify.product_variants", "shopify.order_line_items", "shopify.inventory_items"):
+        raw[name] = raw[name].withColumn("sku", F.lit("S"))
+    made = Warehouse(spark, raw, shop.seeds(), replace(PARAMS, product_key="variant", snapshot_mode="today"))
+    lines = made["fact_order_lines"]
+    assert lines.count() == made["stg_shopify__order_line_items"].count()
+    assert lines.select("product_sk").distinct().count() > 100
+    assert made["fact_inventory_snapshot"].count() == made["stg_shopify__inventory_levels"].count()
+
+
 def test_settings_are_checked():
     with pytest.raises(ValueError, match="pii_salt"):
         Params(as_of=date(2026, 1, 1))
