@@ -11,7 +11,7 @@ spanning star for what it has linked, never pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations, repeat
 
 import numpy as np
@@ -254,16 +254,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(F.col("key").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("group").alias("component_id"))
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each group the row with the smallest id stays.
+def first_of_groups(docs: DataFrame, id_col: str, text_col: str, group: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Of each group the row of ``docs`` with the smallest id.
 
-    Null ids come last, and among equal ids the first row read stays. All columns are returned as
-    they are, whatever their names. The rows are stored once under a number, so that a row is
-    known again even where ids are null or repeated.
+    ``group`` takes ``rank`` and ``text`` of every row and returns each rank as ``key`` with the
+    least of its group as ``group``. Null ids come last, and among equal ids the first row read
+    stays. All columns are returned as they are, whatever their names. The rows are stored once
+    under a number, so that a row is known again even where ids are null or repeated.
     """
     numbered = keep(docs.select(F.monotonically_increasing_id().alias("number"), F.struct(F.col("*")).alias("row")), "numbered")
     rank = F.struct(F.col(f"row.`{id_col}`").isNull().alias("unnamed"), F.col(f"row.`{id_col}`").alias("id"), F.col("number"))
-    flat = numbered.select(rank.alias("rank"), F.col(f"row.`{text_col}`").alias("text"))
-    out = grouped(keep(fingerprints(flat, F.col("rank"), "text"), "fingerprints"), radius)
+    out = group(numbered.select(rank.alias("rank"), F.col(f"row.`{text_col}`").alias("text")))
     stay = out.filter(F.col("key") == F.col("group")).select(F.col("key.number").alias("number"))
     return numbered.join(stay, "number", "left_semi").select("row.*")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each group the row with the smallest id stays."""
+    return first_of_groups(docs, id_col, text_col, lambda rows: grouped(keep(fingerprints(rows, F.col("rank"), "text"), "fingerprints"), radius))

@@ -1,0 +1,75 @@
+"""Near-duplicates by similarity of shingle sets, and the pipeline's stage, against a plain version."""
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from tallyhouse.llm import shingle_sets, simhash
+from tallyhouse.llm.common import keep
+
+
+def plain_set(text, words=5):
+    found = text.lower().split()
+    return {tuple(found[i : i + words]) for i in range(max(len(found) - words + 1, 1))} if found else set()
+
+
+def plain_groups(sets, similarity):
+    label = np.arange(len(sets))
+    close = [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] == sets[j] or len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= similarity]
+    return simhash.merge(label, *np.array(close or [(0, 0)]).T)
+
+
+@pytest.fixture(scope="module")
+def texts():
+    """Copies of some texts with ever more words changed, passages shared by all, short texts and none."""
+    rng = np.random.default_rng(3)
+    passage = [f"p{i}" for i in range(30)]
+    out = ["", " ", "one two", "One two", "a b c d e", "a b c d e f"]
+    for base in range(6):
+        words = [f"w{x}" for x in rng.integers(0, 5000, int(rng.integers(60, 200)))]
+        for edits in [0, *rng.integers(0, 9, 40)]:
+            made = list(words)
+            for at in rng.integers(0, len(made), edits):
+                made[at] = f"x{rng.integers(0, 10**6)}"
+            out.append(" ".join(made[: len(made) - int(rng.integers(0, 12))] + passage))
+    return out
+
+
+@pytest.mark.parametrize("few", [2, 16, 10_000])
+@pytest.mark.parametrize("similarity", [0.6, 0.8, 1.0])
+def test_groups_match_plain_similarity(spark, texts, few, similarity, monkeypatch):
+    monkeypatch.setattr(shingle_sets, "FEW", few)
+    rows = spark.createDataFrame(list(enumerate(texts)), "rank long, text string").repartition(5)
+    made = shingle_sets.grouped(keep(rows, "rows"), similarity).collect()
+    assert {r.key: r.group for r in made} == dict(enumerate(plain_groups([plain_set(t) for t in texts], similarity).tolist()))
+
+
+def test_stage_drops_copies_that_are_not_almost_identical(spark):
+    """Ten words of 600 changed: similarity above 0.8, but more than two bits of the SimHash apart."""
+    words = [f"word{i * i}" for i in range(600)]
+    near = [f"new{i}" if i % 60 == 30 else w for i, w in enumerate(words)]
+    far = [f"new{i}" if i % 30 == 15 else w for i, w in enumerate(words)]
+    docs = spark.createDataFrame([(3, " ".join(words), 1), (4, " ".join(near), 2), (5, " ".join(far), 3), (6, "other", 4)], "doc_id long, text string, n_chars int")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == [3, 5, 6]
+    assert len(simhash.drop_near_duplicates(docs).collect()) == 4
+
+
+def test_crowded_tokens_make_no_squares(spark):
+    """Near copies of one text are tied to few others, not to all."""
+    rng, words = np.random.default_rng(4), [f"w{i}" for i in range(300)]
+    rows = [(k, " ".join(f"x{k}" if i == at else w for i, w in enumerate(words))) for k, at in enumerate(rng.integers(0, 300, 400))]
+    frame = keep(spark.createDataFrame(rows, "rank long, text string"), "rows")
+    made = keep(shingle_sets.summaries(frame, 0.8, shingle_sets.common_shingles(frame)), "summaries")
+    pairs = shingle_sets.first_pairs(shingle_sets.prefixes(made), 0.8)
+    assert pairs.filter("b is not null").select("a", "b").distinct().count() < 40 * 400
+    assert {r.group for r in shingle_sets.grouped(frame).collect()} == {0}
+
+
+def test_stage_on_documents(spark, sf_dir):
+    """The stage keeps the least id of each group that five-word similarity of 0.8 links."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:2]:
+        docs = keep(stage(spark, docs, sf_dir), name)
+    rows = sorted(docs.select("doc_id", "text").collect())
+    least = plain_groups([plain_set(t) for _, t in rows], 0.8)
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()) == [rows[i][0] for i in sorted(set(least.tolist()))]
