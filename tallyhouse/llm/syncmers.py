@@ -5,7 +5,7 @@ the first or the last of them. The choice depends on these words alone, so equal
 equal anchors wherever they stand, and each passage of some words has one. A fingerprint is the
 ``SIZE`` anchors with the least hashes, each with its word position. Two fingerprints are compared
 over the least ``SIZE`` hashes of both together: an anchor counts as common if both have it and
-its shift lies near the middle shift of all common ones.
+it belongs to the longest chain of such anchors whose order is the same in both texts.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ K = 5
 S = 2
 SIZE = 64
 HASH_BITS = 30
-DRIFT = 64  # words by which a common anchor's shift may differ from the middle one
+DRIFT = 128  # words by which an anchor of a chain may lie before the previous one
 BUCKET_ROWS = 1000
 MAX_BUCKETS = 4096
 LOWEST = -(1 << 63)
@@ -74,23 +74,32 @@ def likeness(a: Column, b: Column) -> Column:
         return F.transform(x, lambda y: F.shiftright(y, 32))
 
     def common(both: Column) -> Column:
+        def place(x: Column) -> Column:
+            return F.shiftright(x, 1).bitwiseAND(F.lit(0xFFFFFFFF))
+
         def pair(x: Column, j: Column) -> Column:
             y = F.get(both, j + 1)
-            shift = (F.shiftright(x, 1).bitwiseAND(F.lit(0xFFFFFFFF)) - F.shiftright(y, 1).bitwiseAND(F.lit(0xFFFFFFFF))) * (1 - 2 * x.bitwiseAND(F.lit(1).cast("long")))
             same = F.shiftright(x, 33) == F.shiftright(y, 33)
-            return F.when(F.coalesce(same, F.lit(False)), F.struct(shift.alias("shift"), F.shiftright(x, 33).alias("hash")))
+            turned = x.bitwiseAND(F.lit(1).cast("long")) == 1  # of equal hashes the lesser place comes first, whichever text it is of
+            here, there = F.when(turned, place(y)).otherwise(place(x)), F.when(turned, place(x)).otherwise(place(y))
+            return F.when(F.coalesce(same, F.lit(False)), F.struct(here.alias("here"), there.alias("there"), F.shiftright(x, 33).alias("hash")))
+
+        return F.array_compact(F.transform(both, pair))
+
+    def chained(pairs: Column) -> Column:
+        """Length of the longest chain; each step adds the longest one that ends in a pair."""
 
-        return F.sort_array(F.array_compact(F.transform(both, pair)))
+        def longer(ends: Column, x: Column) -> Column:
+            before = F.transform(F.filter(ends, lambda e: e["there"] - DRIFT < x["there"]), lambda e: e["length"])
+            return F.concat(ends, F.array(F.struct(x["there"].alias("there"), (F.coalesce(F.array_max(before), F.lit(0)) + 1).alias("length"))))
 
-    def aligned(pairs: Column) -> Column:
-        middle = F.get(pairs, F.floor(F.size(pairs) / 2).cast("int"))["shift"]
-        return F.transform(F.filter(pairs, lambda x: F.abs(x["shift"] - middle) <= DRIFT), lambda x: x["hash"])
+        ends = F.aggregate(F.sort_array(pairs), F.array().cast("array<struct<there:bigint,length:int>>"), longer)
+        return F.coalesce(F.array_max(F.transform(ends, lambda e: e["length"])), F.lit(0))
 
     def share(x: Column, y: Column) -> Column:
         both = F.sort_array(F.concat(F.transform(x, lambda v: v * 2), F.transform(y, lambda v: v * 2 + 1)))
-        met = bind(bind(both, common), aligned)
         least = F.slice(F.sort_array(F.array_union(hashes(x), hashes(y))), 1, SIZE)
-        jaccard = bind(least, lambda u: F.size(F.array_intersect(u, met)) / F.size(u))
+        jaccard = bind(least, lambda u: chained(F.filter(bind(both, common), lambda p: p["hash"] <= F.array_max(u))) / F.size(u))
         return F.when((F.size(x) == 0) & (F.size(y) == 0), F.lit(1.0)).when((F.size(x) == 0) | (F.size(y) == 0), F.lit(0.0)).otherwise(
             bind(jaccard, lambda q: 2 * q / (1 + q)))
 
