@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import line_rules, packing, quality, shingle_sets
+from tallyhouse.llm import line_rules, packing, quality, simhash
 from tallyhouse.llm.common import keep, table
 
 
@@ -25,8 +25,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (shingles of five words, similarity 0.8 or more) the document with the smallest id."""
-    return shingle_sets.drop_similar(docs)
+    """Of each group of near-duplicates (SimHash over three words, at most two differing bits) the document with the smallest id."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
