@@ -3,8 +3,8 @@
 Fingerprints within the radius agree in at least ``BLOCKS - radius`` of the blocks they are cut
 into, so each such choice of blocks is a key under which they meet. Fingerprints that share a key
 are compared as bit planes: word by word a plane holds one bit of 64 fingerprints, and
-carry-save counters add up the differing bits of all of them at once; a block of lanes is
-abandoned as soon as every count exceeds the radius. A key held by more than ``TILE``
+carry-save counters add up the differing bits of all of them at once; a block of 64 lanes is
+abandoned for a query as soon as all its counts exceed the radius. A key held by more than ``TILE``
 fingerprints is cut into tiles, and pairs of tiles go to different tasks. Every task reports a
 spanning star for what it has linked, never pairs.
 """
@@ -84,26 +84,33 @@ def lanes(words: np.ndarray, n: int) -> np.ndarray:
     return np.unpackbits(np.ascontiguousarray(words).view(np.uint8), axis=-1, bitorder="little")[..., :n].astype(bool)
 
 
+def count_up(digits: np.ndarray, carry: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Add one plane to the binary counters of all lanes, kept as planes; also the lanes now above the radius."""
+    made = []
+    for digit in digits:
+        made.append(digit ^ carry)
+        carry = digit & carry
+    above, equal = carry, FULL
+    for i in reversed(range(len(made))):
+        if radius >> i & 1:
+            equal = equal & made[i]
+        else:
+            above = above | (equal & made[i])
+            equal = equal & ~made[i]
+    return np.array(made), above
+
+
 def within(differences: Iterator[np.ndarray], radius: int) -> np.ndarray:
     """Lanes where at most ``radius`` planes of ``differences`` are set, as words.
 
-    ``digits`` is a binary counter per lane, kept as planes. A lane that has exceeded the radius
-    stays dead; once all are dead, the planes that are left need not be looked at.
+    A lane that has exceeded the radius stays dead; once all are dead, the planes that are left
+    need not be looked at.
     """
-    digits: list[np.ndarray] = []
-    alive = None
+    digits = alive = None
     for carry in differences:
         if alive is None:
-            digits, alive = [np.zeros_like(carry) for _ in range(radius.bit_length())], np.full_like(carry, FULL)
-        for i, digit in enumerate(digits):
-            digits[i], carry = digit ^ carry, digit & carry
-        above, equal = carry, FULL
-        for i in reversed(range(len(digits))):
-            if radius >> i & 1:
-                equal = equal & digits[i]
-            else:
-                above = above | (equal & digits[i])
-                equal = equal & ~digits[i]
+            digits, alive = np.zeros((radius.bit_length(), *carry.shape), dtype=np.uint64), np.full_like(carry, FULL)
+        digits, above = count_up(digits, carry, radius)
         alive &= ~above
         if not alive.any():
             break
@@ -123,16 +130,46 @@ def merge(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             label = up
 
 
+def near_later(values: np.ndarray, own: np.ndarray, order: np.ndarray, at: int, radius: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Pairs (query, later value) within the radius for the queries from ``at`` on, and how many words were looked at.
+
+    A block is 64 lanes seen by one query. It starts with the lanes that come after the query, and
+    leaves the work as soon as the last of them has exceeded the radius.
+    """
+    n, first = len(values), at // 64
+    queries = np.arange(at, min(at + QUERIES, n))
+    query = np.repeat(np.arange(len(queries)), own.shape[1] - first)
+    word = np.tile(np.arange(first, own.shape[1]), len(queries))
+    ahead = np.clip(queries[query] + 1 - 64 * word, 0, 64)
+    alive = np.where(ahead < 64, FULL << np.minimum(ahead, 63).astype(np.uint64), np.uint64(0))
+    beyond = np.clip(64 * word + 64 - n, 0, 63).astype(np.uint64)
+    alive &= FULL >> beyond
+    digits, looked = np.zeros((radius.bit_length(), len(query)), dtype=np.uint64), 0
+    for bit in order:
+        left = np.flatnonzero(alive)
+        if len(left) < len(alive):
+            query, word, alive, digits = query[left], word[left], alive[left], digits[:, left]
+        if not len(alive):
+            break
+        looked += len(alive)
+        carry = own[bit][word] ^ (FULL * ((values[queries[query]] >> np.uint64(bit)) & np.uint64(1)))
+        digits, above = count_up(digits, carry, radius)
+        alive = alive & ~above
+    hit, lane = np.nonzero(lanes(alive[:, None], 64)) if len(alive) else (np.empty(0, int), np.empty(0, int))
+    return queries[query[hit]], 64 * word[hit] + lane, looked
+
+
 def linked_in_group(values: np.ndarray, radius: int) -> np.ndarray:
-    """Index of the first value of the linked set of each value, for one large group."""
+    """Index of the first value of the linked set of each value, for one large group.
+
+    Planes that split the group most evenly come first: the keys the values share tell nothing.
+    """
     n, label = len(values), np.arange(len(values))
     own = planes(values)
+    order = np.argsort(np.abs(2 * lanes(own, n).sum(axis=1) - n), kind="stable")
     for at in range(0, n, QUERIES):
-        some = values[at : at + QUERIES, None]
-        masks = ((FULL * ((some >> np.uint64(bit)) & np.uint64(1))) for bit in range(64))
-        close = within((own[bit][None, :] ^ mask for bit, mask in enumerate(masks)), radius)
-        i, j = np.nonzero(lanes(close, n))
-        label = merge(label, i + at, j)
+        i, j, _ = near_later(values, own, order, at, radius)
+        label = merge(label, i, j)
     return label
 
 

@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import syncmers
+from tallyhouse.llm import simhash, syncmers
 
 
 def test_likeness_does_not_fall_with_length(spark):
@@ -17,3 +17,19 @@ def test_likeness_does_not_fall_with_length(spark):
     kept = [syncmers.likeness(syncmers.sketch(F.col("t")), syncmers.sketch(F.col(c))) for c in ("deleted", "inserted", "turned", "t")]
     for deleted, inserted, turned, same in frame.select(*kept).collect():
         assert deleted > 0.8 and inserted > 0.8 and turned < 0.85 and same == 1.0
+
+
+def test_blocks_are_abandoned():
+    """Among unrelated fingerprints few planes are looked at; whatever is near is found all the same."""
+    rng = np.random.default_rng(8)
+    values = rng.integers(0, 2**63, 600, dtype=np.uint64)
+    values[300:320] = values[:20] ^ np.uint64(1 << 40)
+    own = simhash.planes(values)
+    pairs, looked, every = set(), 0, 0
+    for at in range(0, 600, simhash.QUERIES):
+        i, j, n = simhash.near_later(values, own, np.arange(64), at, 2)
+        pairs |= set(zip(i.tolist(), j.tolist()))
+        looked, every = looked + n, every + 64 * min(simhash.QUERIES, 600 - at) * (own.shape[1] - at // 64)
+    near = [(a, b) for a in range(600) for b in range(a + 1, 600) if int(values[a] ^ values[b]).bit_count() <= 2]
+    assert pairs == set(near) and len(near) == 20
+    assert looked < every / 3
