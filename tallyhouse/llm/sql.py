@@ -106,3 +106,12 @@ def url_filters(rules: list[U.Rule], purity: float = U.PURITY) -> str:
         '/' || array_to_string(g.grp, '/') as template, purity
     from found f join g1 g on f.host = g.host and f.parts = g.parts join pure p on g.host = p.host and g.grp = p.grp""")
     return "with " + ",".join(steps)
+
+
+def exact_copies() -> str:
+    """Whole normalised texts are compared here, by windows."""
+    return f"""
+    with normal as (select doc_id, regexp_replace(coalesce(text, ''), '{BLANKS}', ' ', 'g') as text from documents)
+    select doc_id, min(doc_id) over (partition by text) as keep_id, count(*) over (partition by text) as group_size,
+        row_number() over (partition by text order by doc_id nulls last) = 1 as kept, sha256(text) as text_sha256
+    from normal"""
