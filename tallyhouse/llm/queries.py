@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe_tree, exact_copies, line_rules, packing, quality, simhash, sql, syncmers, token_lengths, toxicity, url_templates, warc
+from tallyhouse.llm import alignment, bpe_tree, exact_copies, line_rules, packing, phrases, quality, simhash, sql, syncmers, token_lengths, toxicity, url_templates, warc
 from tallyhouse.llm.common import table
 
 URL_RULES = [
@@ -62,15 +62,23 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_lengths.suffix_sums(token_lengths.length_histogram(table(spark, sf_dir, "documents")))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = exact_copies.mark_copies(table(spark, sf_dir, "documents"))
     return marked.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("text_digest")).alias("text_sha256"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_packing, op2_quality_rules, op3_toxicity, op4_fingerprints, op5_simhash, op6_quality_classifier, op7_warc, op8_bpe_tree, op9_url_filters, op10_token_counts,
-              op12_exact_dedup)
+              op11_alignment, op12_exact_dedup, op13_collocations)
 }
 
 # DuckDB has neither the tokenizers nor the learned models, nor XXH64 with a seed: the tests hold the
@@ -80,4 +88,5 @@ ORACLES: dict[str, str] = {
     "op7_warc": sql.archives(),
     "op9_url_filters": sql.url_filters(URL_RULES),
     "op12_exact_dedup": sql.exact_copies(),
+    "op13_collocations": sql.collocations(),
 }

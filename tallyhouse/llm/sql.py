@@ -115,3 +115,32 @@ def exact_copies() -> str:
     select doc_id, min(doc_id) over (partition by text) as keep_id, count(*) over (partition by text) as group_size,
         row_number() over (partition by text order by doc_id nulls last) = 1 as kept, sha256(text) as text_sha256
     from normal"""
+
+
+def collocations(longest: int = 5, least: int = 100, top: int = 2000) -> str:
+    """Every phrase of every length is counted here, without bounds; longer candidates are searched at any distance."""
+    grams = " union all ".join(
+        f"select lang, piece, i, {m} as m, array_to_string(list(w) over (partition by piece order by i rows between current row and {m - 1} following), ' ') as phrase, "
+        f"count(*) over (partition by piece order by i rows between current row and {m - 1} following) as got from word" for m in range(1, longest + 1))
+    return rf"""
+    with texts as (
+        select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents),
+    pieces as (select lang, unnest(string_split_regex(text, '[.,;:!?
+-]')) as piece from texts),
+    numbered as (select lang, row_number() over () as piece, regexp_extract_all(piece, '[^ 	]+') as w from pieces),
+    word as (select lang, piece, unnest(w) as w, generate_subscripts(w, 1) as i from numbered),
+    totals as (select lang, count(*) as n from word group by lang),
+    counted as (select lang, m, phrase, count(*) as f from ({grams}) g where got = m group by all having count(*) >= {least}),
+    candidates as (select lang, m, phrase, f as a, string_split(phrase, ' ') as w from counted where m > 1),
+    cut as (select *, unnest(range(1, m)) as k from candidates),
+    parts as (
+        select c.lang, c.phrase, c.a, k, l.f as l, r.f as r, n, (1000 * c.a::hugeint * n::hugeint) // (l.f::hugeint * r.f::hugeint) as score
+        from cut c join counted l on l.lang = c.lang and l.phrase = array_to_string(c.w[1:k], ' ')
+        join counted r on r.lang = c.lang and r.phrase = array_to_string(c.w[k + 1:], ' ') join totals t on t.lang = c.lang),
+    lowest as (select * from parts qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+    inside as (
+        select c.lang, array_to_string(c.w[s:s + m2 - 1], ' ') as phrase, max(c.a) as longer
+        from (select *, unnest(range(2, m)) as m2 from candidates) c, lateral (select unnest(range(1, c.m - c.m2 + 2)) as s) p group by all),
+    kept as (select x.* from lowest x left join inside i on i.lang = x.lang and i.phrase = x.phrase where longer is null or 100 * longer < 100 * a),
+    ranked as (select *, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank from kept)
+    select lang, rank, phrase, a, l, r, n::bigint as n, score::bigint as score from ranked where rank <= {top}"""
