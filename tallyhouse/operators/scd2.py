@@ -99,9 +99,14 @@ def rebuild_history(changes: DataFrame, key: str, at: str) -> DataFrame:
 
 
 def backdate_current(history: DataFrame, created: DataFrame, *, key: str, created_key: str, created_at: str) -> DataFrame:
-    """Pull the open version's start back to the source's creation time when that is earlier."""
+    """Pull the open version's start back to the source's creation time when that is earlier.
+
+    Only where it is the key's first version: a later one must not reach back over those before it.
+    """
     src = created.select(F.col(created_key).cast("string").alias("_ck"), F.col(created_at).cast("timestamp").alias("_cat"))
     src = src.groupBy("_ck").agg(F.min("_cat").alias("_cat"))
+    followed = history.filter(F.col("valid_to").isNotNull()).select(F.col(key).alias("_ck")).distinct()
+    src = src.join(followed, "_ck", "left_anti")
     earlier = F.col("valid_to").isNull() & (F.col("_cat") < F.col("valid_from"))
     return (
         history.join(src, F.col(key) == F.col("_ck"), "left")

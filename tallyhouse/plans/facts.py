@@ -14,7 +14,7 @@ from tallyhouse.operators.fx import with_fx_rate
 from tallyhouse.operators.intervals import point_in_time_join
 from tallyhouse.operators.lookup import country_level, lookup_with_wildcard
 from tallyhouse.operators.snapshots import bucket_totals, snapshot_days, trailing_totals
-from tallyhouse.operators.upsert import cutoff, since_cutoff
+from tallyhouse.operators.upsert import since_cutoff
 from tallyhouse.params import Params
 
 ORDER_AMOUNTS = ("gross_amount", "discount_amount", "tax_amount", "shipping_amount", "tip_amount", "net_amount")
@@ -22,6 +22,11 @@ META_CHANNEL = "paid_social_meta"
 
 
 # ---- Orders -------------------------------------------------------------------------------
+def under(rows: DataFrame, touched: DataFrame | None, key: str = "order_id") -> DataFrame:
+    """The rows of touched orders; all rows where nothing limits them."""
+    return rows if touched is None else rows.join(touched.select(F.col("order_id").alias(key)), key, "left_semi")
+
+
 def is_paid_back(item: Column) -> Column:
     """A refund transaction that went through."""
     return (F.lower(item["kind"]) == "refund") & (F.lower(item["status"]) == "success")
@@ -72,9 +77,13 @@ def fact_orders(
     enriched: DataFrame, refunds: DataFrame, charges: DataFrame, *, dim_customer: DataFrame,
     dim_channel: DataFrame, dim_geography: DataFrame, dim_payment_method: DataFrame, fx_rates: DataFrame,
     channel_mapping: DataFrame, params: Params, existing: DataFrame | None = None, links: DataFrame | None = None,
+    touched: DataFrame | None = None,
 ) -> DataFrame:
     """One row per order in reporting currency, with its dimension keys and attribution.
 
+    ``touched`` (``order_id``) limits a second run to these orders; so does ``existing``, the stored
+    fact, to orders updated since. Refunds and charges are then read for these orders only.
+
     With ``links`` (``customer_links``) an order finds its customer through every storefront id
     that was merged into that customer, not only through the newest one.
 
@@ -83,7 +92,8 @@ def fact_orders(
     Everything keyed by order id joins first, so those joins share one partitioning of the
     orders; customer versions follow; rates, channels and countries are small lookups.
     """
-    recent = since_cutoff(enriched, existing, "updated_at", params.lookback_days["fact_orders"])
+    recent = under(since_cutoff(enriched, existing, "updated_at", params.lookback_days["fact_orders"]), touched)
+    refunds, charges = under(refunds, touched), under(charges, touched, "shopify_order_id")
     df = (
         recent.join(refund_totals(refunds), "order_id", "left")
         .join(charge_payment_methods(charges, dim_payment_method), "order_id", "left")
@@ -149,7 +159,7 @@ def line_margin(net: Column, quantity: Column, unit_cost: Column, rate: Column)
 
 def fact_order_lines(
     lines: DataFrame, orders: DataFrame, refunds: DataFrame, dim_product: DataFrame, params: Params,
-    existing: DataFrame | None = None,
+    touched: DataFrame | None = None,
 ) -> DataFrame:
     """One row per order line with the product version of the order day, cost, margin and returns.
 
@@ -157,7 +167,7 @@ def fact_order_lines(
     row where variants share a SKU.
     """
     product_key = "variant_id" if params.product_key == "variant" else "sku"
-    recent = since_cutoff(lines, existing, "_loaded_at", params.lookback_days["fact_order_lines"])
+    recent, refunds, orders = under(lines, touched), under(refunds, touched), under(orders, touched)
     ctx = orders.select("order_id", "order_sk", "customer_sk", "channel_sk", "order_date", "order_timestamp",
                         "fx_rate_to_reporting")
     df = recent.join(refunded_lines(refunds), ["order_id", "line_item_id"], "left").join(ctx, "order_id", "left")
@@ -199,20 +209,20 @@ def processor_context(charges: DataFrame, processor_refunds: DataFrame) -> DataF
 
 def fact_refunds(
     refunds: DataFrame, orders: DataFrame, charges: DataFrame, processor_refunds: DataFrame, params: Params,
-    existing: DataFrame | None = None, disputes: DataFrame | None = None,
+    touched: DataFrame | None = None, disputes: DataFrame | None = None,
 ) -> DataFrame:
     """One row per refund: amount, type, category, processor. Payload sums happen inside the row.
 
     With ``disputes`` given, cardholder disputes are added as refunds of type ``chargeback``.
     """
-    recent = since_cutoff(refunds, existing, "refund_timestamp", params.lookback_days["fact_refunds"])
+    recent, known_charges = under(refunds, touched), under(charges, touched, "shopify_order_id")
     txns = F.col("refund_transactions")
     shipping = lambda t: is_paid_back(t) & F.lower(F.coalesce(t["reason"], F.lit(""))).contains("shipping")
     ctx = orders.select("order_id", "order_sk", "customer_sk", "net_amount", "fx_rate_to_reporting", "original_currency_code")
     df = (
         recent.withColumns({"_amount": sum_items(txns, "amount", is_paid_back), "_ship": sum_items(txns, "amount", shipping)})
         .join(ctx, "order_id", "left")
-        .join(processor_context(charges, processor_refunds), "order_id", "left")
+        .join(processor_context(known_charges, processor_refunds), "order_id", "left")
         .withColumns({
             "refund_type": C.refund_type(F.col("_amount"), F.col("net_amount")),
             "is_chargeback": F.coalesce(F.col("processor_reason") == "fraudulent", F.lit(False)),
@@ -231,6 +241,8 @@ def fact_refunds(
             F.lit(0).cast("decimal(18,6)").alias("_ship"), "fx_rate_to_reporting", "original_currency_code", "charge_id",
             F.lit(True).alias("is_chargeback"), "_extracted_at",
         )
+        if touched is not None:
+            extra = extra.join(touched.withColumn("_touched", F.lit(True)), "order_id", "left").filter("_touched or order_id is null").drop("_touched")
         df = df.unionByName(extra)
     rate, none4 = F.col("fx_rate_to_reporting"), F.lit(0).cast("decimal(18,4)")
     out = df.select(
@@ -447,15 +459,15 @@ def fact_customer_state_daily(orders: DataFrame, dim_customer: DataFrame, params
 
 # ---- Inventory ----------------------------------------------------------------------------
 def fact_inventory_movements(
-    order_lines: DataFrame, orders: DataFrame, refunds: DataFrame, params: Params, existing: DataFrame | None = None,
+    order_lines: DataFrame, orders: DataFrame, refunds: DataFrame, params: Params, touched: DataFrame | None = None,
     refund_lines: DataFrame | None = None,
 ) -> DataFrame:
-    """Sales (negative) and returns (positive) per line.
+    """Sales (negative) and returns (positive) per line, of touched orders only where ``touched`` is given.
 
     Returns follow every refund of the order; with ``refund_lines``, the staged refunds, they are
     the units that each refund's payload names for a line, so no unit comes back twice.
     """
-    start = cutoff(existing, "movement_date", params.lookback_days["fact_inventory_movements"])
+    order_lines, orders, refunds = under(order_lines, touched), under(orders, touched), under(refunds, touched)
     lines = order_lines.select("line_item_id", "order_id", "product_sk", "sku", "quantity", "refunded_quantity", "unit_cost")
     kept = F.col("quantity") - F.col("refunded_quantity")
     sold = kept if params.sale_quantity == "net" else F.col("quantity")
@@ -471,10 +483,10 @@ def fact_inventory_movements(
             C.null_as("string").alias("created_by"), "_extracted_at",
         )
 
-    open_orders = orders.filter(C.not_cancelled(F.col("order_status")) & (F.col("order_date") >= start))
+    open_orders = orders.filter(C.not_cancelled(F.col("order_status")) & F.col("order_date").isNotNull())
     sales = lines.filter(sold != 0).join(open_orders.select("order_id", "order_date", "order_timestamp", "_extracted_at"), "order_id")
     returned = lines.filter(F.col("refunded_quantity") > 0).join(
-        refunds.filter(F.col("refund_date") >= start).select(
+        refunds.filter(F.col("refund_date").isNotNull()).select(
             "order_id", "refund_id", "refund_date", "refund_timestamp", "refund_reason", "_extracted_at"
         ),
         "order_id",
@@ -483,7 +495,7 @@ def fact_inventory_movements(
     if refund_lines is not None:
         item = refund_lines.select("refund_id", F.explode("refund_line_items").alias("i")).filter(F.col("i.line_item_id").isNotNull())
         units = item.groupBy("refund_id", F.col("i.line_item_id").alias("line_item_id")).agg(F.sum(F.col("i.quantity").try_cast("decimal(18,2)")).alias("units"))
-        recent = refunds.filter(F.col("refund_date") >= start).select("order_id", "refund_id", "refund_date", "refund_timestamp", "refund_reason", "_extracted_at")
+        recent = refunds.filter(F.col("refund_date").isNotNull()).select("order_id", "refund_id", "refund_date", "refund_timestamp", "refund_reason", "_extracted_at")
         returned = lines.join(recent.join(units, "refund_id"), ["order_id", "line_item_id"]).filter(F.col("units") != 0)
         back = F.col("units")
     both = shape(sales, F.concat(F.lit("sale_"), "line_item_id"), "sale", "order_date", "order_timestamp", sold, -1, C.null_as("string")).unionByName(

@@ -2,78 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection, Mapping
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.stored import stored
-from tallyhouse.operators.upsert import replace_table, since_cutoff, upsert_table
+from tallyhouse.operators.upsert import first_day, since_cutoff
 from tallyhouse.operators.scd2 import backdate_current, scd2_merge, scd2_start
 from tallyhouse.params import Params
 from tallyhouse.plans import dims, facts, marts, rules
 from tallyhouse.plans.identity import apply_erasure, customer_links, erase_orders, identity_records, resolve_identity
 from tallyhouse.plans.sessions import enrich_orders, sessionize, without_bots
 from tallyhouse.plans.staging import STAGES, klaviyo
+from tallyhouse.plans.store import Scope, Store
 from tallyhouse.sources.mapping import Overrides
 from tallyhouse.sources.seeds import with_channel_overrides
 
-Save = Callable[[str, DataFrame], DataFrame]
-
-
-@dataclass(frozen=True)
-class Merge:
-    """How a fact's batch goes into its stored table: rows with these keys are replaced; files lie by the day's month."""
-
-    keys: tuple[str, ...]
-    day: str
-
-
-# Lines replace all lines of their order; everything else is replaced row by row.
-MERGES = {
-    "fact_orders": Merge(("order_id",), "order_date"),
-    "fact_order_lines": Merge(("order_id",), "order_date"),
-    "fact_refunds": Merge(("refund_id",), "refund_date"),
-    "fact_marketing_spend": Merge(("spend_sk",), "spend_date"),
-    "fact_web_sessions": Merge(("session_id",), "session_date"),
-    "fact_email_engagement": Merge(("event_id",), "event_date"),
-    "fact_inventory_movements": Merge(("movement_id",), "movement_date"),
-    "fact_customer_state_daily": Merge(("customer_id", "snapshot_date"), "snapshot_date"),
-    "fact_inventory_snapshot": Merge(("inventory_item_id", "location_id", "snapshot_date"), "snapshot_date"),
-}
-HISTORIES = ("snap_customer", "snap_product", "snap_marketing_campaign")
-MONTH = "load_month"
-
-
-def table_saver(spark: SparkSession, database: str, names: Collection[str] | None = None) -> Save:
-    """Write each result (or those of ``names``) as a table and go on from the stored table.
-
-    Facts are merged by their keys, so whatever reads them next sees old and new rows. All other
-    models are rebuilt under a new name and swapped in. This cuts the lineage at every model: a
-    lost executor recomputes one model at most, and a failed run leaves the stored tables whole.
-    """
-
-    def save(name: str, df: DataFrame) -> DataFrame:
-        if names is not None and name not in names:
-            return df
-        table, merge = f"{database}.{name}", MERGES.get(name)
-        if merge is None:
-            replace_table(df, table)
-            return spark.table(table)
-        month = F.coalesce(F.date_format(merge.day, "yyyy-MM"), F.lit("none"))
-        upsert_table(df.withColumn(MONTH, month).hint("rebalance", MONTH), table, merge.keys, MONTH, table)
-        return spark.table(table).drop(MONTH)
-
-    return save
-
-
-def stored_state(spark: SparkSession, database: str) -> dict[str, dict[str, DataFrame]]:
-    """``history`` and ``existing`` of a ``Warehouse`` from what earlier runs have stored."""
-    def there(names: Collection[str]) -> dict[str, DataFrame]:
-        return {n: spark.table(f"{database}.{n}").drop(MONTH) for n in names if spark.catalog.tableExists(f"{database}.{n}")}
-
-    return {"history": there(HISTORIES), "existing": there(MERGES)}
+Save = Callable[[str, DataFrame, Scope], DataFrame]
 
 
 # Models that several others are built on; everything else is a projection or is read once.
@@ -86,7 +32,25 @@ SHARED = frozenset({
 
 def shared_saver(names: frozenset[str] = SHARED) -> Save:
     """Store the shared models in the session's shared folder, leave the others lazy."""
-    return lambda name, df: stored(df, name) if name in names else df
+    return lambda name, df, _: stored(df, name) if name in names else df
+
+
+def stored_run(spark: SparkSession, database: str, raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame], params: Params, *,
+               names: list[str] | None = None, kept: frozenset[str] | None = None, overrides: Overrides | None = None) -> dict[str, DataFrame]:
+    """One run of a stored warehouse: builds ``names`` (all models by default), then publishes them together.
+
+    ``kept`` limits what is stored. If the run fails, readers go on seeing the former one.
+    """
+    store = Store(spark, database, kept)
+    house = Warehouse(spark, raw, seeds, params, overrides=overrides, save=store.save, **store.state())
+    built = house.build(names)
+    store.publish()
+    return built
+
+
+# Facts that second runs replace by order, and those they replace by day: the column whose newest stored value limits a run.
+BY_ORDER = ("fact_orders", "fact_order_lines", "fact_refunds", "fact_inventory_movements")
+BY_DAY = {"fact_marketing_spend": "spend_date", "fact_web_sessions": "session_date", "fact_email_engagement": "event_timestamp"}
 
 
 class Warehouse:
@@ -104,7 +68,7 @@ class Warehouse:
     def __init__(
         self, spark: SparkSession, raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame], params: Params, *,
         history: Mapping[str, DataFrame] | None = None, existing: Mapping[str, DataFrame] | None = None,
-        overrides: Overrides | None = None, save: Save = lambda _, df: df,
+        overrides: Overrides | None = None, save: Save = lambda _, df, __: df,
     ) -> None:
         self.spark, self.raw, self.seeds, self.params = spark, raw, seeds, params
         self.history, self.existing, self.overrides = history or {}, existing or {}, overrides or {}
@@ -112,9 +76,22 @@ class Warehouse:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
-            self._made[name] = self._save(name, MODELS[name](self))
+            df = MODELS[name](self)
+            self._made[name] = self._save(name, df, self.scope(name))
         return self._made[name]
 
+    def scope(self, name: str) -> Scope:
+        """What of a stored fact its batch replaces: touched orders, or all days from one on. None: what the batch holds."""
+        if name in BY_ORDER:
+            return self.touched_orders()
+        if name in BY_DAY and name in self.existing:
+            return first_day(self.existing[name], BY_DAY[name], self.params.lookback_days[name])
+        return None
+
+    def touched_orders(self) -> DataFrame | None:
+        """Orders whose facts are to be made anew; None on a first run, where all are."""
+        return self["int_touched_orders"] if "fact_orders" in self.existing else None
+
     def build(self, names: list[str] | None = None) -> dict[str, DataFrame]:
         """Several models, by default all of them, in dependency order."""
         return {name: self[name] for name in names or MODELS}
@@ -165,13 +142,32 @@ def _campaign_names(w: Warehouse) -> DataFrame:
     return campaigns if pattern is None else rules.parse_campaign_name(campaigns, pattern)
 
 
+def _touched_orders(w: Warehouse) -> DataFrame:
+    """Orders changed, refunded or charged since the last load, and orders that stopped being their customer's first.
+
+    ``int_touched_orders`` is what second runs pass downstream: facts under these orders are replaced as a set.
+    """
+    stored_orders, stored_refunds = w.existing["fact_orders"], w.existing.get("fact_refunds")
+    days = w.params.lookback_days
+    changed = since_cutoff(w["stg_shopify__orders"], stored_orders, "updated_at", days["fact_orders"]).select("order_id")
+    refunded = since_cutoff(w["stg_shopify__refunds"], stored_refunds, "refund_timestamp", days["fact_refunds"]).select("order_id")
+    newest = first_day(stored_orders, "updated_at", days["fact_orders"])
+    charged = w["stg_stripe__charges"].filter(F.col("charge_timestamp").isNull() | (F.col("charge_timestamp") >= F.lit(newest).cast("timestamp")))
+    once_first = stored_orders.filter("is_first_order").select("order_id")
+    no_longer = once_first.join(w["int_orders_enriched"].filter("is_repeat_order").select("order_id"), "order_id")
+    every = changed.union(refunded).union(charged.filter(F.col("shopify_order_id").isNotNull()).select("shopify_order_id")).union(no_longer)
+    if w.params.rules.disputes_as_refunds:
+        every = every.union(w["stg_stripe__disputes"].join(w["stg_stripe__charges"].select("charge_id", "shopify_order_id"), "charge_id").select("shopify_order_id"))
+    return stored(every.filter(F.col("order_id").isNotNull()).distinct(), "touched_orders")
+
+
 def _fact_orders(w: Warehouse) -> DataFrame:
-    existing, days = w.existing.get("fact_orders"), w.params.lookback_days["fact_orders"]
+    existing, days, touched = w.existing.get("fact_orders"), w.params.lookback_days["fact_orders"], w.touched_orders()
     orders = facts.fact_orders(
         w["int_orders_enriched"], w["stg_shopify__refunds"], w["stg_stripe__charges"],
         dim_customer=w["dim_customer"], dim_channel=w["dim_channel"], dim_geography=w["dim_geography"],
         dim_payment_method=w["dim_payment_method"], fx_rates=w.seeds["fx_rates"],
-        channel_mapping=w.channels(), params=w.params, existing=existing,
+        channel_mapping=w.channels(), params=w.params, touched=touched,
         links=w["int_customer_links"] if w.params.link_customers else None)
     if w.params.rules.synthetic_orders:
         charges = w["stg_stripe__charges"]
@@ -181,8 +177,7 @@ def _fact_orders(w: Warehouse) -> DataFrame:
     if "erasure_requests" in w.seeds:
         stored_before = None
         if existing is not None:
-            changed = since_cutoff(w["stg_shopify__orders"], existing, "updated_at", days).select("order_id")
-            stored_before = existing.join(changed, "order_id", "left_anti")
+            stored_before = existing.join(touched, "order_id", "left_anti")
         orders = erase_orders(orders, w.seeds["erasure_requests"], w.params, stored_before)
     return orders
 
@@ -221,18 +216,19 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "dim_product": lambda w: dims.dim_product(w["snap_product"], w.seeds["product_category_mapping"], w.params),
     "dim_marketing_campaign": lambda w: dims.dim_marketing_campaign(w["snap_marketing_campaign"], w["dim_channel"], w.params),
     "int_orders_enriched": lambda w: enrich_orders(w["stg_shopify__orders"], w["stg_shopify__order_line_items"]),
+    "int_touched_orders": lambda w: _touched_orders(w) if "fact_orders" in w.existing else w["stg_shopify__orders"].select("order_id"),
     "int_web_sessions": _web_sessions,
     "int_campaign_names": _campaign_names,
     "int_marketing_insights": lambda w: rules.insights_at(w["stg_meta_ads__daily_insights"], w.params.rules.insight_level),
     "fact_orders": _fact_orders,
     "fact_order_lines": lambda w: facts.fact_order_lines(
         w["stg_shopify__order_line_items"], w["fact_orders"], w["stg_shopify__refunds"], w["dim_product"], w.params,
-        w.existing.get("fact_order_lines")),
+        w.touched_orders()),
     "fact_refunds": lambda w: facts.fact_refunds(
         w["stg_shopify__refunds"], w["fact_orders"], w["stg_stripe__charges"], w["stg_stripe__refunds"], w.params,
-        w.existing.get("fact_refunds"), w["stg_stripe__disputes"] if w.params.rules.disputes_as_refunds else None),
+        w.touched_orders(), w["stg_stripe__disputes"] if w.params.rules.disputes_as_refunds else None),
     "fact_inventory_movements": lambda w: facts.fact_inventory_movements(
-        w["fact_order_lines"], w["fact_orders"], w["fact_refunds"], w.params, w.existing.get("fact_inventory_movements"),
+        w["fact_order_lines"], w["fact_orders"], w["fact_refunds"], w.params, w.touched_orders(),
         w["stg_shopify__refunds"] if w.params.return_units == "refund_line" else None),
     "fact_inventory_snapshot": _fact_inventory_snapshot,
     "fact_customer_state_daily": lambda w: facts.fact_customer_state_daily(w["fact_orders"], w["dim_customer"], w.params),

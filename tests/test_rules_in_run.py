@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.params import B2bRule, Params, Rules
 from tallyhouse.plans.identity import ORDER_PERSONAL
-from tallyhouse.plans.warehouse import SHARED, Warehouse, stored_state, table_saver
+from tallyhouse.plans.warehouse import SHARED, Warehouse, stored_run
 from tallyhouse.sources.seeds import SEED_SCHEMAS, small_table
 from tallyhouse.workload.raw import PARAMS
 from tallyhouse.workload.registry import lab
@@ -64,8 +64,7 @@ def test_erasure_reaches_stored_rows(spark):
     names = ["snap_customer", "dim_customer", "fact_orders"]
 
     def run(seeds):
-        house = Warehouse(spark, shop.raw, seeds, PARAMS, save=table_saver(spark, database, SHARED | {*names}), **stored_state(spark, database))
-        return house.build(names)
+        return stored_run(spark, database, shop.raw, seeds, PARAMS, names=names, kept=SHARED | {*names})
 
     seeds = {n: shop.seeds()[n] for n in shop.seeds()}
     first = run(seeds)
