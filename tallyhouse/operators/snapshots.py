@@ -59,6 +59,24 @@ def trailing_totals(
     )
 
 
+def trailing_sums(
+    daily: DataFrame, asked: DataFrame, keys: Sequence[str], day: str, values: dict[str, str], first_back: int, last_back: int
+) -> DataFrame:
+    """Sums over a trailing window of days before each asked (key, ``snapshot_date``), by running sums.
+
+    A day's value enters the window once and leaves it once: two changes, however long the window and
+    however many snapshots it meets. ``daily`` holds one row per key and day, ``asked`` one per key and
+    snapshot; the exchange carries these rows and no copies. ``values`` maps columns to names.
+    """
+    comes = daily.select(*keys, F.date_add(day, last_back).alias("_at"), *[F.col(v) for v in values])
+    goes = daily.select(*keys, F.date_add(day, first_back + 1).alias("_at"), *[(-F.col(v)).cast(daily.schema[v].dataType).alias(v) for v in values])
+    points = asked.select(*keys, F.col("snapshot_date").alias("_at"), *[F.lit(0).cast(daily.schema[v].dataType).alias(v) for v in values], F.lit(True).alias("_asked"))
+    line = comes.union(goes).withColumn("_asked", F.lit(False)).unionByName(points)
+    so_far = W.partitionBy(*keys).orderBy("_at").rangeBetween(W.unboundedPreceding, W.currentRow)
+    sums = line.select(*keys, "_at", "_asked", *[F.sum(v).over(so_far).alias(name) for v, name in values.items()])
+    return sums.filter("_asked").select(*keys, F.col("_at").alias("snapshot_date"), *values.values())
+
+
 def bucket_totals(
     daily: DataFrame, days: DataFrame, keys: Sequence[str], day: str, totals: dict[str, Column]
 ) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -13,7 +15,7 @@ from tallyhouse.operators.dedup import latest_per_key
 from tallyhouse.operators.fx import with_fx_rate
 from tallyhouse.operators.intervals import point_in_time_join
 from tallyhouse.operators.lookup import country_level, lookup_with_wildcard
-from tallyhouse.operators.snapshots import bucket_totals, snapshot_days, trailing_totals
+from tallyhouse.operators.snapshots import bucket_totals, snapshot_days, trailing_sums, trailing_totals
 from tallyhouse.operators.upsert import since_cutoff
 from tallyhouse.params import Params
 
@@ -427,16 +429,21 @@ def customer_grid(customers: DataFrame, days: DataFrame) -> DataFrame:
     return every.filter(known).select("customer_id", "snapshot_date", F.lit(True).alias("_wanted"))
 
 
-def fact_customer_state_daily(orders: DataFrame, dim_customer: DataFrame, params: Params) -> DataFrame:
-    """One row per active customer and snapshot day, all measures as of that day."""
+def customer_days(orders: DataFrame, dim_customer: DataFrame, params: Params) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What customer state is made of: orders per customer and day, tracked customers, snapshot days."""
     as_of = F.lit(params.as_of)
-    mode = "today" if params.snapshot_mode == "today" else "month_end"
-    days = snapshot_days(mode, orders, as_of, "order_date")
+    days = snapshot_days("today" if params.snapshot_mode == "today" else "month_end", orders, as_of, "order_date")
     sold = orders.filter(C.not_cancelled(F.col("order_status")) & F.col("customer_id").isNotNull() & (F.col("order_date") <= as_of))
     daily = sold.groupBy("customer_id", "order_date").agg(
         F.count("*").alias("n"), F.sum("net_after_refunds").alias("rev"), F.sum("total_quantity").alias("qty")
     )
-    people = active_customers(dim_customer, as_of)
+    return daily, active_customers(dim_customer, as_of), days
+
+
+def fact_customer_state_daily(orders: DataFrame, dim_customer: DataFrame, params: Params) -> DataFrame:
+    """One row per active customer and snapshot day, all measures as of that day."""
+    as_of = F.lit(params.as_of)
+    daily, people, days = customer_days(orders, dim_customer, params)
     df = customer_order_metrics(daily, days, customer_grid(people, days)).join(people, "customer_id")
     day = F.col("snapshot_date")
     since = lambda c: F.datediff(day, F.col(c))
@@ -507,45 +514,49 @@ def fact_inventory_movements(
                       business_columns=["movement_id"], extracted_at="_extracted_at")
 
 
-def movements_after(movements: DataFrame, days: DataFrame) -> DataFrame:
-    """Net stock change after each snapshot day per SKU, where there is any.
+def average_daily_units(order_lines: DataFrame, asked: DataFrame) -> DataFrame:
+    """Units per day over the 28 days before each asked (SKU, snapshot), the snapshot day itself left out."""
+    totals = trailing_sums(daily_units(order_lines), asked, ["sku"], "order_date", {"units": "units_28d"}, 28, 1)
+    return totals.select("sku", "snapshot_date", (F.col("units_28d").cast("double") / 28.0).alias("avg_daily_units_28d"))
 
-    Movements fall into the gap between two snapshots; a suffix sum over one SKU's gaps gives
-    the change after every snapshot. Gaps of a SKU number at most the snapshots plus one.
-    """
-    daily = movements.filter(F.col("sku").isNotNull()).groupBy("sku", "movement_date").agg(F.sum("quantity_change").alias("q"))
-    # A day belongs to the snapshots before it: bucket = the latest snapshot strictly earlier.
-    ordered = W.orderBy("snapshot_date")
-    nxt = F.lead("snapshot_date").over(ordered)
-    hi = daily.agg(F.max("movement_date")).scalar()
-    spans = days.withColumn("_to", F.coalesce(nxt, F.greatest(hi, F.date_add("snapshot_date", 1))))
-    pairs = spans.select("snapshot_date", F.explode(F.sequence(F.date_add("snapshot_date", 1), "_to")).alias("_day"))
-    gaps = daily.join(pairs, F.col("movement_date") == F.col("_day")).groupBy("sku", "snapshot_date").agg(F.sum("q").alias("q"))
-    listed = days.agg(F.collect_set("snapshot_date")).scalar()
-    last = gaps.groupBy("sku").agg(F.max("snapshot_date").alias("_last"))
-    grid = last.select("sku", "_last", F.explode(listed).alias("snapshot_date")).filter(F.col("snapshot_date") <= F.col("_last"))
-    later = W.partitionBy("sku").orderBy(F.desc("snapshot_date"))
-    return grid.join(gaps, ["sku", "snapshot_date"], "left").select(
-        "sku", "snapshot_date", F.coalesce(F.sum("q").over(later), F.lit(0)).cast("decimal(18,2)").alias("qty_after")
-    )
 
+def daily_units(order_lines: DataFrame) -> DataFrame:
+    """Units sold less those returned, per SKU and day."""
+    net = (F.col("quantity") - F.col("refunded_quantity")).cast("decimal(18,2)")
+    return order_lines.filter(F.col("sku").isNotNull()).groupBy("sku", "order_date").agg(F.sum(net).cast("decimal(28,2)").alias("units"))
 
-def average_daily_units(order_lines: DataFrame, days: DataFrame) -> DataFrame:
-    """Units per day over the 28 days before each snapshot, the snapshot day itself left out."""
-    net = F.col("quantity") - F.col("refunded_quantity")
-    daily = order_lines.filter(F.col("sku").isNotNull()).groupBy("sku", "order_date").agg(F.sum(net).alias("units"))
-    totals = trailing_totals(daily, days, ["sku"], "order_date", {"units_28d": F.sum("units")}, 28, 1)
-    return totals.select("sku", "snapshot_date", (F.col("units_28d").cast("double") / 28.0).alias("avg_daily_units_28d"))
 
+def sku_days(days: DataFrame, order_lines: DataFrame | None, movements: DataFrame | None) -> DataFrame:
+    """Per SKU an array over the snapshot days in ascending order: units sold in the 28 days before, stock change after.
 
-def by_snapshot(df: DataFrame, value: str) -> DataFrame:
-    """One row per SKU with a map from snapshot day to ``value``; as long as the list of snapshots at most."""
-    return df.groupBy("sku").agg(F.map_from_entries(F.collect_list(F.struct("snapshot_date", value))).alias(value))
+    A movement falls into the gap behind a snapshot, and a suffix sum over the gaps gives what came
+    after each. Places in the array are places in the sorted list of days, so a reader takes a day's
+    values by index.
+    """
+    zero = F.lit(0).cast("decimal(28,2)")
+    parts = []
+    if order_lines is not None:
+        sold = trailing_totals(daily_units(order_lines), days, ["sku"], "order_date", {"units": F.sum("units").cast("decimal(28,2)")}, 28, 1)
+        parts.append(sold.select("sku", "snapshot_date", "units", zero.alias("q")))
+    if movements is not None:
+        daily = movements.filter(F.col("sku").isNotNull()).groupBy("sku", "movement_date").agg(F.sum("quantity_change").alias("q"))
+        hi = daily.agg(F.max("movement_date")).scalar()
+        behind = F.coalesce(F.lead("snapshot_date").over(W.orderBy("snapshot_date")), F.greatest(hi, F.date_add("snapshot_date", 1)))
+        pairs = days.select("snapshot_date", behind.alias("_to")).select("snapshot_date", F.explode(F.sequence(F.date_add("snapshot_date", 1), "_to")).alias("_day"))
+        gaps = daily.join(pairs, F.col("movement_date") == F.col("_day"))
+        parts.append(gaps.select("sku", "snapshot_date", zero.alias("units"), F.col("q").cast("decimal(28,2)").alias("q")))
+    changes = reduce(DataFrame.unionByName, parts)
+    listed = days.agg(F.collect_set("snapshot_date")).scalar()
+    every = changes.select("sku").distinct().select("sku", F.explode(listed).alias("snapshot_date"), zero.alias("units"), zero.alias("q"))
+    summed = changes.unionByName(every).groupBy("sku", "snapshot_date").agg(F.sum("units").alias("units"), F.sum("q").alias("q"))
+    later = W.partitionBy("sku").orderBy(F.desc("snapshot_date"))
+    after = summed.select("sku", "snapshot_date", (F.col("units").cast("double") / 28.0).alias("units"), F.sum("q").over(later).cast("decimal(18,2)").alias("after"))
+    return after.groupBy("sku").agg(F.array_sort(F.collect_list(F.struct("snapshot_date", "units", "after"))).alias("_by_day"))
 
 
 def stock_by_day(
-    levels: DataFrame, items: DataFrame, days: DataFrame, params: Params, *, units: DataFrame, movements: DataFrame | None = None,
-    daily_feed: DataFrame | None = None,
+    levels: DataFrame, items: DataFrame, days: DataFrame, params: Params, *, order_lines: DataFrame | None = None,
+    movements: DataFrame | None = None, daily_feed: DataFrame | None = None,
 ) -> DataFrame:
     """Stock per (item, location): today's level, rebuilt month-ends, or a row of the daily feed.
 
@@ -556,34 +567,26 @@ def stock_by_day(
     columns = ["inventory_item_id", "location_id", "sku", "unit_cost", "quantity_incoming", "_extracted_at"]
     stock = F.col("quantity_available").cast("decimal(18,2)")
     if params.snapshot_mode == "daily":
-        fed = daily_feed.join(costs, "inventory_item_id", "left").join(units, ["sku", "snapshot_date"], "left")
+        fed = daily_feed.join(costs, "inventory_item_id", "left")
+        asked = fed.filter(F.col("sku").isNotNull()).select("sku", "snapshot_date").distinct()
+        fed = fed.join(average_daily_units(order_lines, asked), ["sku", "snapshot_date"], "left")
         return fed.select(*columns, F.array(F.struct("snapshot_date", stock.alias("quantity_available"), "avg_daily_units_28d")).alias("_days"))
-    listed = days.agg(F.collect_set("snapshot_date")).scalar()
-    base = levels.join(costs, "inventory_item_id", "left").join(by_snapshot(units, "avg_daily_units_28d"), "sku", "left")
-    if params.snapshot_mode == "month_end":
-        base = base.join(by_snapshot(movements_after(movements, days), "qty_after"), "sku", "left")
-
-    def on(day: Column) -> Column:
-        then = stock
-        if params.snapshot_mode == "month_end":
-            then = (stock - F.coalesce(F.try_element_at("qty_after", day), F.lit(0))).cast("decimal(18,2)")
+    listed = days.agg(F.array_sort(F.collect_set("snapshot_date"))).scalar()
+    base = levels.join(costs, "inventory_item_id", "left")
+    rebuilt = movements if params.snapshot_mode == "month_end" else None
+    base = base.join(sku_days(days, order_lines, rebuilt), "sku", "left")
+
+    def on(day: Column, i: Column) -> Column:
+        then, at = stock, F.get("_by_day", i)
+        if rebuilt is not None:
+            then = (stock - F.coalesce(at["after"], F.lit(0))).cast("decimal(18,2)")
             # NULL stock stays NULL: greatest() alone would turn it into 0.
             then = F.when(then.isNotNull(), F.greatest(F.lit(0).cast("decimal(18,2)"), then))
-        return F.struct(day.alias("snapshot_date"), then.alias("quantity_available"), F.try_element_at("avg_daily_units_28d", day).alias("avg_daily_units_28d"))
+        return F.struct(day.alias("snapshot_date"), then.alias("quantity_available"), at["units"].alias("avg_daily_units_28d"))
 
     return base.withColumn("_listed", listed).select(*columns, F.transform("_listed", on).alias("_days"))
 
 
-def inventory_positions(
-    levels: DataFrame, items: DataFrame, days: DataFrame, params: Params, *, movements: DataFrame | None = None,
-    daily_feed: DataFrame | None = None,
-) -> DataFrame:
-    """``stock_by_day`` as one row per (item, location, day), without units."""
-    none = levels.sparkSession.createDataFrame([], "sku string, snapshot_date date, avg_daily_units_28d double")
-    by_day = stock_by_day(levels, items, days, params, units=none, movements=movements, daily_feed=daily_feed)
-    return by_day.select("*", F.inline("_days")).drop("_days", "avg_daily_units_28d")
-
-
 def days_of_supply(available: Column, daily_units: Column) -> Column:
     """Days the stock lasts; NULL without sales."""
     return F.when(F.coalesce(daily_units, F.lit(0.0)) > 0, (available.cast("double") / daily_units).cast("decimal(18,2)"))
@@ -599,8 +602,7 @@ def fact_inventory_snapshot(
         days = daily_feed.select("snapshot_date").distinct()
     else:
         days = snapshot_days(params.snapshot_mode, order_lines, as_of, "order_date")
-    units = average_daily_units(order_lines, days)
-    pos = stock_by_day(levels, items, days, params, units=units, movements=movements, daily_feed=daily_feed)
+    pos = stock_by_day(levels, items, days, params, order_lines=order_lines, movements=movements, daily_feed=daily_feed)
     products = dim_product.filter("is_current").select("sku", "product_sk")
     if params.product_key == "variant":  # a stock item knows only its SKU: one product each, so that stock is not doubled
         products = products.groupBy("sku").agg(F.min("product_sk").alias("product_sk"))

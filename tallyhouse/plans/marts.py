@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import classify as C
@@ -96,10 +97,73 @@ def daily_customer_state(state: DataFrame) -> DataFrame:
     )
 
 
+def swept_customer_state(daily: DataFrame, people: DataFrame, days: DataFrame) -> DataFrame:
+    """``daily_customer_state`` for a list of days, from changes instead of customers times days.
+
+    ``daily`` holds a customer's orders per day (``n``, ``rev``), ``people`` the tracked customers and
+    since when (``acquired``, NULL for always). A customer changes a KPI on few days: it is tracked from
+    acquisition, active from an order until 30 or 90 days after the last one, a repeat customer from
+    the second order. These changes are added up per day, and running sums give every snapshot.
+    """
+    start = F.coalesce("acquired", F.lit("0001-01-01").cast("date"))
+    own = daily.join(people.select("customer_id", start.alias("start")), "customer_id")
+    line = W.partitionBy("customer_id").orderBy("order_date")
+    day = F.col("order_date")
+    placed = own.select(
+        "*", F.lag("order_date").over(line).alias("prev"), F.lead("order_date").over(line).alias("next"),
+        F.sum("n").over(line.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("so_far"))
+    names, none = ("active_30", "active_90", "tracked", "fresh", "loyal", "orders", "revenue", "rev_30", "rev_90"), F.lit(0)
+    kind = {c: "decimal(38,4)" if c.startswith("rev") else "bigint" for c in names}
+
+    def change(at: Column, when: Column, **values: Column) -> Column:
+        """An array of one change on a day, or of none."""
+        row = F.struct(at.alias("at"), *[values.get(c, none).cast(kind[c]).alias(c) for c in names])
+        return F.filter(F.array(row), lambda _: when)
+
+    changes = [
+        # An order counts from its day, or from acquisition where that comes later.
+        change(F.greatest(day, "start"), F.lit(True), orders=F.col("n"), revenue=F.col("rev")),
+        change(F.greatest(day, "start"), (F.col("so_far") >= 2) & (F.col("so_far") - F.col("n") < 2), loyal=F.lit(1)),
+    ]
+    for span in (30, 90):
+        ends, active, revenue = F.date_add(day, span), f"active_{span}", f"rev_{span}"
+        seen = ends > F.col("start")
+        changes += [
+            change(F.greatest(day, "start"), seen, **{revenue: F.col("rev")}),
+            change(ends, seen, **{revenue: -F.col("rev")}),
+            # Windows that touch are one; what ends before acquisition was never seen.
+            change(F.greatest(day, "start"), seen & (F.col("prev").isNull() | (day >= F.date_add("prev", span)) | (F.date_add("prev", span) <= F.col("start"))), **{active: F.lit(1)}),
+            change(ends, seen & (F.col("next").isNull() | (F.col("next") >= ends)), **{active: F.lit(-1)}),
+        ]
+    of_orders = placed.select(F.inline(F.concat(*changes)))
+    since = people.select("acquired", start.alias("start"))
+    of_people = since.select(F.inline(F.concat(
+        change(F.col("start"), F.lit(True), tracked=F.lit(1)),
+        change(F.col("start"), F.col("acquired").isNotNull(), fresh=F.lit(1)),
+        change(F.date_add("start", 31), F.col("acquired").isNotNull(), fresh=F.lit(-1)))))
+    marks = days.select(F.col("snapshot_date").alias("at"), *[none.cast(kind[c]).alias(c) for c in names])
+    per_day = of_orders.unionByName(of_people).groupBy("at").agg(*[F.sum(c).cast(kind[c]).alias(c) for c in names])
+    # One row per calendar day with a change: what meets in one task is a calendar.
+    so_far = W.orderBy("at").rangeBetween(W.unboundedPreceding, W.currentRow)
+    line_of_days = per_day.withColumn("asked", F.lit(False)).unionByName(marks.withColumn("asked", F.lit(True)))
+    sums = line_of_days.select("at", "asked", *[F.sum(c).over(so_far).alias(c) for c in names]).filter("asked and tracked > 0")
+    return sums.select(
+        F.col("at").alias("snapshot_date"), F.col("active_30").alias("active_customers_30d"), F.col("active_90").alias("active_customers_90d"),
+        F.col("tracked").alias("total_tracked_customers"), F.col("fresh").alias("new_in_30d_window"), F.col("loyal").alias("repeat_customers"),
+        (F.col("revenue").cast("decimal(28,4)") / F.col("tracked")).alias("avg_lifetime_revenue"), (F.col("orders") / F.col("tracked")).alias("avg_lifetime_orders"),
+        F.col("rev_30").cast("decimal(38,4)").alias("total_trailing_30d_revenue"), F.col("rev_90").cast("decimal(38,4)").alias("total_trailing_90d_revenue"),
+    )
+
+
 def mart_customer(state: DataFrame, dim_date: DataFrame, params: Params) -> DataFrame:
-    """Customer KPIs; counts are points in time and must not be summed over days."""
+    """Customer KPIs from the customer fact; counts are points in time and must not be summed over days."""
+    return customer_kpis(daily_customer_state(state), dim_date, params)
+
+
+def customer_kpis(by_day: DataFrame, dim_date: DataFrame, params: Params) -> DataFrame:
+    """Customer KPIs per snapshot with date attributes."""
     dates = ("month_number", "month_name", "quarter_number", "quarter_name", "year", "is_mtd", "is_qtd", "is_ytd")
-    df = _with_date(daily_customer_state(state), "snapshot_date", dim_date, dates)
+    df = _with_date(by_day, "snapshot_date", dim_date, dates)
     measures = ("active_customers_30d", "active_customers_90d", "total_tracked_customers", "new_in_30d_window",
                 "repeat_customers", "avg_lifetime_revenue", "avg_lifetime_orders", "total_trailing_30d_revenue",
                 "total_trailing_90d_revenue")

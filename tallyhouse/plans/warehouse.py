@@ -191,6 +191,14 @@ def _fact_inventory_snapshot(w: Warehouse) -> DataFrame:
         daily_feed=w["stg_shopify__inventory_snapshots"] if mode == "daily" else None)
 
 
+def _mart_customer(w: Warehouse) -> DataFrame:
+    """Rebuilt snapshots come from daily changes; in mode ``today`` former days are only in the stored fact."""
+    if w.params.snapshot_mode == "today":
+        return marts.mart_customer(w["fact_customer_state_daily"], w["dim_date"], w.params)
+    swept = marts.swept_customer_state(*facts.customer_days(w["fact_orders"], w["dim_customer"], w.params))
+    return marts.customer_kpis(swept, w["dim_date"], w.params)
+
+
 MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
     **{f"stg_{name.replace('.', '__')}": _stage(name) for name in STAGES},
     "stg_shopify__customers": _stg_customers,
@@ -242,7 +250,7 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
         w["stg_klaviyo__events"], dim_customer=w["dim_customer"], dim_email_campaign=w["dim_email_campaign"], params=w.params,
         existing=w.existing.get("fact_email_engagement")),
     "mart_sales": lambda w: marts.mart_sales(w["fact_orders"], w["dim_date"], w["dim_channel"], w["dim_geography"], w.params),
-    "mart_customer": lambda w: marts.mart_customer(w["fact_customer_state_daily"], w["dim_date"], w.params),
+    "mart_customer": _mart_customer,
     "mart_inventory": lambda w: marts.mart_inventory(
         w["fact_inventory_snapshot"], w["dim_date"], w["dim_product"], w["dim_warehouse_location"], w.params),
 }

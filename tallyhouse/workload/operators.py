@@ -13,12 +13,14 @@ from tallyhouse.functions.json_ops import json_items, pivot_items, sum_items, te
 from tallyhouse.functions.keys import surrogate_key
 from tallyhouse.functions.pii import pii_hash
 from tallyhouse.operators import quality as Q
+from tallyhouse.operators import rolling
 from tallyhouse.operators.dedup import first_per_key, latest_per_key
 from tallyhouse.operators.fx import rate_intervals, with_fx_rate
 from tallyhouse.operators.intervals import overlapping_versions, point_in_time_join, to_intervals_skewed
 from tallyhouse.operators.lookup import lookup_with_wildcard
 from tallyhouse.operators.scd2 import rebuild_history, scd2_merge, scd2_start
-from tallyhouse.operators.snapshots import trailing_totals
+from tallyhouse.operators.snapshots import snapshot_days, trailing_totals
+from tallyhouse.operators.stored import stored
 from tallyhouse.operators.upsert import since_cutoff, upsert
 from tallyhouse.plans import facts, kpis, rules
 from tallyhouse.plans.checks import model_checks
@@ -511,6 +513,33 @@ register(
 )
 
 
+def _rolling_actives(w: Lab) -> DataFrame:
+    """Active customers of 30 and 90 days overall, by channel and by country, from bitmaps that were brought up to date once."""
+    orders = w["fact_orders"].filter(C.not_cancelled(F.col("order_status")) & F.col("customer_id").isNotNull())
+    orders = orders.select("customer_id", "order_date", "channel_sk", "geography_sk")
+    keys = ["channel_sk", "geography_sk"]
+    before = orders.filter(F.col("order_date") < F.lit("2026-01-01").cast("date"))
+    numbers = stored(rolling.number_members(orders.select("customer_id"), stored(rolling.number_members(before.select("customer_id")), "numbers")), "numbers")
+    bitmaps = stored(rolling.daily_bitmaps(before, numbers, "customer_id", "order_date", keys), "bitmaps")
+    bitmaps = stored(rolling.add_days(bitmaps, orders, numbers, "customer_id", "order_date", keys), "bitmaps")
+    days = stored(snapshot_days("month_end", w["fact_orders"], F.lit(PARAMS.as_of), "order_date"), "days")
+    parts = []
+    for kind, slices in (("all", []), ("channel", keys[:1]), ("country", keys[1:])):
+        value = (F.col(slices[0]) if slices else F.lit(None)).cast("string").alias("slice")
+        one, three = (rolling.rolling_distinct(bitmaps, days, n, slices, f"active_{n}d").select("snapshot_date", F.lit(kind).alias("kind"), value, f"active_{n}d") for n in (30, 90))
+        same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("snapshot_date", "slice")]
+        parts.append(three.alias("a").join(one.alias("b"), same, "left").select("a.snapshot_date", "a.kind", "a.slice", F.coalesce("active_30d", F.lit(0)).alias("active_30d"), "active_90d"))
+    return reduce(DataFrame.union, parts)
+
+
+_ACTIVE = "count(distinct customer_id) filter (where order_date > day - 30) as a30, count(distinct customer_id) as a90 from o_fact_orders join o_days on order_date between day - 89 and day where order_status <> 'cancelled' and customer_id is not null group by all"
+register(
+    "kpi_rolling_actives", "KPI-10/11 AGG-3",
+    "snapshot_date D=day, kind s, slice s, active_30d l=a30, active_90d l=a90", _rolling_actives,
+    f"select day, 'all' as kind, null::varchar as slice, {_ACTIVE} union all select day, 'channel', channel_sk, {_ACTIVE} union all select day, 'country', geography_sk, {_ACTIVE}",
+)
+
+
 def _trailing_90(w: Lab) -> DataFrame:
     orders = w.table("orders").select(F.col("o_custkey").alias("customer_key"), F.col("o_orderdate").cast("date").alias("day"), money("o_totalprice").alias("v"))
     daily = orders.groupBy("customer_key", "day").agg(F.count("*").alias("n"), F.sum("v").alias("v"))

@@ -1,5 +1,6 @@
 """Identity, facts and marts against brute force on small fixtures."""
 
+import random
 from collections import defaultdict
 from datetime import date, datetime, timedelta
 from decimal import Decimal
@@ -7,6 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from tallyhouse.operators import rolling
 from tallyhouse.operators.snapshots import snapshot_days
 from tallyhouse.params import Params
 from tallyhouse.plans import facts, marts, rules
@@ -125,13 +127,13 @@ def test_stock_is_rebuilt_backwards(spark):
     moves = [("S", date(2026, 5, 31), -5), ("S", date(2026, 6, 1), -3), ("S", date(2026, 8, 15), 2), ("S", date(2026, 8, 20), -1), ("T", date(2026, 6, 10), 50)]
     movements = spark.createDataFrame([(s, d, Decimal(q)) for s, d, q in moves], "sku string, movement_date date, quantity_change decimal(18,2)")
     days = spark.createDataFrame([(date(2026, 5, 31),), (date(2026, 6, 30),), (date(2026, 8, 15),)], "snapshot_date date")
-    got = {(r.sku, r.snapshot_date): r.qty_after for r in facts.movements_after(movements, days).collect()}
+    got = {(r.sku, d.snapshot_date): d.after for r in facts.sku_days(days, None, movements).collect() for d in r._by_day}
     want = {(s, d): sum(q for k, at, q in moves if k == s and at > d) for s in "ST" for (d,) in [tuple(r) for r in days.collect()]}
     assert {k: got.get(k, 0) for k in want} == want
     levels = spark.createDataFrame([("1", "L", 10, 0, datetime(2026, 8, 1)), ("2", "L", 4, 0, datetime(2026, 8, 1)), ("3", "L", None, 0, datetime(2026, 8, 1))],
                                    "inventory_item_id string, location_id string, quantity_available int, quantity_incoming int, _extracted_at timestamp")
     items = spark.createDataFrame([("1", "S", None), ("2", "T", None), ("3", "U", None)], "inventory_item_id string, sku string, unit_cost decimal(18,6)")
-    pos = facts.inventory_positions(levels, items, days, PARAMS, movements=movements)
+    pos = facts.stock_by_day(levels, items, days, PARAMS, movements=movements).select("sku", F.inline("_days"))
     at = {(r.sku, r.snapshot_date): r.quantity_available for r in pos.collect()}
     assert at["S", date(2026, 5, 31)] == 12 and at["S", date(2026, 8, 15)] == 11 and at["T", date(2026, 5, 31)] == 0 and at["U", date(2026, 5, 31)] is None
 
@@ -140,8 +142,55 @@ def test_supply_window_excludes_the_day_itself(spark):
     day = date(2026, 6, 30)
     lines = spark.createDataFrame([("S", day - timedelta(days=28), Decimal(28), Decimal(0)), ("S", day - timedelta(days=1), Decimal(56), Decimal(28)), ("S", day, Decimal(999), Decimal(0)),
                                    ("S", day - timedelta(days=29), Decimal(999), Decimal(0))], "sku string, order_date date, quantity decimal(18,2), refunded_quantity decimal(18,2)")
-    days = spark.createDataFrame([(day,)], "snapshot_date date")
-    assert facts.average_daily_units(lines, days).first().avg_daily_units_28d == 2.0
+    asked = spark.createDataFrame([("S", day), ("T", day)], "sku string, snapshot_date date")
+    got = {r.sku: r.avg_daily_units_28d for r in facts.average_daily_units(lines, asked).collect()}
+    assert got == {"S": 2.0, "T": 0.0}
+    assert [x.units for x in facts.sku_days(asked.select("snapshot_date").distinct(), lines, None).first()._by_day] == [2.0]
+    plan = facts.average_daily_units(lines, asked)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Expand" not in plan
+
+
+def test_swept_state_equals_the_grid(spark):
+    """Customers acquired before, between and after their orders, unknown acquisition, windows that touch."""
+    rng = random.Random(3)
+    day = date(2026, 1, 1)
+    rows = {(f"c{rng.randrange(12)}", day + timedelta(days=rng.randrange(240))) for _ in range(90)} | {("c0", day), ("c0", day + timedelta(days=30)), ("c1", day), ("c1", day + timedelta(days=29))}
+    daily = spark.createDataFrame([(c, d, rng.randrange(1, 3), Decimal(rng.randrange(100)), Decimal(1)) for c, d in sorted(rows)], "customer_id string, order_date date, n long, rev decimal(28,4), qty decimal(28,2)")
+    people = spark.createDataFrame([(f"s{i}", f"c{i}", None if i % 4 == 0 else day + timedelta(days=20 * i - 30)) for i in range(11)], "customer_sk string, customer_id string, acquired date")
+    days = spark.createDataFrame([(day + timedelta(days=13 * i),) for i in range(25)], "snapshot_date date")
+    state = facts.customer_order_metrics(daily, days, facts.customer_grid(people, days)).join(people, "customer_id").withColumns({
+        "is_active_30d": F.col("trailing_30d_order_count") > 0, "is_active_90d": F.col("trailing_90d_order_count") > 0,
+        "is_new_30d": F.datediff("snapshot_date", "acquired") <= 30, "is_repeat_customer": F.col("lifetime_order_count") >= 2})
+    columns = ["snapshot_date", "active_customers_30d", "active_customers_90d", "total_tracked_customers", "new_in_30d_window", "repeat_customers"]
+    money = ["avg_lifetime_revenue", "avg_lifetime_orders", "total_trailing_30d_revenue", "total_trailing_90d_revenue"]
+    shown = [*columns, *[F.round(F.col(c).cast("double"), 4).alias(c) for c in money]]
+    swept = marts.swept_customer_state(daily, people, days)
+    assert sorted(map(tuple, swept.select(shown).collect())) == sorted(map(tuple, marts.daily_customer_state(state).select(shown).collect()))
+
+
+def test_rolling_bitmaps_add_up(spark):
+    rng = random.Random(4)
+    day = date(2026, 1, 1)
+    rows = [(f"m{rng.randrange(300)}" if rng.random() > 0.02 else None, day + timedelta(days=rng.randrange(120)), rng.choice("ab"), rng.choice(["x", "y", None])) for _ in range(3000)]
+    frame = spark.createDataFrame(rows, "member string, day date, a string, b string").repartition(5)
+    old = frame.filter(F.col("day") < day + timedelta(days=80))
+    first = rolling.number_members(old.select("member"))
+    numbers = rolling.number_members(frame.select("member"), first)
+    listed = [r.number for r in numbers.collect()]
+    assert sorted(listed) == list(range(1, len({m for m, *_ in rows if m}) + 1))
+    assert not first.exceptAll(numbers).count()
+    bitmaps = rolling.daily_bitmaps(old, first, "member", "day", ["a", "b"])
+    newer = frame.withColumn("a", F.when(F.col("day") < day + timedelta(days=80), F.raise_error(F.lit("old rows are not read")).cast("string")).otherwise(F.col("a")))
+    grown = rolling.add_days(bitmaps, newer, numbers, "member", "day", ["a", "b"])
+    days = spark.createDataFrame([(day + timedelta(days=x),) for x in (10, 79, 80, 100, 119)], "snapshot_date date")
+    for slices in ([], ["a"], ["b"], ["a", "b"]):
+        got = {tuple(r) for r in rolling.rolling_distinct(grown, days, 30, slices, "n").collect()}
+        want = {}
+        for (s,) in map(tuple, days.collect()):
+            for m, d, a, b in rows:
+                if m and s - timedelta(days=29) <= d <= s:
+                    want.setdefault((s, *[{"a": a, "b": b}[c] for c in slices]), set()).add(m)
+        assert got == {(*k, len(v)) for k, v in want.items()}
 
 
 def test_movements_of_two_refunds_repeat_lines(spark):
