@@ -58,8 +58,11 @@ def archives() -> str:
     from held"""
 
 
-def url_filters(rules: list[U.Rule], purity: float = U.PURITY) -> str:
-    """One pair of steps for each level of the tree, first downwards for wildcards, then upwards for merging."""
+def url_filters(rules: list[U.Rule], purity: float = U.PURITY, levels: int = 6) -> str:
+    """One pair of steps for each level of the tree, first downwards for wildcards, then upwards for merging.
+
+    ``levels`` must reach the deepest path of the tables at hand.
+    """
     fits = [f"when (host = '{r.host}' or host like '%.{r.host}') and starts_with(path, '{r.path}') then '{r.verdict} {r.name}'"
             for r in sorted(rules, key=lambda r: (-len(r.name), r.name))]
     stem, suffix = r"regexp_replace(s, '\.[A-Za-z]{2,5}$', '')", r"regexp_extract(s, '(\.[A-Za-z]{2,5})$', 1)"
@@ -71,40 +74,41 @@ def url_filters(rules: list[U.Rule], purity: float = U.PURITY) -> str:
     ruled as (select *, case {" ".join(fits)} end as fit, list_filter(string_split(path, '/'), lambda x: x <> '') as whole from urls),
     found as (
         select page_id, host, path, fit, split_part(fit, ' ', 2) as rule, split_part(fit, ' ', 1) as told,
-            list_transform(case when len(whole) > {U.LEVELS} then list_append(whole[1:{U.LEVELS}], '**') else whole end, lambda s: {general}) as parts from ruled),
+            list_transform(whole, lambda s: {general}) as parts from ruled),
     t0 as (
         select host, parts, parts as template, count(*) as pages, count(fit) as known,
             count(*) filter (where told = 'allow') as good from found group by host, parts)"""]
-    for level in range(1, U.LEVELS + 1):
+    for level in range(1, levels + 1):
         above = f"template[1:{level - 1}]"
         steps.append(f"""
     c{level} as (
-        select host, above from (select host, {above} as above, template[{level}] as child, sum(pages) as pages from t{level - 1} where len(template) >= {level} group by all) x
-        group by host, above having count(*) >= {U.MANY} and count(*) >= {U.SPREAD} * sum(pages)),
+        select host, above from (select host, {above} as above, template[{level}] as child, count(*) as paths from t{level - 1} where len(template) >= {level} group by all) x
+        group by host, above having count(*) >= {U.MANY} and count(*) >= {U.SPREAD} * sum(paths)),
     t{level} as (
         select t.* replace (case when c.host is not null and len(template) >= {level}
             then list_concat(list_append({above}, '*'), template[{level + 1}:]) else template end as template)
         from t{level - 1} t left join c{level} c on t.host = c.host and t.{above} = c.above)""")
-    steps.append(f"g{U.LEVELS + 2} as (select *, template as grp, true as open from t{U.LEVELS})")
-    for level in range(U.LEVELS + 1, 0, -1):
+    steps.append(f"g{levels + 1} as (select *, template as grp, true as open from t{levels})")
+    for level in range(levels, 0, -1):
         steps.append(f"""
     n{level} as (
         select host, grp, grp[1:{level - 1}] as node, sum(good)::double as good, sum(known)::double as known
-        from g{level + 1} where open and len(grp) = {level} group by host, grp),
+        from g{level + 1} where open and len(grp) = {level} group by host, grp having sum(known) > 0),
     m{level} as (
         select *, (sum(good) over w + 1) / (sum(known) over w + 2) as q from n{level} window w as (partition by host, node)),
-    a{level} as (select host, grp, node, not abs(good - known * q) > {U.ALIKE} * sqrt(greatest(known, 1) * q * (1 - q)) as alike from m{level}),
+    a{level} as (select host, grp, node, not abs(good - known * q) > {U.ALIKE} * sqrt(known * q * (1 - q)) as alike from m{level}),
     g{level} as (
-        select g.* replace (case when a.alike then a.node else g.grp end as grp, coalesce(a.alike, g.open) as open)
+        select g.* replace (case when a.alike then a.node else g.grp end as grp, case when g.open and len(g.grp) = {level} then coalesce(a.alike, false) else g.open end as open)
         from g{level + 1} g left join a{level} a on g.host = a.host and g.grp = a.grp and g.open)""")
     neutral = f"({U.PRIOR} + {U.UNKNOWN} * (pages - known))"
     steps.append(f"""
-    sums as (select host, grp, sum(good)::double as good, sum(known)::double as known, sum(pages)::double as pages from g1 group by host, grp),
-    whole as (select coalesce(sum(good) / nullif(sum(known), 0), 1.0) as general from sums),
-    pure as (select host, grp, (good + {neutral} * general) / (known + {neutral}) as purity from sums, whole)
+    sums as (select host, grp, open, sum(good)::double as good, sum(known)::double as known, sum(pages)::double as pages from g1 group by host, grp, open),
+    hosts as (select sum(good) as good, sum(known) as known from t0 group by host having sum(known) > 0),
+    whole as (select coalesce(sum(((good + 1) * 1000000 // (known + 2))::bigint)::double / nullif(1000000 * count(*), 0), 1.0) as general from hosts),
+    pure as (select host, grp, open, (good + {neutral} * general) / (known + {neutral}) as purity from sums, whole)
     select page_id, f.host, path, rule, coalesce(told, case when purity < {purity} then 'block' else 'allow' end) as verdict,
         '/' || array_to_string(g.grp, '/') as template, purity
-    from found f join g1 g on f.host = g.host and f.parts = g.parts join pure p on g.host = p.host and g.grp = p.grp""")
+    from found f join g1 g on f.host = g.host and f.parts = g.parts join pure p on g.host = p.host and g.grp = p.grp and g.open = p.open""")
     return "with " + ",".join(steps)
 
 
@@ -126,7 +130,8 @@ def collocations(longest: int = 5, least: int = 100, top: int = 2000) -> str:
     with texts as (
         select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents),
     pieces as (select lang, unnest(string_split_regex(text, '[.,;:!?
--]')) as piece from texts),
+-
+]')) as piece from texts),
     numbered as (select lang, row_number() over () as piece, regexp_extract_all(piece, '[^ 	]+') as w from pieces),
     word as (select lang, piece, unnest(w) as w, generate_subscripts(w, 1) as i from numbered),
     totals as (select lang, count(*) as n from word group by lang),

@@ -113,3 +113,30 @@ def test_bad_branches_are_blocked_alone(spark):
     for r in rows:
         by.setdefault(r.path.split("/")[1], set()).add((r.template, r.verdict))
     assert by["bad"] == {("/bad", "block")} and by["good"] == {("/good", "allow")} and {v for _, v in by["item"]} == {"allow"}
+
+
+def verdicts(spark, urls, rules):
+    rows = url_templates.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()
+    return {(r.host, r.path): r.verdict for r in rows}, {(r.host, r.path): r.template for r in rows}
+
+
+def test_label_free_branches_and_other_hosts_are_left_alone(spark):
+    """A small blocked branch blocks no other branch, and one huge host no other host."""
+    urls = [f"http://h{h}.com/{b}/page{c}" for h in range(12) for b in ("de", "en", "fr") for c in "abcdefgh"]
+    rules = [url_templates.Rule(f"h{h}.com", "/de/", "block") for h in range(5)] + [url_templates.Rule(f"h{h}.com", "/fr/", "allow") for h in range(5, 12)]
+    alone, _ = verdicts(spark, urls, rules)
+    assert all(v == ("block" if p.startswith("/de/") and int(h[1:-4]) < 5 else "allow") for (h, p), v in alone.items())
+    huge = [f"http://huge.com/{i % 7}x/{chr(97 + i % 26)}{i % 13}" for i in range(4000)]
+    crowd, _ = verdicts(spark, urls + huge, [*rules, url_templates.Rule("huge.com", "/", "block")])
+    assert {k: v for k, v in crowd.items() if k[0] != "huge.com"} == alone
+
+
+def test_templates_do_not_depend_on_crawls_and_reach_deep(spark):
+    names = [chr(97 + i) + chr(97 + j) for i in range(6) for j in range(5)]
+    urls = [f"http://d.com/a/b/c/d/{kind}/{x}" for kind in ("good", "bad") for x in names]
+    rules = [url_templates.Rule("d.com", f"/a/b/c/d/bad/{x}", "block") for x in names[:12]] + [url_templates.Rule("d.com", f"/a/b/c/d/good/{x}", "allow") for x in names[:12]]
+    once, shape = verdicts(spark, urls, rules)
+    assert {v for (_, p), v in once.items() if "/bad/" in p} == {"block"} and {v for (_, p), v in once.items() if "/good/" in p} == {"allow"}
+    often, again = verdicts(spark, urls * 5, rules)
+    assert often == once and again == shape
+    assert len({t for t in shape.values()}) <= 3
