@@ -2,8 +2,9 @@
 
 Each task writes one archive of gzip members, a record each, and reports where they lie. Index
 entries are sorted by a key that turns the host around, packed into compressed blocks, and a
-sparse directory keeps each block's first key. A lookup searches the directory for the block, the
-block for the entries, and reads only the ranges of the archives that it needs.
+sparse directory keeps each block's first key. A lookup deals the wanted keys out to the index files,
+searches each file's slice of the directory for the blocks, the blocks for the entries, and reads
+only the ranges of the archives that it needs.
 
 Files are written through the file system that the folder's address names, under a fresh name
 for each attempt of a task. Only the names that finished tasks report are ever read.
@@ -25,14 +26,16 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import keep, small_batches
+from tallyhouse.llm.common import by_batch, keep, small_batches
 from tallyhouse.operators.stored import shared_folder
 
 ARCHIVE_BYTES = 512 << 20  # a task goes on in a new archive beyond this size
 BLOCK_ENTRIES = 1024
 GAP = 1 << 16  # ranges of one archive that lie no further apart are read together
 READ_BYTES = 4 << 20  # and as long as they are no longer than this together
+TASK_BYTES = 8 << 20  # compressed records that a task reads
 LEVEL = 3
+PLACE_TYPES = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64())
 DATE = datetime(2000, 1, 1, tzinfo=UTC).strftime("%Y-%m-%dT%H:%M:%SZ")  # tables without a capture time
 
 
@@ -174,17 +177,38 @@ def read_block(system: fs.FileSystem, base: str, file: str, start: int, length:
         return [json.loads(line) for line in zlib.decompress(source.read_at(length, start)).split(b"\n")]
 
 
-def index_entries(directory: DataFrame, folder: str) -> DataFrame:
-    """All entries, from the index blocks that ``directory`` lists: ``archive``, ``start``, ``length``."""
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, base = file_system(folder)
-        for batch in batches:
-            for file, start, length in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                _, _, archives, starts, lengths = zip(*read_block(system, base, file, start, length))
-                yield pa.RecordBatch.from_arrays([pa.array(archives), pa.array(starts), pa.array(lengths)], ["archive", "start", "length"])
+def find(keys: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
+    """Captures of the wanted ``keys`` (column ``key``): ``key``, ``page_id``, ``archive``, ``start``, ``length``.
+
+    An index file holds one range of keys, so its first and last key say which wanted keys may be in
+    it; these bounds, one row per file and so per task that wrote the index, are what the driver
+    sees. Each file's keys then meet its slice of the directory in one task, which searches the slice
+    for the blocks and a block for the entries. Only blocks with wanted keys are read; a key that
+    fills many blocks or files is found in all of them. A key that is nowhere gives no row.
+    """
+    bounds = sorted(map(tuple, directory.groupBy("file").agg(F.min("first_key"), F.max("last_key")).select("min(first_key)", "max(last_key)", "file").collect()))
+    firsts, lasts = [x[0] for x in bounds], [x[1] for x in bounds]
+
+    def place(batch: pa.RecordBatch) -> pa.RecordBatch:
+        met = [(bounds[i][2], key) for key in batch.column(0).to_pylist() for i in range(bisect_left(lasts, key), bisect_right(firsts, key))]
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in met], pa.string()) for i in (0, 1)], ["file", "key"])
 
-    rows = directory.select("file", "start", "length").repartition("file", "start")
-    return rows.mapInArrow(work, "archive string, start long, length long")
+    def search(slice_: pa.Table, wanted: pa.Table) -> pa.Table:
+        system, base = file_system(folder)
+        blocks = sorted(zip(*(slice_.column(c).to_pylist() for c in ("first_key", "last_key", "file", "start", "length"))))
+        own_firsts, own_lasts = [x[0] for x in blocks], [x[1] for x in blocks]
+        found, at, rows, keys = [], -1, [], []
+        for key in sorted(set(wanted.column("key").to_pylist())):
+            for i in range(bisect_left(own_lasts, key), bisect_right(own_firsts, key)):
+                if i != at:  # keys ascend, so a block is read once and one at a time
+                    at, rows = i, read_block(system, base, *blocks[i][2:])
+                    keys = [r[0] for r in rows]
+                found += rows[bisect_left(keys, key) : bisect_right(keys, key)]
+        columns = list(zip(*found)) or [()] * 5
+        return pa.table([pa.array(c, t) for c, t in zip(columns, PLACE_TYPES)], names=["key", "page_id", "archive", "start", "length"])
+
+    asked = by_batch(keys.select(F.coalesce(F.col("key"), F.lit("")).alias("key")).distinct(), place, "file string, key string")
+    return directory.groupBy("file").cogroup(asked.groupBy("file")).applyInArrow(search, "key string, page_id long, archive string, start long, length long")
 
 
 def ranges(places: list[tuple[str, int, int]]) -> Iterator[tuple[str, int, int, list[tuple[int, int]]]]:
@@ -235,43 +259,24 @@ def read_records(places: DataFrame, folder: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), schema)], schema=schema)
 
     order = ["archive", "start"]
-    rows = places.select("archive", "start", "length").repartitionByRange(*order).sortWithinPartitions(*order)
+    # Places are small and what they point at is not: tasks are as many as the records' bytes need.
+    tasks = max(1, -(-(places.agg(F.sum("length")).first()[0] or 0) // TASK_BYTES))
+    rows = places.select("archive", "start", "length").repartitionByRange(tasks, *order).sortWithinPartitions(*order)
     return rows.mapInArrow(work, "page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary")
 
 
-class Directory:
-    """The sparse directory in memory, for lookups: a line per block, so a thousandth of the entries."""
-
-    def __init__(self, directory: DataFrame, folder: str) -> None:
-        self.blocks = sorted(tuple(r) for r in directory.select("first_key", "last_key", "file", "start", "length").collect())
-        self.lasts = [b[1] for b in self.blocks]
-        self.firsts = [b[0] for b in self.blocks]
-        self.system, self.base = file_system(folder)
-
-    def find(self, key: str) -> list[tuple[int | None, str, int, int]]:
-        """``page_id``, archive, start and length of all captures of a key."""
-        found = []
-        for _, _, file, start, length in self.blocks[bisect_left(self.lasts, key) : bisect_right(self.firsts, key)]:
-            rows = read_block(self.system, self.base, file, start, length)
-            keys = [r[0] for r in rows]
-            found += [tuple(r[1:]) for r in rows[bisect_left(keys, key) : bisect_right(keys, key)]]
-        return found
-
-    def read(self, archive: str, start: int, length: int) -> tuple[dict[str, str], bytes]:
-        with self.system.open_input_file(f"{self.base}/{archive}") as source:
-            return parse(zlib.decompress(source.read_at(length, start), 31))
-
-
 def new_folder(df: DataFrame) -> str:
     return f"{shared_folder(df.sparkSession).rstrip('/')}/llm/{uuid.uuid4().hex}/archives"
 
 
 def archive_and_read(pages: DataFrame, id_col: str = "page_id", text_col: str = "html", least: int = 0, folder: str | None = None) -> DataFrame:
-    """Write archives and index of ``pages`` (id, ``url``, payload), then read every record back through the index.
+    """Write archives and index of ``pages`` (id, ``url``, payload), then look up every page's key and read its records back.
 
     Returns what ``read_records`` returns, one row per row of ``pages``: null payloads are empty
     records and null urls stay null, equal rows give a record each, an empty table gives none.
     """
     folder = folder or new_folder(pages)
     entries = write_archives(pages, folder, id_col, text_col, least)
-    return read_records(index_entries(write_index(entries, folder), folder), folder)
+    wanted = pages.select(host_key(F.col("url").cast("string")).alias("key"))
+    places = keep(find(wanted, write_index(entries, folder), folder), "places")
+    return read_records(places, folder)

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import pathlib
 import re
 
 import pytest
@@ -51,17 +52,31 @@ def test_small_payloads_are_no_revisits(odd_pages):
     assert kinds == {(7, "response"), (8, "response")}
 
 
-def test_lookup(odd_pages):
+@pytest.mark.parametrize("parts", [1, 3])
+def test_lookup(spark, odd_pages, parts, monkeypatch):
+    """Keys in one block, in several and in none; only blocks with wanted keys are opened."""
     folder = warc.new_folder(odd_pages)
     entries = warc.write_archives(odd_pages, folder)
-    index = warc.Directory(warc.write_index(entries, folder, block_entries=2), folder)
-    for r in entries.collect():
-        hits = index.find(r.key)
-        assert (r.page_id, r.archive, r.start, r.length) in hits
-        headers, _ = index.read(r.archive, r.start, r.length)
-        assert headers["WARC-Record-ID"] == f"<urn:page:{'' if r.page_id is None else r.page_id}>"
-    assert index.find("no such key") == []
-    assert next(r.key for r in entries.collect() if r.page_id == 9) == "net,example,a)/en/"
+    directory = warc.write_index(entries.repartition(parts), folder, block_entries=2)
+    rows = [tuple(r) for r in entries.select("key", "page_id", "archive", "start", "length").collect()]
+    for keys in ([r[0] for r in rows], ["net,example,a)/en/"], ["no such key", "b,a)/\u00fc"], [], [""]):
+        got = warc.find(spark.createDataFrame([(k,) for k in keys], "key string"), directory, folder)
+        assert sorted(map(tuple, got.collect()), key=str) == sorted((r for r in rows if r[0] in keys), key=str)
+    assert next(r[0] for r in rows if r[1] == 9) == "net,example,a)/en/"
+    some = warc.find(spark.createDataFrame([("net,example,a)/en/",)], "key string"), directory, folder)
+    assert [(r.page_id, r.url) for r in warc.read_records(some, folder).collect()] == [(9, "http://a.example.net/en/")]
+
+
+def test_many_archives_and_tasks(spark, monkeypatch):
+    """An archive ends at its size, and reading takes as many tasks as the bytes need."""
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 2000)
+    monkeypatch.setattr(warc, "TASK_BYTES", 4000)
+    pages = spark.createDataFrame([(i, f"http://h{i % 3}.com/{i % 5}", hashlib.sha256(str(i).encode()).hexdigest() * 4) for i in range(100)], "page_id long, url string, html string")
+    folder = warc.new_folder(pages)
+    made = warc.archive_and_read(pages, folder=folder)
+    assert made.rdd.getNumPartitions() > 3
+    assert {(r.page_id, r.url, bytes(r.payload).decode()) for r in made.collect()} == {tuple(r) for r in pages.collect()}
+    assert len(list(pathlib.Path(folder.removeprefix("file:")).glob("*.warc.gz"))) > 10
 
 
 def test_damage_is_found():
