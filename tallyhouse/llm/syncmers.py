@@ -2,10 +2,11 @@
 
 A run of ``K`` words is chosen if the least hash among its inner runs of ``S`` words is that of
 the first or the last of them. The choice depends on these words alone, so equal passages choose
-equal anchors wherever they stand, and each passage of some words has one. A fingerprint is the
-``SIZE`` anchors with the least hashes, each with its word position. Two fingerprints are compared
-over the least ``SIZE`` hashes of both together: an anchor counts as common if both have it and
-it belongs to the longest chain of such anchors whose order is the same in both texts.
+equal anchors wherever they stand, and each passage of some words has one. A sketch holds all
+anchors of a text, each with its word position; the printed fingerprint shows the ``SIZE`` with the
+least hashes. Two sketches are compared by all their anchors: those in both are paired, pairs that
+lie off the line of their neighbours are dropped, the rest falls into runs whose order is the same
+in both texts, and the longest chain of runs counts.
 """
 
 from __future__ import annotations
@@ -18,20 +19,22 @@ from tallyhouse.llm.line_rules import words_of
 
 K = 5
 S = 2
-SIZE = 64
-HASH_BITS = 30
-DRIFT = 128  # words by which an anchor of a chain may lie before the previous one
+SIZE = 64  # anchors that are printed
+HASH_BITS = 39
+PLACE_BITS = 23  # of a word position; words beyond share the last one
+PLACES = (1 << PLACE_BITS) - 1
+DRIFT = 128  # words by which neighbours may lie off each other's line
 BUCKET_ROWS = 1000
-MAX_BUCKETS = 4096
+MAX_BUCKETS = 1 << 16
 LOWEST = -(1 << 63)
 
 
 def _anchors(words: Column) -> Column:
-    """Chosen runs as whole numbers: ``HASH_BITS`` bits of hash above 32 bits of position, one per hash, in order."""
+    """Chosen runs as whole numbers: ``HASH_BITS`` bits of hash above the bits of position, one per hash, in order."""
     inner = K - S  # inner runs besides the first
 
     def packed(value: Column, place: Column) -> Column:
-        return F.shiftleft(value.bitwiseAND(F.lit((1 << HASH_BITS) - 1).cast("long")), 32).bitwiseOR(place.cast("long"))
+        return F.shiftleft(value.bitwiseAND(F.lit((1 << HASH_BITS) - 1).cast("long")), PLACE_BITS).bitwiseOR(F.least(place.cast("long"), F.lit(PLACES).cast("long")))
 
     def chosen(g: Column) -> Column:
         def mark(x: Column, i: Column) -> Column:
@@ -42,7 +45,7 @@ def _anchors(words: Column) -> Column:
         return F.sort_array(F.array_compact(F.transform(g, mark)))
 
     def once(sorted_: Column) -> Column:
-        return F.filter(sorted_, lambda x, j: F.coalesce(F.shiftright(x, 32) != F.shiftright(F.get(sorted_, j - 1), 32), F.lit(True)))
+        return F.filter(sorted_, lambda x, j: F.coalesce(F.shiftright(x, PLACE_BITS) != F.shiftright(F.get(sorted_, j - 1), PLACE_BITS), F.lit(True)))
 
     def of(w: Column) -> Column:
         runs = F.slice(F.transform(w, lambda x, i: F.xxhash64(x, *[F.get(w, i + j) for j in range(1, S)])), F.lit(1), F.greatest(F.size(w) - (S - 1), F.lit(0)))
@@ -54,60 +57,95 @@ def _anchors(words: Column) -> Column:
 
 
 def sketch(text: Column) -> Column:
-    """The fingerprint of a whole text as an array of long: its ``SIZE`` least anchors.
+    """All anchors of a whole text as an array of long, in the order of their hashes.
 
     A text in which no run is chosen, such as one of fewer than ``K`` words, has one anchor, the
     hash of all its words; a text without words has none.
     """
-    return F.slice(_anchors(words_of(text)), 1, SIZE)
+    return _anchors(words_of(text))
 
 
 def printed(sketch_: Column) -> Column:
-    """A fingerprint as text: 16 hexadecimal digits an anchor, 8 of them its hash."""
-    return F.array_join(F.transform(sketch_, lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
+    """The ``SIZE`` least anchors as text, 16 hexadecimal digits each."""
+    return F.array_join(F.transform(F.slice(sketch_, 1, SIZE), lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Dice coefficient of two fingerprints' common anchors, 0 to 1; 1 if both are empty."""
-
-    def hashes(x: Column) -> Column:
-        return F.transform(x, lambda y: F.shiftright(y, 32))
+def common_anchors(a: Column, b: Column) -> Column:
+    """Pairs of places (``here``, ``there``) of the hashes that both sketches have, in the order of ``here``."""
+    both = F.sort_array(F.concat(F.transform(a, lambda v: v * 2), F.transform(b, lambda v: v * 2 + 1)))
 
-    def common(both: Column) -> Column:
+    def pairs(u: Column) -> Column:
         def place(x: Column) -> Column:
-            return F.shiftright(x, 1).bitwiseAND(F.lit(0xFFFFFFFF))
+            return F.shiftright(x, 1).bitwiseAND(F.lit(PLACES).cast("long")).cast("int")
 
         def pair(x: Column, j: Column) -> Column:
-            y = F.get(both, j + 1)
-            same = F.shiftright(x, 33) == F.shiftright(y, 33)
+            y = F.get(u, j + 1)
             turned = x.bitwiseAND(F.lit(1).cast("long")) == 1  # of equal hashes the lesser place comes first, whichever text it is of
             here, there = F.when(turned, place(y)).otherwise(place(x)), F.when(turned, place(x)).otherwise(place(y))
-            return F.when(F.coalesce(same, F.lit(False)), F.struct(here.alias("here"), there.alias("there"), F.shiftright(x, 33).alias("hash")))
+            return F.when(F.shiftright(x, PLACE_BITS + 1) == F.shiftright(y, PLACE_BITS + 1), F.struct(here.alias("here"), there.alias("there")))
+
+        return F.sort_array(F.array_compact(F.transform(u, pair)))
+
+    return bind(both, pairs)
+
+
+def chained(pairs: Column) -> Column:
+    """Pairs on the longest chain of runs that have the same order in both texts."""
+
+    def shift(x: Column) -> Column:
+        return x["there"] - x["here"]
+
+    def in_line(p: Column) -> Column:
+        def near(x: Column, y: Column) -> Column:
+            return F.coalesce(F.abs(shift(x) - shift(y)) <= DRIFT, F.lit(False))
+
+        alone = F.size(p) == 1
+        return F.filter(p, lambda x, j: alone | near(x, F.get(p, j - 1)) | near(x, F.get(p, j + 1)))
+
+    def runs(p: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(p) - 1), lambda j: (j == 0) | F.coalesce(F.get(p, j)["there"] <= F.get(p, j - 1)["there"] - DRIFT, F.lit(False)))
 
-        return F.array_compact(F.transform(both, pair))
+        def run(s: Column) -> Column:
+            def of(x: Column, k: Column) -> Column:
+                end = F.coalesce(F.get(s, k + 1), F.size(p))
+                return F.struct(F.get(p, x)["there"].alias("first"), F.get(p, end - 1)["there"].alias("last"), (end - x).alias("n"))
 
-    def chained(pairs: Column) -> Column:
-        """Length of the longest chain; each step adds the longest one that ends in a pair."""
+            return F.transform(s, of)
 
-        def longer(ends: Column, x: Column) -> Column:
-            before = F.transform(F.filter(ends, lambda e: e["there"] - DRIFT < x["there"]), lambda e: e["length"])
-            return F.concat(ends, F.array(F.struct(x["there"].alias("there"), (F.coalesce(F.array_max(before), F.lit(0)) + 1).alias("length"))))
+        return F.when(F.size(p) > 0, bind(starts, run)).otherwise(F.array().cast("array<struct<first:int,last:int,n:int>>"))
 
-        ends = F.aggregate(F.sort_array(pairs), F.array().cast("array<struct<there:bigint,length:int>>"), longer)
-        return F.coalesce(F.array_max(F.transform(ends, lambda e: e["length"])), F.lit(0))
+    def longer(ends: Column, x: Column) -> Column:
+        before = F.transform(F.filter(ends, lambda e: e["last"] - DRIFT < x["first"]), lambda e: e["n"])
+        return F.concat(ends, F.array(F.struct(x["last"].alias("last"), (F.coalesce(F.array_max(before), F.lit(0)) + x["n"]).alias("n"))))
+
+    def longest(r: Column) -> Column:
+        ends = F.aggregate(r, F.array().cast("array<struct<last:int,n:int>>"), longer)
+        return F.coalesce(F.array_max(F.transform(ends, lambda e: e["n"])), F.lit(0))
+
+    return bind(bind(bind(pairs, in_line), runs), longest)
+
+
+def likeness(a: Column, b: Column) -> Column:
+    """Dice coefficient of two sketches' common anchors on one chain, 0 to 1; 1 if both are empty."""
 
     def share(x: Column, y: Column) -> Column:
-        both = F.sort_array(F.concat(F.transform(x, lambda v: v * 2), F.transform(y, lambda v: v * 2 + 1)))
-        least = F.slice(F.sort_array(F.array_union(hashes(x), hashes(y))), 1, SIZE)
-        jaccard = bind(least, lambda u: chained(F.filter(bind(both, common), lambda p: p["hash"] <= F.array_max(u))) / F.size(u))
-        return F.when((F.size(x) == 0) & (F.size(y) == 0), F.lit(1.0)).when((F.size(x) == 0) | (F.size(y) == 0), F.lit(0.0)).otherwise(
-            bind(jaccard, lambda q: 2 * q / (1 + q)))
+        met = chained(common_anchors(x, y))
+        return F.when((F.size(x) == 0) & (F.size(y) == 0), F.lit(1.0)).when((F.size(x) == 0) | (F.size(y) == 0), F.lit(0.0)).otherwise(2.0 * met / (F.size(x) + F.size(y)))
 
     return bind(a, lambda x: bind(b, lambda y: share(x, y)))
 
 
+def anchors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All anchors as rows, for positional matching by join: ``doc_id``, ``hash``, ``place``; none for texts without words."""
+    each = docs.select(F.col(id_col).alias("doc_id"), F.explode(sketch(text_of(text_col))).alias("anchor"))
+    return each.select("doc_id", F.shiftright("anchor", PLACE_BITS).alias("hash"), F.col("anchor").bitwiseAND(F.lit(PLACES).cast("long")).cast("int").alias("place"))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and ``fingerprint`` of every whole text; null counts as empty and gives an empty one."""
+    """``doc_id`` and ``fingerprint`` of every whole text; null counts as empty and gives an empty one.
+
+    Repeated ids and rows give a row each, texts of any length are read whole; an empty table gives none.
+    """
     return docs.select(F.col(id_col).alias("doc_id"), printed(sketch(text_of(text_col))).alias("fingerprint"))
 
 
@@ -149,10 +187,10 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Null texts count as empty. A null id comes before all others; equal ids follow each other in
     an order that depends on the texts alone. One row alone is its own next; an empty table gives
-    no row. Texts are shuffled once, with their fingerprints, so no text is fingerprinted twice.
+    no row. Texts are shuffled once, without their sketches, which are longer than the texts.
     """
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)).alias("key"), F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    pairs = with_next(rows.withColumn("sketch", sketch(F.col("text"))), "key", ["text", "sketch"])
+    pairs = with_next(rows, "key", ["text"]).withColumns({"sketch": sketch(F.col("text")), "next_sketch": sketch(F.col("next_text"))})
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")
     edited = pairs.withColumn("edited", F.concat(F.substring("text", F.lit(1), n - quarter), F.substring("next_text", F.lit(1), quarter)))
