@@ -14,7 +14,7 @@ from tallyhouse.functions.keys import date_key, surrogate_key, with_audit
 from tallyhouse.operators.dedup import latest_per_key
 from tallyhouse.operators.fx import with_fx_rate
 from tallyhouse.operators.intervals import point_in_time_join
-from tallyhouse.operators.lookup import country_level, lookup_with_wildcard
+from tallyhouse.operators.lookup import country_level, lookup_with_wildcard, override_channels
 from tallyhouse.operators.snapshots import bucket_totals, snapshot_days, trailing_sums, trailing_totals
 from tallyhouse.operators.upsert import since_cutoff
 from tallyhouse.params import Params
@@ -315,10 +315,13 @@ def fact_marketing_spend(
 
 def fact_web_sessions(
     sessions: DataFrame, *, dim_customer: DataFrame, dim_channel: DataFrame, dim_geography: DataFrame,
-    channel_mapping: DataFrame, params: Params, existing: DataFrame | None = None,
+    channel_mapping: DataFrame, params: Params, existing: DataFrame | None = None, traffic_overrides: DataFrame | None = None,
 ) -> DataFrame:
     """One row per session with customer, channel and country.
 
+    ``traffic_overrides`` (``source``, ``medium``, ``canonical_channel``) sets the channel of listed
+    pairs, whatever the mapping says.
+
     A login id may be the canonical customer id or the storefront's id, a country may come as
     code or as name; each pair is folded into one lookup table and one equality join.
     """
@@ -336,6 +339,8 @@ def fact_web_sessions(
     df = recent.withColumn("_traffic", C.session_traffic_key(F.col("traffic_source"), F.col("traffic_medium")))
     web_channels = channel_mapping.filter(F.col("source_system") == "ga4")
     df = lookup_with_wildcard(df, web_channels, fact_key="_traffic", map_key="source_value", value="channel_id", out="_channel_id")
+    if traffic_overrides is not None:
+        df = override_channels(df, traffic_overrides, "traffic_source", "traffic_medium", "_channel_id")
     df = (
         df.join(dim_channel.select(F.col("channel_id").alias("_channel_id"), "channel_sk"), "_channel_id", "left")
         .join(places, "geo_country", "left")

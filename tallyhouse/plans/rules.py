@@ -36,13 +36,6 @@ def flag_b2b(
     return customers.withColumn("is_b2b_customer", rule)
 
 
-def override_channels(df: DataFrame, overrides: DataFrame, source: str, medium: str, out: str = "channel_id") -> DataFrame:
-    """Set the channel for listed (source, medium) pairs, keep it elsewhere."""
-    rules = overrides.select(F.col("source").alias("_s"), F.col("medium").alias("_m"), F.col("canonical_channel").alias("_c"))
-    on = (F.lower(F.col(source)) == F.lower("_s")) & (F.lower(F.col(medium)) == F.lower("_m"))
-    return df.join(rules, on, "left").withColumn(out, F.coalesce("_c", F.col(out))).drop("_s", "_m", "_c")
-
-
 def without_private_opens(events: DataFrame, pattern: str = r"(?i)mail ?privacy|GoogleImageProxy|Mozilla/5\.0$") -> DataFrame:
     """Drop opens pre-fetched by mail privacy proxies, told by the user agent in the properties."""
     agent = F.try_variant_get("event_properties", "$.user_agent", "string")

@@ -60,7 +60,7 @@ class Warehouse:
     stored SCD2 snapshots and ``existing`` the stored facts whose newest day limits an incremental
     run. Everything is lazy unless ``save`` stores the models.
 
-    Optional seeds: ``holidays``; ``channel_overrides``, whose rows replace channel rows of the same
+    Optional seeds: ``holidays``; ``traffic_overrides``, which set the channel of sessions by source and medium; ``channel_overrides``, whose rows replace channel rows of the same
     source system and value; ``erasure_requests``, which are honoured in the customer history and in
     orders. Optional rules come with ``params.rules``.
     """
@@ -245,7 +245,8 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
         fx_rates=w.seeds["fx_rates"], params=w.params, existing=w.existing.get("fact_marketing_spend")),
     "fact_web_sessions": lambda w: facts.fact_web_sessions(
         w["int_web_sessions"], dim_customer=w["dim_customer"], dim_channel=w["dim_channel"], dim_geography=w["dim_geography"],
-        channel_mapping=w.channels(), params=w.params, existing=w.existing.get("fact_web_sessions")),
+        channel_mapping=w.channels(), params=w.params, existing=w.existing.get("fact_web_sessions"),
+        traffic_overrides=w.seeds["traffic_overrides"] if "traffic_overrides" in w.seeds else None),
     "fact_email_engagement": lambda w: facts.fact_email_engagement(
         w["stg_klaviyo__events"], dim_customer=w["dim_customer"], dim_email_campaign=w["dim_email_campaign"], params=w.params,
         existing=w.existing.get("fact_email_engagement")),

@@ -40,11 +40,13 @@ register("landed_by_name", "SRC-1 SRC-3", LAYOUT, lambda w: scan_csv(w.spark, f"
 
 
 def _positional(w: Lab) -> DataFrame:
-    """One layout by position: the second one with other names and trimmed values."""
-    return scan_csv_positional(w.spark, f"{_files(w)}/b", _schema(w, "balance double, number bigint, label string"))
+    """Both layouts by position, under other names and with trimmed values."""
+    path = _files(w)
+    one = scan_csv_positional(w.spark, f"{path}/a", _schema(w, "number bigint, label string, balance double"))
+    return one.unionByName(scan_csv_positional(w.spark, f"{path}/b", _schema(w, "balance double, number bigint, label string")))
 
 
-register("landed_by_position", "SRC-2", "number l=s_suppkey, label s=s_name, balance d=s_acctbal", _positional, "select * from supplier where s_suppkey % 2 <> 0")
+register("landed_by_position", "SRC-2", "number l=s_suppkey, label s=s_name, balance d=s_acctbal", _positional, "supplier")
 
 
 def _inferred(w: Lab) -> DataFrame:

@@ -7,6 +7,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from tallyhouse.plans import dims, facts
+from tallyhouse.sources.seeds import channel_rows
 from tallyhouse.workload.oracle import NOW, TODAY, hashed
 from tallyhouse.workload.raw import PARAMS
 from tallyhouse.workload.registry import register
@@ -94,13 +95,13 @@ register(
     "stg_processor_refunds", "STG-14",
     "refund_id s='re_' || o_orderkey, charge_id s='ch_a' || o_orderkey, refund_amount d=o_totalprice, currency_code s='EUR',"
     "refund_reason s=case o_orderkey % 7 when 0 then 'Fraudulent' when 1 then 'requested_by_customer' end, is_chargeback b=false, refund_timestamp t=o_orderdate",
-    lambda w: w["stg_stripe__refunds"], "select * from orders where o_orderkey % 3 = 0 and o_orderkey % 5 <> 0",
+    lambda w: w["stg_stripe__refunds"], "select * from orders where o_orderkey % 5 <> 0",
 )
 register(
     "stg_disputes", "STG-15",
     "dispute_id s='dp_' || o_orderkey, charge_id s='ch_a' || o_orderkey, dispute_amount d=o_totalprice, currency_code s='USD', dispute_status s='lost', is_chargeback b=true,"
     "dispute_timestamp t=o_orderdate + interval 9131 day",
-    lambda w: w["stg_stripe__disputes"], "select * from orders where o_orderkey % 23 = 0",
+    lambda w: w["stg_stripe__disputes"], "orders",
 )
 register(
     "stg_payment_methods", "STG-16",
@@ -150,9 +151,9 @@ register(
 )
 register(
     "stg_email_profiles", "STG-24",
-    "klaviyo_profile_id s='k' || c_custkey, customer_email_hash s=if(c_custkey % 20 = 9; null; sha256('peppercustomer' || c_custkey || '@example.com')), email_subscribed b=c_custkey % 4 = 0, sms_subscribed b=c_custkey % 6 = 0,"
+    "klaviyo_profile_id s='k' || c_custkey, customer_email_hash s=if(c_custkey % 20 = 9; null; sha256('pepper' || if(c_custkey % 3 = 2; 'reader'; 'customer') || c_custkey || '@example.com')), email_subscribed b=c_custkey % 4 = 0, sms_subscribed b=c_custkey % 6 = 0,"
     "marketing_consent b=c_custkey % 4 = 0 or c_custkey % 6 = 0, updated_at t=if(c_custkey % 2 = 0; timestamp '2025-01-01'; timestamp '2021-01-01' + (c_custkey % 700) * interval 1 day)",
-    lambda w: w["stg_klaviyo__profiles"], "select * from customer where c_custkey % 3 <> 2",
+    lambda w: w["stg_klaviyo__profiles"], "customer",
 )
 register(
     "stg_email_campaigns", "STG-25",
@@ -194,9 +195,17 @@ register(
 
 # ---- Dimensions ---------------------------------------------------------------------------
 _D = "d::date"
+# Holidays found another way: each weekday of a month is numbered from the front and from the back.
+_HOLIDAYS = f"""select d, case when month(d) = 1 and day(d) = 1 then 'New Year''s Day' when month(d) = 6 and day(d) = 19 then 'Juneteenth National Independence Day'
+        when month(d) = 7 and day(d) = 4 then 'Independence Day' when month(d) = 11 and day(d) = 11 then 'Veterans Day' when month(d) = 12 and day(d) = 25 then 'Christmas Day'
+        when isodow(d) = 1 and month(d) = 1 and nth = 3 then 'Martin Luther King Jr. Day' when isodow(d) = 1 and month(d) = 2 and nth = 3 then 'Presidents'' Day'
+        when isodow(d) = 1 and month(d) = 5 and back = 1 then 'Memorial Day' when isodow(d) = 1 and month(d) = 9 and nth = 1 then 'Labor Day'
+        when isodow(d) = 1 and month(d) = 10 and nth = 2 then 'Columbus Day' when isodow(d) = 4 and month(d) = 11 and nth = 4 then 'Thanksgiving Day' end as name
+    from (select d, row_number() over (partition by year(d), month(d), isodow(d) order by d) as nth, row_number() over (partition by year(d), month(d), isodow(d) order by d desc) as back
+          from (select unnest(range(timestamp '{PARAMS.calendar_start}', timestamp '{PARAMS.calendar_end}' + interval 1 day, interval 1 day))::date as d))"""
 register(
     "dim_date", "DIM-1 DIM-1a DIM-1b DIM-1c DIM-1d DIM-1e",
-    "date_sk l=strftime(d; '%Y%m%d'), date_actual D=d, day_of_week l=isodow(d), day_name s=strftime(d; '%a'), day_of_year l=dayofyear(d), is_weekend b=isodow(d) > 5, holiday_name s=null, is_business_day b=isodow(d) < 6,"
+    "date_sk l=strftime(d; '%Y%m%d'), date_actual D=d, day_of_week l=isodow(d), day_name s=strftime(d; '%a'), day_of_year l=dayofyear(d), is_weekend b=isodow(d) > 5, holiday_name s=holiday, is_holiday b=holiday is not null, is_business_day b=isodow(d) < 6 and holiday is null,"
     "week_of_year l=weekofyear(d), week_starting_date D=date_trunc('week'; d), week_ending_date D=date_trunc('week'; d) + interval 6 day, month_short_name s=strftime(d; '%b'), month_ending_date D=last_day(d),"
     "quarter_name s='Q' || quarter(d), year l=year(d), fiscal_year l=year(d + interval 6 month), fiscal_month l=month(d + interval 6 month), fiscal_quarter l=quarter(d + interval 6 month),"
     "prior_year_date_actual D=d - interval 1 year, prior_year_date_sk l=strftime(d - interval 1 year; '%Y%m%d'), days_from_today l=d - t, is_today b=d = t, is_yesterday b=d = t - 1,"
@@ -204,17 +213,20 @@ register(
     "is_current_fiscal_year b=year(d + interval 6 month) = year(t + interval 6 month), is_wtd b=d between date_trunc('week'; t) and t, is_mtd b=d between date_trunc('month'; t) and t, is_qtd b=d between date_trunc('quarter'; t) and t,"
     "is_ytd b=d between date_trunc('year'; t) and t, is_fytd b=year(d + interval 6 month) = year(t + interval 6 month) and d <= t, is_last_7_days b=d > t - 7 and d <= t, is_last_30_days b=d > t - 30 and d <= t,"
     "is_last_90_days b=d > t - 90 and d <= t, is_last_365_days b=d > t - 365 and d <= t, orders l=n",
-    lambda w: dims.dim_date(w.spark, replace(PARAMS, fiscal_year_start_month=7), None).join(
-        w["stg_shopify__orders"].groupBy(F.col("order_date").alias("date_actual")).agg(F.count("*").alias("orders")), "date_actual"
+    lambda w: dims.dim_date(w.spark, replace(PARAMS, fiscal_year_start_month=7), w.seeds()["holidays"]).join(
+        w["stg_shopify__orders"].groupBy(F.col("order_date").alias("date_actual")).agg(F.count("*").alias("orders")), "date_actual", "left"
     ),
-    f"select order_date as d, {TODAY} as t, count(*) as n from o_orders group by order_date",
+    f"""select c.d, {TODAY} as t, h.name as holiday, o.n from (select unnest(range(timestamp '{PARAMS.calendar_start}', timestamp '{PARAMS.calendar_end}' + interval 1 day, interval 1 day))::date as d) c
+        left join (select order_date, count(*) as n from o_orders group by order_date) o on o.order_date = c.d left join ({_HOLIDAYS}) h on h.d = c.d""",
 )
+_CHANNELS = ", ".join("(" + ", ".join("null" if v is None else str(v).lower() if isinstance(v, bool) else "'" + v.replace("'", "''") + "'" for v in (r[2], r[3], r[4])) + ")" for r in channel_rows())
 register(
     "dim_channel", "DIM-5 AGG-14 PRJ-7",
-    "channel_sk s=c, orders l=n, channel_type s=case c when md5('retail_pos') then 'sales' when md5('paid_social_meta') then 'acquisition' when md5('organic_search_google') then 'acquisition' else 'both' end,"
-    "is_owned b=c in (md5('online_store'); md5('subscription_recharge'))",
-    lambda w: w["fact_orders"].groupBy("channel_sk").agg(F.count("*").alias("orders")).join(w["dim_channel"], "channel_sk"),
-    "select channel_sk as c, count(*) as n from o_fact_orders where channel_sk is not null group by channel_sk",
+    "channel_sk s=md5(id), channel_id s=id, channel_name s=name, channel_category s=category, orders l=coalesce(n; 0),"
+    "channel_type s=case when category in ('retail'; 'marketplace') then 'sales' when category in ('search'; 'social'; 'email'; 'direct'; 'referral'; 'other') then 'acquisition' else 'both' end",
+    lambda w: w["dim_channel"].join(w["fact_orders"].groupBy("channel_sk").agg(F.count("*").alias("orders")), "channel_sk", "left").fillna(0, ["orders"]),
+    f"select c.*, o.n from (select id, max(name) as name, max(category) as category from (values {_CHANNELS}) v(id, name, category) group by id) c"
+    " left join (select channel_sk, count(*) as n from o_fact_orders group by channel_sk) o on o.channel_sk = md5(c.id)",
 )
 register(
     "dim_geography", "DIM-6",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 from functools import reduce
 
@@ -17,10 +18,10 @@ from tallyhouse.operators import rolling
 from tallyhouse.operators.dedup import first_per_key, latest_per_key
 from tallyhouse.operators.fx import rate_intervals, with_fx_rate
 from tallyhouse.operators.intervals import overlapping_versions, point_in_time_join, to_intervals_skewed
-from tallyhouse.operators.lookup import lookup_with_wildcard
+from tallyhouse.operators.lookup import lookup_with_wildcard, override_channels
 from tallyhouse.operators.scd2 import rebuild_history, scd2_merge, scd2_start
 from tallyhouse.operators.snapshots import snapshot_days, trailing_totals
-from tallyhouse.operators.stored import stored
+from tallyhouse.operators.stored import shared_folder, stored
 from tallyhouse.operators.upsert import since_cutoff, upsert
 from tallyhouse.plans import facts, kpis, rules
 from tallyhouse.plans.checks import model_checks
@@ -28,7 +29,7 @@ from tallyhouse.plans.identity import apply_erasure, erase_orders
 from tallyhouse.plans.marts import daily_sales
 from tallyhouse.plans.sessions import without_bots
 from tallyhouse.sources.csv import json_column, row_counts
-from tallyhouse.sources.mapping import TableMapping, apply_mapping
+from tallyhouse.sources.mapping import TableMapping, apply_mapping, source_col
 from tallyhouse.sources.registry import raw_tables
 from tallyhouse.sources.seeds import channel_rows, small_table, with_channel_overrides
 from tallyhouse.workload.oracle import TODAY
@@ -204,7 +205,7 @@ register(
     "select event_type, count(*) as n, sum((props->>'k')::bigint) as k, sum(value::decimal(18,2) + 1) as tax from events group by event_type",
 )
 register(
-    "json_pivot", "AGG-10 SRC-10",
+    "json_pivot", "AGG-10",
     "event_id l, kind s=event_type, k s=props->>'k', missing s=null",
     lambda w: w.table("events").select(
         "event_id",
@@ -446,8 +447,8 @@ register(
 register(
     "dq_orders_without_lines", "DQ-13 JN-11",
     "order_id s",
-    lambda w: Q.orders_without_lines(w["fact_orders"], w["fact_order_lines"].filter("quantity > 5")),
-    "select order_id from o_fact_orders where line_count > 0 and order_id not in (select order_id from o_fact_lines where quantity > 5)",
+    lambda w: Q.orders_without_lines(w["fact_orders"].withColumn("line_item_count", F.lit(1)), w["fact_order_lines"]),
+    "select order_id from o_fact_orders where order_id not in (select order_id from o_fact_lines)",
 )
 register(
     "dq_refunds_without_orders", "DQ-14 JN-11",
@@ -619,12 +620,43 @@ register(
 register(
     "rule_channel_override", "CFG-4",
     "session_id s, channel_id s=case when source = 'Bing' then 'bing_paid' when source = 'facebook' then 'meta' else 'default' end",
-    lambda w: rules.override_channels(
+    lambda w: override_channels(
         w["int_web_sessions"].withColumn("channel_id", F.lit("default")),
         small_table(w.spark, [("bing", "cpc", "bing_paid"), ("facebook", "CPC", "meta")], "source string, medium string, canonical_channel string"),
         "traffic_source", "traffic_medium"),
     "o_sessions",
 )
+register(
+    "source_override", "SRC-10",
+    "event_id l, kind s=coalesce(props->>'k'; null), plain s=event_type",
+    lambda w: w.table("events").select(
+        "event_id", *[source_col({"events": {"kind": "props:k"}}, "events", name, "event_type").alias(name) for name in ("kind", "plain")]),
+    "events",
+)
+register(
+    "traffic_overrides_in_run", "CFG-4 FCT-5",
+    "session_id s, channel_sk s=case when source = 'facebook' then md5('referral_tiktok') else case substr(user_pseudo_id; 2)::int % 6 when 0 then md5('organic_search_google') when 1 then md5('paid_social_meta') when 2 then md5('paid_search_bing') when 3 then null else md5('direct') end end",
+    lambda w: facts.fact_web_sessions(
+        w["int_web_sessions"], dim_customer=w["dim_customer"], dim_channel=w["dim_channel"], dim_geography=w["dim_geography"], channel_mapping=w.warehouse().channels(), params=PARAMS,
+        traffic_overrides=small_table(w.spark, [("facebook", "CPC", "referral_tiktok")], "source string, medium string, canonical_channel string")),
+    "o_sessions",
+)
+register(
+    "quarantine_rows", "SNK-8 GOV-5",
+    "check_name s, order_id s, net_amount d=net4, refunded_amount d=back4", lambda w: _quarantined(w),
+    "select 'refunded_not_exceed_net' as check_name, * from o_fact_orders where back4 > net4 + 0.01 union all select 'not_null_order_status', * from o_fact_orders where order_status is null",
+)
+
+
+def _quarantined(w: Lab) -> DataFrame:
+    """What the order fact stores of its failing rows, read back from the quarantine table."""
+    database = f"quarantine_{uuid.uuid4().hex}"
+    w.spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_folder(w.spark).rstrip('/')}/{database}'")
+    checks = [c for c in model_checks(PARAMS)["fact_orders"] if c.name in ("refunded_not_exceed_net", "not_null_order_status")]
+    names = Q.quarantine(w["fact_orders"], "fact_orders", checks, PARAMS, {}, database)
+    return w.spark.table(names[-1])
+
+
 register(
     "rule_private_opens", "CFG-5",
     "event_id s", lambda w: rules.without_private_opens(
@@ -648,8 +680,9 @@ register(
     "campaign_id s='meta_' || event_type, ratio d=p / h, status s=case when p / h > 10 then 'error' when p / h > 3 then 'warn' else 'pass' end",
     lambda w: rules.conversion_ratio_alerts(
         w["stg_meta_ads__daily_insights"].withColumn("conversions", F.col("platform_reported_conversions")),
-        w.table("events").filter("event_id % 4 = 0 or event_type = 'click'").groupBy(F.concat(F.lit("meta_"), "event_type").alias("campaign_id")).agg(F.count("*").alias("conversions"))),
-    "select event_type, sum(if(user_id % 13 = 0, 0, n + 2))::double as p, sum(h)::double as h from (select event_type, user_id, ts::date as day, count(*) as n, count(*) filter (where event_id % 4 = 0 or event_type = 'click') as h from events group by 1, 2, 3) group by 1",
+        w.table("events").groupBy(F.concat(F.lit("meta_"), "event_type").alias("campaign_id")).agg(
+            F.when(F.first("event_type") == "click", F.count("*")).otherwise(F.count_distinct(F.expr("user_id % 500"))).alias("conversions"))),
+    "select event_type, sum(if(user_id % 13 = 0, 0, n + 2))::double as p, any_value(h)::double as h from (select event_type, user_id, ts::date as day, count(*) as n from events group by 1, 2, 3) join (select event_type, if(event_type = 'click', count(*), count(distinct user_id % 500)) as h from events group by 1) using (event_type) group by 1",
 )
 register(
     "rule_reconciliation", "CFG-9",

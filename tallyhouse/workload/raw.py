@@ -159,22 +159,22 @@ SQL: dict[str, str] = {
         from (select *, 'a' as suffix, 0 as late from {{orders}} union all select *, 'z', 3601 from {{orders}} where o_orderkey % 5 = 0)""",
     "stripe.customers": f"""
         select 'cus_' || cast(c_custkey as string) as id, 1577836800 + (c_custkey % 1000) * 86400 as created,
-            case when c_custkey % 10 <> 4 then 'CUSTOMER' || cast(c_custkey as string) || '@example.com' end as email, c_name as name,
-            case when c_custkey % 3 = 1 then '+1-' || cast(c_custkey - c_custkey % 2 as string) end as phone,
+            case when c_custkey % 2 = 1 then 'Payer' || cast(c_custkey as string) || '@example.org' when c_custkey % 10 <> 4 then 'CUSTOMER' || cast(c_custkey as string) || '@example.com' end as email, c_name as name,
+            case when c_custkey % 2 = 0 and c_custkey % 3 = 1 then '+1-' || cast(c_custkey as string) end as phone,
             case when c_custkey % 50 = 0 then true end as delinquent, case when c_custkey % 2 = 0 then true end as livemode
-        from {{customer}} where c_custkey % 2 = 0""",
+        from {{customer}}""",
     "stripe.refunds": """
         select 're_' || cast(o_orderkey as string) as id, 'ch_a' || cast(o_orderkey as string) as charge,
             cast(cast(o_totalprice as decimal(18,2)) * 100 as bigint) as amount, 'eur' as currency,
             case when o_orderkey % 5 = 0 then 'pending' else 'succeeded' end as status,
             case when o_orderkey % 7 = 0 then 'Fraudulent' when o_orderkey % 7 = 1 then 'requested_by_customer' end as reason,
             cast(EPOCH(o_orderdate) as bigint) as created
-        from {orders} where o_orderkey % 3 = 0""",
+        from {orders}""",
     "stripe.disputes": """
         select 'dp_' || cast(o_orderkey as string) as id, 'ch_a' || cast(o_orderkey as string) as charge,
             cast(cast(o_totalprice as decimal(18,2)) * 100 as bigint) as amount, 'usd' as currency, 'lost' as status, 'product_not_received' as reason,
             cast(EPOCH(o_orderdate + interval '9131' day) as bigint) as created
-        from {orders} where o_orderkey % 23 = 0""",
+        from {orders}""",
     "stripe.payment_methods": f"""
         select 'pm_' || cast(c_custkey as string) as id,
             case when c_custkey % 11 = 0 then null else case c_mktsegment when 'BUILDING' then 'card' when 'AUTOMOBILE' then 'Card' when 'MACHINERY' then 'klarna'
@@ -237,11 +237,11 @@ SQL: dict[str, str] = {
         from {events}""",
     "klaviyo.profiles": """
         select 'k' || cast(c_custkey as string) as id, timestamp '2021-01-01 00:00:00' + (c_custkey % 700) * interval '1' day as created,
-            case when c_custkey % 2 = 0 then timestamp '2025-01-01 00:00:00' end as updated, case when c_custkey % 20 <> 9 then 'customer' || cast(c_custkey as string) || '@example.com' end as email,
+            case when c_custkey % 2 = 0 then timestamp '2025-01-01 00:00:00' end as updated, case when c_custkey % 20 <> 9 then case when c_custkey % 3 = 2 then 'reader' else 'customer' end || cast(c_custkey as string) || '@example.com' end as email,
             'Ann' as first_name, 'Smith' as last_name, cast(null as string) as phone_number,
             case c_custkey % 4 when 0 then 'subscribed' when 1 then 'unsubscribed' when 2 then 'never_subscribed' end as email_marketing__consent,
             case when c_custkey % 6 = 0 then 'subscribed' end as sms_marketing__consent
-        from {customer} where c_custkey % 3 <> 2""",
+        from {customer}""",
     "klaviyo.campaigns": """
         select s_suppkey as id, s_name as name, 'Subject ' || cast(s_suppkey as string) as subject, case when s_suppkey % 3 = 0 then 'draft' else 'sent' end as status,
             case when s_suppkey % 3 <> 0 then timestamp '2023-05-05 09:30:00' end as send_time, case when s_suppkey % 4 <> 0 then cast(s_suppkey * 10 as int) end as num_recipients,
