@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import replace
+from dataclasses import fields, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.stored import shared_folder
+from tallyhouse.params import EARLIER_READINGS, Params
 from tallyhouse.plans import facts
-from tallyhouse.plans.warehouse import MODELS
+from tallyhouse.plans.warehouse import MODELS, Warehouse, shared_saver
 from tallyhouse.sources.csv import land, load_all, scan_csv, scan_csv_inferred, scan_csv_positional, with_sync_columns
 from tallyhouse.sources.registry import RawTable
 from tallyhouse.workload.raw import PARAMS
@@ -118,3 +119,28 @@ register(
        from (select order_id, refund_id, line_item_id, refund_date, sum(units) as units from o_fact_refunds where has_lines group by all) r
        join o_fact_lines l using (order_id, line_item_id)""",
 )
+
+
+def _by_default(w: Lab, name: str) -> DataFrame:
+    """A fact under the library's default readings, on the shared models of the driver settings."""
+    params = replace(PARAMS, **{f.name: f.default for f in fields(Params) if f.name in EARLIER_READINGS})
+    house = Warehouse(w.spark, w.raw, w.seeds(), params, save=shared_saver())
+    house.history = w.warehouse().history
+    return house[name]
+
+
+# Staging takes an id of 0 for none, so lines of part 0 have no variant to be found by.
+_BY_VARIANT = "if(sku = 'SKU-0'; null; product_sk)"
+_SALES_NET = "select movement_id, product_sk, sku, day, kind, change, order_id from o_movements where kind = 'sale'"
+_RETURNS = """select 'return_' || r.refund_id || '_' || l.line_item_id, l.product_sk, l.sku, r.refund_date, 'return', r.units, l.order_id
+       from (select order_id, refund_id, line_item_id, refund_date, sum(units) as units from o_fact_refunds where has_lines group by all) r
+       join o_fact_lines l using (order_id, line_item_id)"""
+register(
+    "default_order_lines", "FCT-2 JN-4 INT-1", "line_item_id s, order_id s, product_sk s=" + _BY_VARIANT + ", quantity d, unit_cost d, line_gross_margin d=margin4",
+    lambda w: _by_default(w, "fact_order_lines"), "o_fact_lines",
+)
+register(
+    "default_inventory_movements", "FCT-9 JN-2 SET-2",
+    "movement_id s, product_sk s=" + _BY_VARIANT + ", sku s, movement_date D=day, movement_type s=kind, quantity_change d=change, reference_order_id s=order_id",
+    lambda w: _by_default(w, "fact_inventory_movements"), f"{_SALES_NET} union all {_RETURNS}",
+)

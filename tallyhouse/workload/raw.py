@@ -13,12 +13,12 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.params import Params
+from tallyhouse.params import EARLIER_READINGS, Params
 
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 AS_OF = date(2026, 8, 15)
 PARAMS = Params(
-    as_of=AS_OF, pii_salt="pepper", snapshot_mode="month_end", backdate_customers=True, run_id="driver",
+    as_of=AS_OF, pii_salt="pepper", snapshot_mode="month_end", backdate_customers=True, run_id="driver", **EARLIER_READINGS,
 )
 
 _SHIFT = "interval '9131' day"
