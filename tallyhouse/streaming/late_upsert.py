@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from collections.abc import Mapping, Sequence
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tallyhouse.operators.dedup import latest_per_key
 from tallyhouse.operators.upsert import upsert_table
@@ -29,3 +29,19 @@ def start_late_upsert(
 
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def drain_folder(
+    spark: SparkSession, folder: str, schema: StructType, table: str, keys: Sequence[str], *, version: str, partition: str, checkpoint: str,
+    late_by: str = "7 days", options: Mapping[str, str] | None = None,
+) -> StreamingQuery:
+    """Land what has arrived in a folder of CSV files since the last call, then stop.
+
+    The source's own log in ``checkpoint`` knows the files that were read, so a file is read once. A
+    file offered again under another name brings rows whose keys and version are known: state drops
+    them for as long as the watermark on ``version`` (``late_by``) keeps them, and behind it the
+    merge by key changes nothing. Rows without a version cannot be placed in time and are left out.
+    """
+    stream = spark.readStream.schema(schema).options(**{"header": "true", **(options or {})}).csv(folder)
+    fresh = stream.filter(F.col(version).isNotNull()).withWatermark(version, late_by).dropDuplicatesWithinWatermark([*keys, version])
+    return start_late_upsert(fresh, table, keys, version=version, partition=partition, staging=f"{table}_staging", checkpoint=checkpoint, available_now=True)

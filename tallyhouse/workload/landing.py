@@ -15,6 +15,7 @@ from tallyhouse.plans import facts
 from tallyhouse.plans.warehouse import MODELS, Warehouse, shared_saver
 from tallyhouse.sources.csv import land, load_all, scan_csv, scan_csv_inferred, scan_csv_positional, with_sync_columns
 from tallyhouse.sources.registry import RawTable
+from tallyhouse.streaming.late_upsert import drain_folder
 from tallyhouse.workload.raw import PARAMS
 from tallyhouse.workload.registry import Lab, register
 
@@ -144,3 +145,25 @@ register(
     "movement_id s, product_sk s=" + _BY_VARIANT + ", sku s, movement_date D=day, movement_type s=kind, quantity_change d=change, reference_order_id s=order_id",
     lambda w: _by_default(w, "fact_inventory_movements"), f"{_SALES_NET} union all {_RETURNS}",
 )
+
+
+def _drained(w: Lab) -> DataFrame:
+    """Orders that arrive as files in two rounds, the first round's file a second time and some orders changed, landed by a stream."""
+    path, name = f"{shared_folder(w.spark).rstrip('/')}/landing/{uuid.uuid4().hex}", f"drained_{uuid.uuid4().hex}"
+    rows = w.table("orders").select(
+        "o_orderkey", F.col("o_orderdate").cast("timestamp").alias("changed_at"), F.date_format("o_orderdate", "yyyy").alias("year"), F.col("o_totalprice").alias("total"))
+    first = rows.filter("o_orderkey % 2 = 0")
+    later = rows.filter("o_orderkey % 2 <> 0").unionByName(first.filter("o_orderkey % 6 = 0").withColumns({"total": F.col("total") + 1, "changed_at": F.col("changed_at") + F.expr("interval 1 day")}))
+    schema = rows.schema
+    for batch in (first, first, later):
+        batch.write.mode("append").option("header", True).csv(f"{path}/in")
+        drain_folder(w.spark, f"{path}/in", schema, name, ["o_orderkey"], version="changed_at", partition="year", checkpoint=f"{path}/log", late_by="10000 days").awaitTermination()
+    w.spark.catalog.refreshTable(name)
+    return w.spark.table(name)
+
+
+register(
+    "landed_by_stream", "STR-2 SRC-7 SNK-6",
+    "o_orderkey l, changed_at t=if(o_orderkey % 6 = 0; o_orderdate + interval 1 day; o_orderdate), total d=if(o_orderkey % 6 = 0; o_totalprice + 1; o_totalprice)",
+    _drained, "orders",
+)

@@ -17,7 +17,7 @@ from tallyhouse.operators import quality as Q
 from tallyhouse.operators import rolling
 from tallyhouse.operators.dedup import first_per_key, latest_per_key
 from tallyhouse.operators.fx import rate_intervals, with_fx_rate
-from tallyhouse.operators.intervals import overlapping_versions, point_in_time_join, to_intervals_skewed
+from tallyhouse.operators.intervals import overlapping_versions, point_in_time_join, point_in_time_join_large, to_intervals_skewed
 from tallyhouse.operators.lookup import lookup_with_wildcard, override_channels
 from tallyhouse.operators.scd2 import rebuild_history, scd2_merge, scd2_start
 from tallyhouse.operators.snapshots import snapshot_days, trailing_totals
@@ -34,7 +34,7 @@ from tallyhouse.sources.registry import raw_tables
 from tallyhouse.sources.seeds import channel_rows, small_table, with_channel_overrides
 from tallyhouse.workload.oracle import TODAY
 from tallyhouse.workload.raw import PARAMS
-from tallyhouse.workload.registry import Lab, register
+from tallyhouse.workload.registry import REGISTRY, Lab, register
 
 # ---- Direct on the given tables -----------------------------------------------------------
 def money(col: str):
@@ -161,6 +161,16 @@ register(
     """select l.*, (select (p_retailprice::decimal(18,2) * case when l_shipdate >= date '1999-06-01' and p_partkey % 3 = 0 then 1.25 when l_shipdate >= date '1997-01-01' and p_partkey % 2 = 0 then 1.10 else 1.00 end)::decimal(18,4)
         from part where p_partkey = l_partkey) as price from lineitem l""",
 )
+register(
+    "price_at_shipment_large", "JN-3 JN-4 JN-5",
+    REGISTRY["price_at_shipment"].columns,
+    lambda w: point_in_time_join_large(
+        w.table("lineitem").select(F.col("l_orderkey").alias("order_key"), F.col("l_partkey").cast("string").alias("part_key"),
+                                   F.col("l_linenumber").alias("line_number"), F.col("l_suppkey").alias("supplier_key"), "l_shipdate"),
+        rebuild_history(_price_changes(w), "part_key", "changed_at"), fact_key="part_key", version_key="part_key", at="l_shipdate", take={"price": "price"},
+    ),
+    REGISTRY["price_at_shipment"].sql,
+)
 register(
     "fx_intervals", "WIN-1 SRC-6",
     "currency s=cur, valid_from D=lo, valid_to D=hi, rate d",

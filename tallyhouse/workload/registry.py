@@ -190,8 +190,8 @@ def columns(spec: str) -> tuple[tuple[str, str, str], ...]:
 REGISTRY: dict[str, Query] = {}
 
 
-def register(name: str, covers: str, spec: str, plan: Callable[[Lab], DataFrame], sql: str | None = None, **extra: str) -> None:
+def register(name: str, covers: str, spec: str | tuple, plan: Callable[[Lab], DataFrame], sql: str | None = None, **extra: str) -> None:
     """Add a query. ``extra`` gives further named texts (``x_...``) for its SQL."""
     if name in REGISTRY:
         raise ValueError(f"query registered twice: {name}")
-    REGISTRY[name] = Query(name, covers, columns(spec), plan, sql, tuple(extra.items()))
+    REGISTRY[name] = Query(name, covers, columns(spec) if isinstance(spec, str) else spec, plan, sql, tuple(extra.items()))

@@ -1,6 +1,7 @@
 """Operators on small fixtures, edge cases first."""
 
-from datetime import date, datetime
+import random
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -12,7 +13,7 @@ from tallyhouse.functions.pii import loose_name_key, pii_hash, pii_null
 from tallyhouse.operators import quality as Q
 from tallyhouse.operators.dedup import latest_per_key
 from tallyhouse.operators.fx import with_fx_rate
-from tallyhouse.operators.intervals import overlapping_versions, point_in_time_join, to_intervals, to_intervals_skewed
+from tallyhouse.operators.intervals import overlapping_versions, point_in_time_join, point_in_time_join_large, to_intervals, to_intervals_skewed
 from tallyhouse.operators.lookup import lookup_with_wildcard
 from tallyhouse.operators.scd2 import backdate_current, greatest_or_null, scd2_merge, scd2_start
 from tallyhouse.operators.upsert import cutoff, since_cutoff, upsert
@@ -246,3 +247,36 @@ def test_expected_values(spark):
 def test_empty_rates_do_not_fail(spark):
     events = spark.createDataFrame([], "event_type string")
     assert kpis.email_engagement(events).first().engagement_rate == 0.0
+
+
+def test_large_point_in_time_join(spark):
+    """One key with a third of all facts and many versions; gaps, open ends, versions and facts at one instant, facts without key or time."""
+    rng = random.Random(5)
+    day = datetime(2024, 1, 1)
+    versions, facts = [], []
+    for k in ["hot", *map(str, range(8))]:
+        at = day + timedelta(hours=rng.randrange(500))
+        for i in range(300 if k == "hot" else rng.randrange(4)):
+            end = at + timedelta(hours=rng.randrange(1, 60))
+            last = rng.random() < 0.1
+            versions.append((k, at, None if last else end, f"{k}v{i}"))
+            if last and k != "hot":
+                break
+            at = end + timedelta(hours=rng.choice([0, 0, 0, 30]))
+    versions = [(k, a, e if e is not None or k != "hot" else a + timedelta(hours=1), n) for k, a, e, n in versions]
+    for i in range(900):
+        k = "hot" if i % 3 == 0 else rng.choice([*map(str, range(9)), None])
+        at = rng.choice([v[1] for v in versions]) if rng.random() < 0.2 else day + timedelta(hours=rng.randrange(9000))
+        facts.append((i, k, None if rng.random() < 0.02 else at, "x"))
+    f = spark.createDataFrame(facts, "i int, k string, at timestamp, note string")
+    v = spark.createDataFrame(versions, "key string, valid_from timestamp, valid_to timestamp, name string")
+    given = {"fact_key": "k", "version_key": "key", "at": "at", "take": {"name": "version"}}
+    large = point_in_time_join_large(f, v, **given)
+    assert large.columns == [*f.columns, "version"]
+    plain = {r.i: r.version for r in point_in_time_join(f, v, **given).collect()}
+    got = [tuple(r) for r in large.collect()]
+    assert sorted(r[:4] for r in got) == sorted(facts) and {r[0]: r[4] for r in got} == plain and len(set(plain.values())) > 100
+    assert point_in_time_join_large(f.limit(0), v, **given).count() == 0
+    assert {r.version for r in point_in_time_join_large(f, v.limit(0), **given).collect()} == {None}
+    plan = large._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Generate" not in plan
