@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyhouse.params import Params
@@ -117,6 +118,36 @@ def _as_result(failures: DataFrame, table: str, check: Check) -> DataFrame:
     )
 
 
+class Watched:
+    """Row and recency checks that ride along with the write of a model, so that they cost no scan.
+
+    The model's frame is watched by an ``Observation``; once it is written, ``results`` has a row per
+    check. Keys and references need a shuffle of their own: ``run_checks`` on the stored table.
+    """
+
+    def __init__(self, table: str, checks: Sequence[Check], params: Params) -> None:
+        self.table, self.params = table, params
+        self.checks = [c for c in checks if isinstance(c, (RowCheck, Recent))]
+        self.observation = Observation(f"checks of {table}")
+
+    def attach(self, df: DataFrame) -> DataFrame:
+        if not self.checks:
+            return df
+        measures = [F.count_if(c.bad) if isinstance(c, RowCheck) else F.max(F.col(c.column).cast("date")) for c in self.checks]
+        return df.observe(self.observation, *[m.alias(f"m{i}") for i, m in enumerate(measures)])
+
+    def results(self) -> list[tuple]:
+        """Rows in the layout of ``RESULT``; blocks until the frame has been written."""
+        seen = self.observation.get if self.checks else {}
+        out = []
+        for i, c in enumerate(self.checks):
+            value = seen.get(f"m{i}")
+            stale = isinstance(c, Recent) and (value is None or value < self.params.as_of - timedelta(days=c.days))
+            failures = int(stale) if isinstance(c, Recent) else int(value or 0)
+            out.append((self.table, c.name, c.severity, failures, "pass" if not failures else "fail" if c.severity == "error" else "warn"))
+        return out
+
+
 def run_checks(
     table: str, df: DataFrame, checks: Sequence[Check], params: Params, parents: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.operators import quality as Q
 from tallyhouse.operators.stored import stored
 from tallyhouse.operators.upsert import first_day, since_cutoff
 from tallyhouse.operators.scd2 import backdate_current, scd2_merge, scd2_start
 from tallyhouse.params import Params
 from tallyhouse.plans import dims, facts, marts, rules
+from tallyhouse.plans.checks import STAGING_KEYS, model_checks, staging_checks
 from tallyhouse.plans.identity import apply_erasure, customer_links, erase_orders, identity_records, resolve_identity
 from tallyhouse.plans.sessions import enrich_orders, sessionize, without_bots
 from tallyhouse.plans.staging import STAGES, klaviyo
@@ -35,15 +37,49 @@ def shared_saver(names: frozenset[str] = SHARED) -> Save:
     return lambda name, df, _: stored(df, name) if name in names else df
 
 
+CHECK_RESULTS = "check_results"
+
+
 def stored_run(spark: SparkSession, database: str, raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame], params: Params, *,
-               names: list[str] | None = None, kept: frozenset[str] | None = None, overrides: Overrides | None = None) -> dict[str, DataFrame]:
+               names: list[str] | None = None, kept: frozenset[str] | None = None, overrides: Overrides | None = None,
+               checks: bool = False, gate: Collection[str] = ()) -> dict[str, DataFrame]:
     """One run of a stored warehouse: builds ``names`` (all models by default), then publishes them together.
 
     ``kept`` limits what is stored. If the run fails, readers go on seeing the former one.
+
+    With ``checks``, every stored model's row checks are counted while it is written (for facts: the
+    rows of this run), keys and references on the stored tables; all results become the model
+    ``check_results``. A run in which a check named in ``gate`` fails is not published.
     """
     store = Store(spark, database, kept)
-    house = Warehouse(spark, raw, seeds, params, overrides=overrides, save=store.save, **store.state())
+    declared = {**model_checks(params), **STAGING_KEYS} if checks else {}
+    results: list[tuple] = []
+
+    def checks_of(name: str, df: DataFrame) -> list[Q.Check]:
+        return staging_checks(name, df.columns) if name in STAGING_KEYS else declared[name]
+
+    def save(name: str, df: DataFrame, scope: Scope) -> DataFrame:
+        if name not in declared or (kept is not None and name not in kept):
+            return store.save(name, df, scope)
+        watched = Q.Watched(name, checks_of(name, df), params)
+        out = store.save(name, watched.attach(df), scope)
+        results.extend(watched.results())
+        return out
+
+    house = Warehouse(spark, raw, seeds, params, overrides=overrides, save=save, **store.state())
     built = house.build(names)
+    if checks:
+        for name in [n for n in built if n in declared and (kept is None or n in kept)]:
+            apart = [c for c in checks_of(name, built[name]) if isinstance(c, (Q.Unique, Q.ForeignKey))]
+            if apart:
+                parents = {c.parent: house[c.parent] for c in apart if isinstance(c, Q.ForeignKey)}
+                results.extend(tuple(r) for r in Q.run_checks(name, built[name], apart, params, parents).collect())
+        failed = sorted({f"{r[0]}.{r[1]}" for r in results if r[4] == "fail" and r[1] in gate})
+        if failed:
+            raise ValueError(f"checks failed, the run is not published: {', '.join(failed)}")
+        if results:
+            store.names = None if store.names is None else {*store.names, CHECK_RESULTS}
+            built[CHECK_RESULTS] = store.save(CHECK_RESULTS, spark.createDataFrame(sorted(results), "table_name string, check_name string, severity string, failures long, status string"))
     store.publish()
     return built
 

@@ -13,7 +13,9 @@ from tallyhouse.functions.pii import phone_hash
 from tallyhouse.operators.clustering import clustered
 from tallyhouse.operators.key_summary import may_hold
 from tallyhouse.operators.upsert import replace_table, since_cutoff
+from tallyhouse.operators import quality as Q
 from tallyhouse.plans import facts
+from tallyhouse.plans.checks import model_checks, staging_checks
 from tallyhouse.plans.store import MERGES, Store
 from tallyhouse.plans.warehouse import Warehouse, shared_saver, stored_run
 from tallyhouse.sources.csv import scan_csv
@@ -208,3 +210,24 @@ def test_snapshot_grid_is_not_shuffled(spark):
     at = next(i for i, line in enumerate(plan) if "Generate inline" in line)
     assert not any("Join" in line or "Aggregate" in line for line in plan[:at])
     assert fact.count() >= 1
+
+
+def test_checks_ride_along_with_the_writes(spark):
+    """Row checks counted while models are written equal a scan of the stored tables; a gated failure keeps the former run."""
+    shop, database = Lab(spark, SF_DIR), f"checked_{uuid.uuid4().hex}"
+    spark.sql(f"create database {database}")
+    names = ["stg_stripe__charges", "stg_shopify__order_line_items", "dim_channel", "dim_geography", "fact_email_engagement"]
+    kept = frozenset({*names, "dim_email_campaign", "dim_customer"})
+    made = stored_run(spark, database, shop.raw, shop.seeds(), PARAMS, names=names, kept=kept, checks=True)
+    results = {(r.table_name, r.check_name): (r.failures, r.status) for r in spark.table(f"{database}.check_results").collect()}
+    assert made["check_results"].count() == len(results) > 25
+    assert results["fact_email_engagement", "accepted_values_bounce_type"][1] == "fail"
+    parents = {"dim_email_campaign": made["fact_email_engagement"].select("email_campaign_sk")}
+    for name, checks in (("fact_email_engagement", model_checks(PARAMS)["fact_email_engagement"]), ("stg_stripe__charges", staging_checks("stg_stripe__charges", made["stg_stripe__charges"].columns))):
+        alone = [c for c in checks if not isinstance(c, Q.ForeignKey)]
+        for r in Q.run_checks(name, made[name], alone, PARAMS, parents).collect():
+            assert results[name, r.check_name] == (r.failures, r.status), (name, r.check_name)
+    before = Store(spark, database).before
+    with pytest.raises(ValueError, match="accepted_values_bounce_type"):
+        stored_run(spark, database, shop.raw, shop.seeds(), PARAMS, names=names, kept=kept, checks=True, gate=["accepted_values_bounce_type"])
+    assert Store(spark, database).before == before
