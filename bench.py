@@ -30,7 +30,7 @@ HEADLINE = (
 def session(cpus: str) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("bench")
     settings = {
-        "spark.driver.memory": "20g",
+        "spark.driver.memory": "10g",
         "spark.ui.enabled": "false",
         "spark.sql.shuffle.partitions": cpus,
         "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
