@@ -22,7 +22,7 @@ def test_matches_sql(name, spark):
 
 
 def odd_tables(con):
-    con.execute("create table documents as select * from (values (1, null), (2, ''), (3, E' \\t\\n '), (null, 'no id here'), (4, repeat('a b c ', 40)), (4, repeat('a b c ', 40))) t(doc_id, text)")
+    con.execute("create table documents as select * from (values (1, null, 'en'), (2, '', null), (3, E' \\t\\n ', ''), (null, 'no id here', 'de'), (4, repeat('a b c ', 40), 'en'), (4, repeat('a b c ', 40), 'en'), (6, repeat('x y z. ', 130), null)) t(doc_id, text, lang)")
     con.execute("create table pages as select * from (values (1, null, null), (2, 'x://A.NET?q', ''), (null, null, 'z'), (3, 'http://a.b/c/d/e/f/g', 'z'), (3, 'http://a.b/c/d/e/f/g', 'z'), (5, 'plain', 'é')) t(page_id, url, html)")
 
 
