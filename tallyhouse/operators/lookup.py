@@ -24,6 +24,17 @@ def lookup_with_wildcard(
     )
 
 
+def join_known(facts: DataFrame, other: DataFrame, key: str, spread: str) -> DataFrame:
+    """Left join on ``key``, which much of ``facts`` may lack.
+
+    Rows without the key would all hash to one task. They go by ``spread``, a column of many values,
+    instead, and meet nothing: whether the key is there is part of the join.
+    """
+    here = facts.withColumns({"_by": F.coalesce(F.col(key).cast("string"), F.col(spread).cast("string")), "_has": F.col(key).isNotNull()})
+    there = other.filter(F.col(key).isNotNull()).withColumnRenamed(key, "_there")
+    return here.join(there, (F.col("_by") == F.col("_there").cast("string")) & F.col("_has"), "left").drop("_by", "_has", "_there")
+
+
 def country_level(geography: DataFrame) -> DataFrame:
     """Only the whole-country rows of the geography dimension."""
     return geography.filter(F.col("state_or_region_code").isNull())

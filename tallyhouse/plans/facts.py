@@ -14,7 +14,7 @@ from tallyhouse.functions.keys import date_key, surrogate_key, with_audit
 from tallyhouse.operators.dedup import latest_per_key
 from tallyhouse.operators.fx import with_fx_rate
 from tallyhouse.operators.intervals import point_in_time_join
-from tallyhouse.operators.lookup import country_level, lookup_with_wildcard, override_channels
+from tallyhouse.operators.lookup import country_level, join_known, lookup_with_wildcard, override_channels
 from tallyhouse.operators.snapshots import bucket_totals, snapshot_days, trailing_sums, trailing_totals
 from tallyhouse.operators.upsert import since_cutoff
 from tallyhouse.params import Params
@@ -105,7 +105,7 @@ def fact_orders(
     key = "shopify_customer_id"
     if links is not None:
         known = links.filter(F.col("source_system") == "shopify").select(F.col("source_id").alias(key), F.col("customer_id").alias("_linked"))
-        df = df.join(known, key, "left")
+        df = join_known(df, known, key, "order_id")
     df = point_in_time_join(
         df, dim_customer, fact_key=key if links is None else "_linked", version_key=key if links is None else "customer_id", at="order_timestamp",
         take={"customer_sk": "customer_sk", "customer_id": "customer_id"},
@@ -344,8 +344,8 @@ def fact_web_sessions(
     df = (
         df.join(dim_channel.select(F.col("channel_id").alias("_channel_id"), "channel_sk"), "_channel_id", "left")
         .join(places, "geo_country", "left")
-        .join(ids, "user_id", "left")
     )
+    df = join_known(df, ids, "user_id", "session_id")
     out = df.select(
         surrogate_key(["session_id"]).alias("session_sk"), "session_id", "user_pseudo_id", "customer_sk", "customer_id",
         "channel_sk", "geography_sk", "session_date", "session_start_timestamp", "session_duration_seconds", "page_views",
@@ -369,8 +369,8 @@ def fact_email_engagement(
     df = (
         recent.withColumn("email_campaign_id", C.email_campaign_id(F.col("campaign_id"), F.col("flow_id")))
         .join(dim_email_campaign.select("email_campaign_id", "email_campaign_sk"), "email_campaign_id", "left")
-        .join(people, "klaviyo_profile_id", "left")
     )
+    df = join_known(df, people, "klaviyo_profile_id", "event_id")
     out = df.select(
         surrogate_key(["event_id"]).alias("event_sk"), "event_id", "customer_sk", "email_campaign_sk", "event_type",
         "event_date", "event_timestamp", prop("$.subject_line").alias("email_subject"), prop("$.url").alias("link_url"),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +19,8 @@ def sessionize(events: DataFrame) -> DataFrame:
     """One row per (user, session number); attributes come from the earliest event that has them.
 
     A plain grouped aggregation with map-side combine: no window and no collected group, so a
-    session or user with very many events costs no more than its rows.
+    session or user with very many events costs no more than its rows. Events that name no user or
+    no session belong to none.
     """
     at = F.col("event_timestamp")
 
@@ -24,7 +28,7 @@ def sessionize(events: DataFrame) -> DataFrame:
         return F.min(F.when(F.col(col).isNotNull(), F.struct(at, F.col(col))))[col].alias(col)
 
     page = F.when(F.col("page_location").isNotNull(), F.struct(at, F.col("page_location")))
-    grouped = events.filter(F.col("ga_session_id").isNotNull()).groupBy("user_pseudo_id", "ga_session_id").agg(
+    grouped = events.filter(session_key().isNotNull()).groupBy("user_pseudo_id", "ga_session_id").agg(
         F.min(at).alias("session_start_timestamp"),
         F.max(at).alias("_end"),
         F.count_if(F.col("event_name") == "page_view").alias("page_views"),
@@ -37,7 +41,7 @@ def sessionize(events: DataFrame) -> DataFrame:
         *[earliest(c) for c in FIRST_TOUCH],
     )
     return grouped.select(
-        F.concat("user_pseudo_id", "ga_session_id").alias("session_id"),
+        session_key().alias("session_id"),
         "user_pseudo_id",
         "ga_session_id",
         F.col("session_start_timestamp").cast("date").alias("session_date"),
@@ -50,6 +54,34 @@ def sessionize(events: DataFrame) -> DataFrame:
     )
 
 
+def session_key() -> Column:
+    return F.concat("user_pseudo_id", "ga_session_id")
+
+
+def events_from(events: DataFrame, day: date) -> DataFrame:
+    """Events from a day on. The day column, a literal's comparison that reaches the files, has a day's
+    margin, as it follows the property's time zone; the time decides."""
+    near = F.col("event_date").isNull() | (F.col("event_date") >= F.lit(day - timedelta(days=1)))
+    return events.filter(near & (F.col("event_timestamp") >= F.lit(day).cast("timestamp")))
+
+
+def touched_sessions(events: DataFrame, kept: Sequence[DataFrame], day: date) -> DataFrame:
+    """``session_id`` of sessions with an event from ``day`` on, and of stored ones that start there.
+
+    The latter may have lost all their events since.
+    """
+    ids = events_from(events, day).select(session_key().alias("session_id"))
+    for sessions in kept:
+        ids = ids.union(sessions.filter(F.col("session_date") >= F.lit(day)).select("session_id"))
+    return ids.filter(F.col("session_id").isNotNull()).distinct()
+
+
+def sessions_again(events: DataFrame, touched: DataFrame, start: date) -> DataFrame:
+    """The touched sessions from all their events, none of which lies before ``start``."""
+    own = events_from(events, start).withColumn("session_id", session_key())
+    return sessionize(own.join(touched, "session_id", "left_semi"))
+
+
 def without_bots(sessions: DataFrame) -> DataFrame:
     """Drop sessions of one event and no duration."""
     return sessions.filter(~((F.col("events_count") == 1) & (F.col("session_duration_seconds") == 0)))

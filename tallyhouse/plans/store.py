@@ -16,6 +16,7 @@ import uuid
 from collections.abc import Collection
 from dataclasses import astuple, dataclass, fields
 from datetime import date
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,7 +50,8 @@ MERGES = {
     "fact_refunds": Merge(("refund_id",), "refund_date", ("refund_date", "order_id"), "order_id"),
     "fact_inventory_movements": Merge(("movement_id",), "movement_date", ("movement_date", "sku", "movement_type"), "reference_order_id"),
     "fact_marketing_spend": Merge(("spend_sk",), "spend_date", ("spend_date", "campaign_sk")),
-    "fact_web_sessions": Merge(("session_id",), "session_date", ("session_date", "user_pseudo_id", "channel_sk")),
+    "fact_web_sessions": Merge(("session_id",), "session_date", ("session_date", "user_pseudo_id", "channel_sk"), "session_id"),
+    "int_web_sessions": Merge(("session_id",), "session_date", ("session_date", "user_pseudo_id"), "session_id"),
     "fact_email_engagement": Merge(("event_id",), "event_date", ("event_date", "event_type", "customer_sk")),
     "fact_customer_state_daily": Merge(("customer_id", "snapshot_date"), "snapshot_date", ("snapshot_date", "customer_id")),
     "fact_inventory_snapshot": Merge(("inventory_item_id", "location_id", "snapshot_date"), "snapshot_date", ("snapshot_date", "sku", "location_sk")),
@@ -101,10 +103,16 @@ class Store:
     def read(self, name: str) -> DataFrame:
         return self.spark.table(f"{self.database}.{self.before[name]}").drop(MONTH)
 
-    def state(self) -> dict[str, dict[str, DataFrame]]:
-        """``history`` and ``existing`` of a ``Warehouse``: what the last published run has stored."""
+    def holding(self, name: str, keys: DataFrame) -> DataFrame:
+        """The months of a stored model that may hold one of ``keys``, found by key summaries."""
+        table = self.before[name]
+        months = may_hold(keys, keys.columns[0], self.parts(table), MONTH)
+        return self.spark.table(f"{self.database}.{table}").filter(F.col(MONTH).isin(months)).drop(MONTH)
+
+    def state(self) -> dict[str, Any]:
+        """``history``, ``existing`` and ``holding`` of a ``Warehouse``: what the last published run has stored."""
         there = {n: self.read(n) for n in self.before if n in MERGES or n in HISTORIES}
-        return {"history": {n: there[n] for n in HISTORIES if n in there}, "existing": {n: there[n] for n in MERGES if n in there}}
+        return {"history": {n: there[n] for n in HISTORIES if n in there}, "existing": {n: there[n] for n in MERGES if n in there}, "holding": self.holding}
 
     def save(self, name: str, df: DataFrame, scope: Scope = None) -> DataFrame:
         if self.names is not None and name not in self.names:

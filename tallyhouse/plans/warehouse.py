@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Collection, Mapping
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import quality as Q
 from tallyhouse.operators.stored import stored
-from tallyhouse.operators.upsert import first_day, since_cutoff
+from tallyhouse.operators.upsert import FIRST_RUN, first_day, since_cutoff
 from tallyhouse.operators.scd2 import backdate_current, scd2_merge, scd2_start
 from tallyhouse.params import Params
 from tallyhouse.plans import dims, facts, marts, rules
 from tallyhouse.plans.checks import STAGING_KEYS, model_checks, staging_checks
 from tallyhouse.plans.identity import apply_erasure, customer_links, erase_orders, identity_records, resolve_identity
-from tallyhouse.plans.sessions import enrich_orders, sessionize, without_bots
+from tallyhouse.plans.sessions import enrich_orders, sessionize, sessions_again, touched_sessions, without_bots
 from tallyhouse.plans.staging import STAGES, klaviyo
 from tallyhouse.plans.store import Scope, Store
 from tallyhouse.sources.mapping import Overrides
@@ -84,9 +85,10 @@ def stored_run(spark: SparkSession, database: str, raw: Mapping[str, DataFrame],
     return built
 
 
-# Facts that second runs replace by order, and those they replace by day: the column whose newest stored value limits a run.
+# What second runs replace by order, by session, and by day: the column whose newest stored value limits a run.
 BY_ORDER = ("fact_orders", "fact_order_lines", "fact_refunds", "fact_inventory_movements")
-BY_DAY = {"fact_marketing_spend": "spend_date", "fact_web_sessions": "session_date", "fact_email_engagement": "event_timestamp"}
+BY_SESSION = ("int_web_sessions", "fact_web_sessions")
+BY_DAY = {"fact_marketing_spend": "spend_date", "fact_email_engagement": "event_timestamp"}
 
 
 class Warehouse:
@@ -94,7 +96,8 @@ class Warehouse:
 
     ``raw`` maps ``source.table`` to raw frames, ``seeds`` the reference tables, ``history`` the
     stored SCD2 snapshots and ``existing`` the stored facts whose newest day limits an incremental
-    run. Everything is lazy unless ``save`` stores the models.
+    run. ``holding`` gives the part of a stored fact that may hold some keys; without it, all of it
+    is looked into. Everything is lazy unless ``save`` stores the models.
 
     Optional seeds: ``holidays``; ``traffic_overrides``, which set the channel of sessions by source and medium; ``channel_overrides``, whose rows replace channel rows of the same
     source system and value; ``erasure_requests``, which are honoured in the customer history and in
@@ -104,9 +107,10 @@ class Warehouse:
     def __init__(
         self, spark: SparkSession, raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame], params: Params, *,
         history: Mapping[str, DataFrame] | None = None, existing: Mapping[str, DataFrame] | None = None,
-        overrides: Overrides | None = None, save: Save = lambda _, df, __: df,
+        overrides: Overrides | None = None, save: Save = lambda _, df, __: df, holding: Callable[[str, DataFrame], DataFrame] | None = None,
     ) -> None:
         self.spark, self.raw, self.seeds, self.params = spark, raw, seeds, params
+        self.holding = holding or (lambda name, _: self.existing[name])
         self.history, self.existing, self.overrides = history or {}, existing or {}, overrides or {}
         self._save, self._made = save, {}
 
@@ -117,9 +121,11 @@ class Warehouse:
         return self._made[name]
 
     def scope(self, name: str) -> Scope:
-        """What of a stored fact its batch replaces: touched orders, or all days from one on. None: what the batch holds."""
+        """What of a stored fact its batch replaces: touched orders or sessions, or all days from one on. None: what the batch holds."""
         if name in BY_ORDER:
             return self.touched_orders()
+        if name in BY_SESSION and name in self.existing:
+            return self["int_touched_sessions"]
         if name in BY_DAY and name in self.existing:
             return first_day(self.existing[name], BY_DAY[name], self.params.lookback_days[name])
         return None
@@ -168,9 +174,51 @@ def _stg_email_events(w: Warehouse) -> DataFrame:
     return rules.without_private_opens(staged) if w.params.rules.drop_private_opens else staged
 
 
+def _session_cutoff(w: Warehouse) -> date:
+    """The day from which on events are new to all that is stored of sessions."""
+    days = w.params.lookback_days["fact_web_sessions"]
+    return min(first_day(w.existing[n], "session_date", days) for n in BY_SESSION if n in w.existing)
+
+
+def _touched_sessions(w: Warehouse) -> DataFrame:
+    """Sessions whose rows second runs make anew and replace as a set; on a first run, all."""
+    kept = [w.existing[n] for n in BY_SESSION if n in w.existing]
+    if not kept:
+        return w["int_web_sessions"].select("session_id")
+    return stored(touched_sessions(w["stg_ga4__events"], kept, _session_cutoff(w)), "touched_sessions")
+
+
+def _sessions_again(w: Warehouse) -> DataFrame:
+    """Touched sessions, whole: their events are read from the day on which the earliest of them starts.
+
+    A session that began before the cutoff is stored with its start, unless the rule against bots
+    kept it out of the only stored model; then all events are read.
+    """
+    touched, start = w["int_touched_sessions"], _session_cutoff(w)
+    if "int_web_sessions" not in w.existing and w.params.rules.drop_bot_sessions:
+        start = FIRST_RUN
+    else:
+        name = next(n for n in BY_SESSION if n in w.existing)
+        known = w.holding(name, touched).select("session_id", "session_date").join(touched, "session_id", "left_semi")
+        earliest = known.agg(F.min("session_date")).first()[0]
+        start = start if earliest is None else min(start, earliest)
+    return sessions_again(w["stg_ga4__events"], touched, start)
+
+
 def _web_sessions(w: Warehouse) -> DataFrame:
-    sessions = sessionize(w["stg_ga4__events"])
-    return without_bots(sessions) if w.params.rules.drop_bot_sessions else sessions
+    return _sessions_again(w) if "int_web_sessions" in w.existing else sessionize(w["stg_ga4__events"])
+
+
+def _fact_web_sessions(w: Warehouse) -> DataFrame:
+    if "fact_web_sessions" not in w.existing:
+        sessions = sessionize(w["stg_ga4__events"]) if "int_web_sessions" in w.existing else w["int_web_sessions"]
+    else:
+        sessions = _sessions_again(w)
+    return facts.fact_web_sessions(
+        without_bots(sessions) if w.params.rules.drop_bot_sessions else sessions,
+        dim_customer=w["dim_customer"], dim_channel=w["dim_channel"], dim_geography=w["dim_geography"],
+        channel_mapping=w.channels(), params=w.params,
+        traffic_overrides=w.seeds["traffic_overrides"] if "traffic_overrides" in w.seeds else None)
 
 
 def _campaign_names(w: Warehouse) -> DataFrame:
@@ -261,6 +309,7 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "dim_marketing_campaign": lambda w: dims.dim_marketing_campaign(w["snap_marketing_campaign"], w["dim_channel"], w.params),
     "int_orders_enriched": lambda w: enrich_orders(w["stg_shopify__orders"], w["stg_shopify__order_line_items"]),
     "int_touched_orders": lambda w: _touched_orders(w) if "fact_orders" in w.existing else w["stg_shopify__orders"].select("order_id"),
+    "int_touched_sessions": _touched_sessions,
     "int_web_sessions": _web_sessions,
     "int_campaign_names": _campaign_names,
     "int_marketing_insights": lambda w: rules.insights_at(w["stg_meta_ads__daily_insights"], w.params.rules.insight_level),
@@ -279,10 +328,7 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "fact_marketing_spend": lambda w: facts.fact_marketing_spend(
         w["stg_meta_ads__daily_insights"], dim_marketing_campaign=w["dim_marketing_campaign"], dim_channel=w["dim_channel"],
         fx_rates=w.seeds["fx_rates"], params=w.params, existing=w.existing.get("fact_marketing_spend")),
-    "fact_web_sessions": lambda w: facts.fact_web_sessions(
-        w["int_web_sessions"], dim_customer=w["dim_customer"], dim_channel=w["dim_channel"], dim_geography=w["dim_geography"],
-        channel_mapping=w.channels(), params=w.params, existing=w.existing.get("fact_web_sessions"),
-        traffic_overrides=w.seeds["traffic_overrides"] if "traffic_overrides" in w.seeds else None),
+    "fact_web_sessions": _fact_web_sessions,
     "fact_email_engagement": lambda w: facts.fact_email_engagement(
         w["stg_klaviyo__events"], dim_customer=w["dim_customer"], dim_email_campaign=w["dim_email_campaign"], params=w.params,
         existing=w.existing.get("fact_email_engagement")),

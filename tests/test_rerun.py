@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tallyhouse.functions.pii import phone_hash
 from tallyhouse.operators.clustering import clustered
 from tallyhouse.operators.key_summary import may_hold
+from tallyhouse.operators.lookup import join_known
 from tallyhouse.operators.upsert import replace_table, since_cutoff
 from tallyhouse.operators import quality as Q
 from tallyhouse.plans import facts
@@ -53,6 +54,69 @@ def test_second_run_equals_full_build(shop, fact):
     assert plain(shop.rerun().read(fact), columns) == plain(shop[fact], columns)
 
 
+def web_events(spark, rows):
+    """Raw events: user, session, day of January 2025 (more days follow), hour."""
+    at = "unix_micros(timestamp'2025-01-01') + ((day - 1) * 24 + hour) * 3600000000L"
+    texts = ("device__mobile_brand_name", "device__category", "device__operating_system", "device__web_info__browser", "traffic_source__source", "traffic_source__medium",
+             "traffic_source__name", "geo__country", "geo__region", "page_location", "page_referrer", "page_title", "ecommerce__transaction_id", "ecommerce__currency")
+    frame = spark.createDataFrame(rows, "user_pseudo_id string, ga_session_id string, day int, hour int")
+    return frame.selectExpr("user_pseudo_id", "cast(null as string) as user_id", "ga_session_id", "'page_view' as event_name",
+                            "date_format(date_add(date'2025-01-01', day - 1), 'yyyyMMdd') as event_date", f"{at} as event_timestamp",
+                            *[f"cast(null as string) as {c}" for c in texts], "cast(1 as decimal(18,6)) as ecommerce__purchase_revenue",
+                            "1 as engagement_time_msec", "false as is_new_user")
+
+
+EARLY_EVENTS = [("a", "1", 1, 0), ("a", "1", 70, 5), ("b", "1", 80, 1), ("c", "1", 40, 1), ("gone", "1", 81, 2), (None, "1", 80, 1), ("b", None, 80, 1), ("d", "1", 10, 3)]
+LATE_EVENTS = [r for r in EARLY_EVENTS if r[0] != "gone"] + [("a", "1", 82, 1), ("b", "1", 82, 9), ("new", "7", 83, 1), (None, "1", 82, 4)]
+
+
+@pytest.mark.parametrize("kept,bots", [(("int_web_sessions", "fact_web_sessions"), False), (("fact_web_sessions",), True)])
+def test_sessions_longer_than_the_lookback(spark, shop, kept, bots):
+    """A session that goes on for months is made anew from all its events, and one without events goes."""
+    database = f"sessions_{uuid.uuid4().hex}"
+    spark.sql(f"create database {database}")
+    params = replace(PARAMS, rules=replace(PARAMS.rules, drop_bot_sessions=bots))
+    for rows in (EARLY_EVENTS, LATE_EVENTS):
+        raw = {**shop.raw, "ga4.events": web_events(spark, rows)}
+        stored_run(spark, database, raw, shop.seeds(), params, names=list(kept), kept=frozenset(kept))
+    whole = Warehouse(spark, raw, shop.seeds(), params)
+    for name in kept:
+        columns = [c for c in ("session_id", "session_start_timestamp", "session_duration_seconds", "events_count", "page_views") if c in whole[name].columns]
+        assert plain(spark.table(f"{database}.{name}"), columns) == plain(whole[name], columns)
+    ids = {r.session_id: r.events_count for r in spark.table(f"{database}.{kept[0]}").collect()}
+    assert ids["a1"] == 3 and ids["b1"] == 2 and "gone1" not in ids
+    assert ("d1" in ids) == (not bots or kept[0] == "int_web_sessions")
+
+
+def test_second_run_prunes_events_and_months(spark, shop, tmp_path):
+    """Without a long session, a second run reads the last days of events, and only months that may hold a touched session."""
+    database = f"pruned_{uuid.uuid4().hex}"
+    spark.sql(f"create database {database}")
+    raw = {"ga4.events": web_events(spark, [(f"u{d}", "1", d, 1) for d in range(1, 90)])}
+    stored_run(spark, database, raw, {}, PARAMS, names=["int_web_sessions"], kept=frozenset({"int_web_sessions"}))
+    store = Store(spark, database)
+    house = Warehouse(spark, raw, {}, PARAMS, **store.state())
+    house["stg_ga4__events"].write.parquet(f"{tmp_path}/events")
+    house._made["stg_ga4__events"] = spark.read.parquet(f"{tmp_path}/events")
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plan = house["int_web_sessions"]._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(event_date," in plan and "GreaterThanOrEqual(event_timestamp," in plan
+    days = PARAMS.lookback_days["fact_web_sessions"]
+    assert {r.session_id for r in house["int_touched_sessions"].collect()} == {f"u{d}1" for d in range(89 - days, 90)}
+    months = store.holding("int_web_sessions", house["int_touched_sessions"])
+    assert {str(r[0])[:7] for r in months.select("session_date").distinct().collect()} == {"2025-03"}
+
+
+def test_join_with_missing_keys(spark):
+    """Rows without the key meet nothing, not even a key that equals what they go by; they do not share a task."""
+    facts_ = spark.sql("select if(id < 900, null, cast(id % 7 as string)) as k, cast(id as string) as id from range(1000)")
+    other = spark.sql("select cast(id as string) as k, id * 10 as v from range(5) union all select null, 99 union all select '500', 1")
+    made = join_known(facts_, other, "k", "id")
+    assert made.columns == ["k", "id", "v"]
+    assert plain(made, made.columns) == plain(facts_.join(other, "k", "left"), made.columns)
+
+
 def test_third_run_changes_nothing_and_old_runs_go(spark, shop):
     store, names = shop.rerun(), ["fact_orders", "fact_inventory_movements", "fact_web_sessions", "mart_sales"]
     before = {n: plain(store.read(n), store.read(n).columns[:5]) for n in names[:3]}
