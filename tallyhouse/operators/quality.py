@@ -7,8 +7,8 @@ key. Each result row holds the number of failing rows; ``failing_rows`` returns
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 from datetime import timedelta
 from functools import reduce
 
@@ -28,9 +28,17 @@ class Check:
 
 @dataclass(frozen=True)
 class RowCheck(Check):
-    """Fails on rows for which ``bad`` is true; NULL is no failure."""
+    """Fails on rows for which the SQL condition ``broken`` is true; NULL is no failure.
 
-    bad: Column | None = None
+    ``condition`` makes the same as a column where the text would not do, as with words that need quotes.
+    """
+
+    broken: str = "false"
+    condition: Callable[[], Column] | None = field(default=None, compare=False)
+
+    @property
+    def bad(self) -> Column:
+        return F.expr(self.broken) if self.condition is None else self.condition()
 
 
 @dataclass(frozen=True)
@@ -52,20 +60,22 @@ class Recent(Check):
 
 
 def not_null(col: str, severity: str = "error") -> RowCheck:
-    return RowCheck(f"not_null_{col}", severity, F.col(col).isNull())
+    return RowCheck(f"not_null_{col}", severity, f"{col} is null", lambda: F.col(col).isNull())
 
 
 def accepted_values(col: str, values: Sequence[str], severity: str = "error") -> RowCheck:
-    return RowCheck(f"accepted_values_{col}", severity, ~F.col(col).isin(*values))
+    listed = ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+    return RowCheck(f"accepted_values_{col}", severity, f"{col} not in ({listed})", lambda: ~F.col(col).isin(*values))
 
 
 def accepted_range(col: str, low: object, high: object, severity: str = "error") -> RowCheck:
     kind = lambda v: F.lit(v).cast("date") if isinstance(v, str) else F.lit(v)
-    return RowCheck(f"accepted_range_{col}", severity, ~F.col(col).between(kind(low), kind(high)))
+    text = lambda v: f"date '{v}'" if isinstance(v, str) else str(v)
+    return RowCheck(f"accepted_range_{col}", severity, f"{col} not between {text(low)} and {text(high)}", lambda: ~F.col(col).between(kind(low), kind(high)))
 
 
 def expression_is_true(name: str, expression: str, severity: str = "error") -> RowCheck:
-    return RowCheck(name, severity, ~F.expr(expression))
+    return RowCheck(name, severity, f"not ({expression})")
 
 
 def unique(*keys: str, severity: str = "error") -> Unique:

@@ -373,7 +373,10 @@ _ORDER_COUNTS = {
     **{f"not_null_{name}": ("error", f"count(*) filter (where {expr} is null)") for name, expr in {
         "order_sk": "order_sk", "order_id": "order_id", "order_number": "order_number", "order_date": "order_date", "order_timestamp": "order_timestamp",
         "order_status": "order_status", "gross_amount": "gross4", "discount_amount": "discount4", "net_amount": "net4", "refunded_amount": "back4",
-        "net_after_refunds": "after4", "fx_rate_to_reporting": "coalesce(fx, 1)", "is_first_order": "is_first", "is_repeat_order": "is_repeat"}.items()},
+        "net_after_refunds": "after4", "fx_rate_to_reporting": "coalesce(fx, 1)", "is_first_order": "is_first", "is_repeat_order": "is_repeat",
+        "financial_status": "financial_status", "tax_amount": "tax4", "shipping_amount": "shipping4", "tip_amount": "tip4", "currency_code": "'USD'",
+        "original_currency_code": "currency", "original_gross_amount": "gross4", "line_item_count": "line_count", "total_quantity": "units",
+        "is_subscription_order": "subscription", "is_test_order": "false", "created_at": "order_timestamp", "updated_at": "updated_at", "loaded_at": "1"}.items()},
     "accepted_range_order_date": ("error", f"count(*) filter (where order_date not between date '{PARAMS.calendar_start}' and date '{PARAMS.calendar_end}')"),
     "accepted_values_order_status": ("error", "count(*) filter (where order_status not in ('pending', 'paid', 'fulfilled', 'cancelled', 'refunded', 'partial_refund', 'unknown'))"),
     "accepted_values_financial_status": ("error", "count(*) filter (where financial_status not in ('pending', 'paid', 'refunded', 'partially_refunded', 'voided'))"),
