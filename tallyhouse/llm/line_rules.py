@@ -17,11 +17,18 @@ SYMBOLS = "[#*$%&|<>]"
 WINDOW = 3
 PLACE_BITS = 24  # of a packed number: a window's place; the rest is a hash
 
-# Phrases of page furniture and notices.
-BOILERPLATE = (
-    "all rights reserved", "privacy policy", "terms of use", "terms of service", "cookie", "javascript", "click here",
-    "subscribe", "sign up", "log in", "copyright", "licensed under", "lorem ipsum", "powered by", "read more", "share this",
-)
+# Phrases of page furniture and notices, by language; a dot stands for either apostrophe.
+FURNITURE = {
+    "en": ("all rights reserved", "privacy policy", "terms of use", "terms of service", "cookie", "javascript", "click here",
+           "subscribe", "sign up", "log in", "copyright", "licensed under", "lorem ipsum", "powered by", "read more", "share this"),
+    "de": ("alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "impressum", "hier klicken", "newsletter abonnieren",
+           "jetzt registrieren", "einloggen", "urheberrecht", "lizenziert unter", "weiterlesen", "mehr lesen", "beitrag teilen"),
+    "fr": ("tous droits réservés", "politique de confidentialité", "conditions d.utilisation", "mentions légales", "cliquez ici", "abonnez-vous",
+           "inscrivez-vous", "se connecter", "droits d.auteur", "sous licence", "lire la suite", "partager cet article"),
+    "es": ("todos los derechos reservados", "política de privacidad", "condiciones de uso", "términos de uso", "aviso legal", "haga clic aquí", "haz clic aquí",
+           "suscríbete", "regístrate", "iniciar sesión", "derechos de autor", "bajo licencia", "leer más", "compartir en"),
+}
+BOILERPLATE = tuple(phrase for phrases in FURNITURE.values() for phrase in phrases)
 
 
 def words_of(text: Column) -> Column:
@@ -72,7 +79,8 @@ def good_line(line: Column) -> Column:
 
     Punctuation: many symbols, shouting marks, or no lower-case letter in three words or more.
     Navigation: menu separators between the words. Boilerplate: a short line with a phrase of page
-    furniture, or the same few words over and over.
+    furniture in any of the languages of ``FURNITURE``, whatever the document's language, or the same few
+    words over and over.
     """
 
     def judge(w: Column) -> Column:

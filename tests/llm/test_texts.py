@@ -64,6 +64,15 @@ def test_lines_go_and_columns_stay(spark):
     assert [(r.doc_id, r.row, r.text, r.n_chars) for r in kept] == [(1, "x", prose, len(prose))]
 
 
+def test_furniture_in_four_languages(spark):
+    bad = ["All Rights Reserved.", "ALLE Rechte vorbehalten, 2024", "Zum Impressum", "Tous droits réservés", "Voir les conditions d\u2019utilisation", "CONDITIONS D'UTILISATION du site",
+           "Mentions Légales", "Política de Privacidad", "Leer más en la portada", "Hier klicken und weiterlesen"]
+    good = ["Alle rechten Winkel sind gleich.", "Les droits des enfants sont connus.", "Los derechos de los niños.", "Reserved seats were all taken.", "word " + " ".join(f"w{i}" for i in range(40)) + " impressum"]
+    rows = spark.createDataFrame([(x,) for x in bad + good], "line string")
+    got = {r.line: r.good for r in rows.select("line", line_rules.good_line(F.col("line")).alias("good")).collect()}
+    assert [got[x] for x in bad] == [False] * len(bad) and [got[x] for x in good] == [True] * len(good)
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 7])
 def test_repeats_in_short_texts(spark, n):
     text = " ".join("ab"[i % 2] for i in range(n))
