@@ -28,7 +28,7 @@ ONCE = {"int_web_sessions": "web_sessions"}  # the query over the model built at
 for _fact in sorted(MERGES):
     _once = REGISTRY[ONCE.get(_fact, _fact)]
     _columns = tuple(c for c in _once.columns if c[0] != "customer_sk")
-    REGISTRY[f"rerun_{_fact}"] = Query(f"rerun_{_fact}", COVERS[_fact], _columns, lambda w, fact=_fact: w.rerun().read(fact), _once.sql, _once.extra)
+    REGISTRY[f"rerun_{_fact}"] = Query(f"rerun_{_fact}", COVERS[_fact], _columns, lambda w, fact=_fact: w.rerun(fact).read(fact), _once.sql, _once.extra)
 
 # The registered query that lists each staging model's rows.
 STAGING_QUERIES = dict(zip(STAGING_KEYS, (
