@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyhouse.operators import key_summary
 from tallyhouse.operators.key_summary import Part
 from tallyhouse.plans import facts
-from tallyhouse.plans.warehouse import READ_BY_MODELS
+from tallyhouse.plans.warehouse import READ_BY_MODELS, Warehouse
 from tallyhouse.workload.raw import PARAMS
 from tallyhouse.workload.registry import Lab
 
@@ -97,3 +97,36 @@ def test_many_keys_name_the_partitions_in_range(spark, monkeypatch):
     parts = [Part("a", "", "/no/such/words", 1, "k1", "k5"), Part("b", "", "/no/such/words", 1, "k4", "k9"), Part("c", "", "/no/such/words", 1, "x", "z")]
     keys = spark.createDataFrame([(f"k{i}",) for i in range(1, 8)] + [(None,)], "k string")
     assert key_summary.may_hold(keys, "k", parts, "p") == ["a", "b"]  # 14 pairs against 8 rows: no words are read
+
+
+def test_charges_are_left_unread_where_no_payment_method_is_asked_for(spark, given):
+    orders = Lab(spark, given)["fact_orders"]
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (orders, orders.groupBy("channel_sk").agg(F.sum("gross_amount")))]
+    assert ["metadata_shopify_order_id" in p or "ch_" in p for p in plans] == [True, False]
+
+
+def test_the_newest_charge_decides_and_a_missing_time_is_oldest(spark):
+    """Of equal times the greatest id; a charge of no order counts nowhere."""
+    charges = spark.sql("""select * from values ('1', 'b', timestamp '2024-01-02', 'card', 'visa', null), ('1', 'c', null, 'klarna', null, null), ('1', 'a', timestamp '2024-01-02', 'link', null, null),
+        ('2', 'a', null, 'card', 'visa', null), ('2', 'b', null, 'klarna', null, null), (null, 'x', null, 'card', null, null)
+        as t(shopify_order_id, charge_id, charge_timestamp, payment_type, card_brand, card_wallet)""")
+    methods = spark.sql("""select * from values ('m1', 'k1', 'credit_card', 'visa'), ('m2', 'k2', 'buy_now_pay_later', null)
+        as t(payment_method_id, payment_method_sk, payment_method_type, card_brand)""")
+    of_all, of_newest = (sorted(map(str, facts.charge_payment_methods(c, methods).collect())) for c in (charges, charges.filter("charge_id = 'b'")))
+    assert len(of_all) == 2 and of_all == of_newest
+
+
+def test_old_refunds_touch_no_orders_where_only_orders_are_stored(spark, given):
+    shop = Lab(spark, given)
+    held = spark.sql("select '1' as order_id, false as is_first_order, timestamp '2026-01-01' as updated_at")
+    house = Warehouse(spark, shop.raw, shop.seeds(), PARAMS, existing={"fact_orders": held}, save=shop.warehouse()._save)
+    assert house["int_touched_orders"].count() == 0
+    held = held.withColumn("updated_at", F.lit("2021-03-20").cast("timestamp"))
+    house = Warehouse(spark, shop.raw, shop.seeds(), PARAMS, existing={"fact_orders": held}, save=shop.warehouse()._save)
+    assert house["int_touched_orders"].count() == 8
+
+
+def test_two_runs_store_the_columns_that_are_compared(spark, given):
+    shop = Lab(spark, given)
+    held = shop.rerun("fact_orders").read("fact_orders").columns
+    assert "gross_amount" in held and "updated_at" in held and "ip_address_hash" not in held
