@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyhouse.operators import key_summary
 from tallyhouse.operators.key_summary import Part
 from tallyhouse.plans import facts
+from tallyhouse.plans.store import MERGES, replace_scope
 from tallyhouse.plans.warehouse import READ_BY_MODELS, Warehouse
 from tallyhouse.workload.raw import PARAMS
 from tallyhouse.workload.registry import Lab
@@ -130,3 +131,26 @@ def test_two_runs_store_the_columns_that_are_compared(spark, given):
     shop = Lab(spark, given)
     held = shop.rerun("fact_orders").read("fact_orders").columns
     assert "gross_amount" in held and "updated_at" in held and "ip_address_hash" not in held
+
+
+def test_two_runs_store_narrow_day_facts(spark, given):
+    shop = Lab(spark, given)
+    held = shop.rerun("fact_email_engagement").read("fact_email_engagement").columns
+    assert {"event_id", "event_timestamp", "customer_sk"} <= {*held} and "event_sk" not in held and "bounce_reason" not in held
+
+
+def test_stored_rows_are_not_shuffled_to_meet_days_or_few_parents(spark, tmp_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        held = spark.range(1000).selectExpr("concat('i', id % 40) as inventory_item_id", "'l' as location_id", "date_add(date '2024-01-01', cast(id / 40 as int)) as snapshot_date")
+        held.write.parquet(f"{tmp_path}/held")
+        target = spark.read.parquet(f"{tmp_path}/held")
+        batch = target.filter("snapshot_date >= date '2024-01-20' and inventory_item_id = 'i1'")
+        out = replace_scope(target, batch, MERGES["fact_inventory_snapshot"], None)
+        assert "Exchange hashpartitioning(inventory_item_id" not in plan_of(out) and "SortMergeJoin" not in plan_of(out)
+        assert out.count() == 19 * 40 + 6
+        undated = batch.limit(1).withColumn("snapshot_date", F.lit(None).cast("date"))
+        once = replace_scope(target, batch.unionByName(undated), MERGES["fact_inventory_snapshot"], None)
+        assert replace_scope(once, undated, MERGES["fact_inventory_snapshot"], None).filter("snapshot_date is null").count() == 2  # null keys equal no key
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
