@@ -154,3 +154,19 @@ def test_stored_rows_are_not_shuffled_to_meet_days_or_few_parents(spark, tmp_pat
         assert replace_scope(once, undated, MERGES["fact_inventory_snapshot"], None).filter("snapshot_date is null").count() == 2  # null keys equal no key
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_customers_are_dealt_once(spark):
+    """Orders and days of a customer meet behind one exchange by customer; days find their snapshots by broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        orders = spark.sql("select concat('c', id % 3) as customer_id, date_add(date '2024-01-10', cast(id as int)) as order_date, 'open' as order_status, cast(2 as decimal(18,4)) as net_after_refunds, cast(1 as decimal(18,2)) as total_quantity from range(90)")
+        people = spark.sql("select concat('s', id) as customer_sk, concat('c', id) as customer_id, true as is_current, true as marketing_consent, timestamp '2024-01-01' as updated_at, date '2024-01-01' as acquisition_date from range(5)")
+        state = facts.fact_customer_state_daily(orders, people, PARAMS)
+        dealt = [x for x in plan_of(state).splitlines() if "Exchange hashpartitioning(" in x]
+        assert not any("customer_id" in x.split("[plan_id")[0] and "snapshot_date" in x.split("[plan_id")[0] for x in dealt)
+        got = {(r.customer_id, str(r.snapshot_date)): r for r in state.collect()}
+        assert len(got) == 5 * 4 and got["c4", "2024-03-31"].lifetime_order_count == 0
+        assert got["c0", "2024-03-31"].lifetime_order_count == 28 and got["c0", "2024-03-31"].trailing_30d_order_count == 10
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
