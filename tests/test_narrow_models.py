@@ -2,16 +2,19 @@
 
 from datetime import date
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import key_summary
 from tallyhouse.operators.key_summary import Part
-from tallyhouse.plans import facts
+from tallyhouse.operators.stored import stored
+from tallyhouse.plans import facts, warehouse
 from tallyhouse.plans.store import MERGES, replace_scope
-from tallyhouse.plans.warehouse import READ_BY_MODELS, Warehouse
+from tallyhouse.plans.warehouse import READ_BY_MODELS, READ_BY_MOVEMENTS, Warehouse
 from tallyhouse.workload.raw import PARAMS
-from tallyhouse.workload.registry import Lab
+from tallyhouse.workload.registry import REGISTRY, Lab
 
 
 def plan_of(df):
@@ -48,6 +51,44 @@ def test_a_fact_is_made_with_the_columns_asked_for(spark, given):
     assert shop["fact_order_lines"].count() == shop["fact_inventory_movements"].filter("movement_type = 'return'").count() == 8
 
 
+@pytest.mark.parametrize(("query", "kinds"), [("movements_by_refund_line", {"sale": (8, -24), "return": (8, 24)}), ("default_inventory_movements", {"return": (8, 24)})])
+def test_movements_are_made_without_storing_lines(spark, given, monkeypatch, query, kinds):
+    kept = {}
+    monkeypatch.setattr(warehouse, "stored", lambda df, name: (kept.update({name: tuple(df.columns)}), stored(df, name))[1])
+    out = REGISTRY[query].run(spark, given)
+    assert {r.movement_type: (r.n, r.q) for r in out.groupBy("movement_type").agg(F.count("*").alias("n"), F.sum("quantity_change").alias("q")).collect()} == kinds
+    assert kept.keys().isdisjoint({"fact_order_lines", "fact_refunds", "dim_customer", "dim_product"})
+    assert kept["fact_orders"] == READ_BY_MOVEMENTS
+
+
+@pytest.mark.parametrize("params", [replace(PARAMS, return_units=units, sale_quantity=sale) for units in ("order", "refund_line") for sale in ("net", "gross")], ids=lambda p: f"{p.return_units}-{p.sale_quantity}")
+def test_movements_from_staged_rows_equal_those_from_facts(spark, params):
+    """Orders and refunds that come twice, lines without an order, products that share a SKU, days between versions; lines are sent by order once."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        zero = "cast(0 as decimal(18,6))"
+        lines = spark.sql(f"""select concat('L', id) as line_item_id, if(id = 9, null, concat('O', id % 4)) as order_id, concat('S', id % 3) as sku, 'v' as variant_id, 'T' as product_title_at_sale, cast(id as int) as quantity,
+            2.0BD as unit_price, {zero} as line_subtotal, {zero} as line_discount, {zero} as line_tax, {zero} as line_net_amount, false as was_promotional, timestamp '2020-01-01' as _extracted_at from range(10)""")
+        orders = spark.sql("""select concat('O', id % 3) as order_id, 's' as order_sk, 'c' as customer_sk, 'h' as channel_sk, date_add(date '2020-01-30', cast(id as int)) as order_date, timestamp '2020-01-31' as order_timestamp,
+            if(id = 1, 'cancelled', 'open') as order_status, cast(1 as decimal(18,8)) as fx_rate_to_reporting, timestamp '2020-02-02' as _extracted_at from range(4)""")
+        refunds = spark.sql("""select *, timestamp '2020-03-01' as refund_timestamp, timestamp '2020-03-02' as _extracted_at from values
+            ('R1', 'O0', date '2020-03-01', 'a', array(named_struct('line_item_id', 'L4', 'quantity', '2', 'subtotal', '1'), named_struct('line_item_id', 'L8', 'quantity', '1', 'subtotal', '1'))),
+            ('R1', 'O0', date '2020-03-01', 'b', array(named_struct('line_item_id', 'L4', 'quantity', '1', 'subtotal', '1'))),
+            ('R2', 'O1', date '2020-03-02', 'c', array(named_struct('line_item_id', 'L1', 'quantity', '1', 'subtotal', '1'), named_struct('line_item_id', 'L5', 'quantity', 'x', 'subtotal', '1'))),
+            ('R3', 'O3', date '2020-03-03', null, array(named_struct('line_item_id', 'L7', 'quantity', '0', 'subtotal', '1'))), ('R4', 'O2', null, 'd', array(named_struct('line_item_id', 'L2', 'quantity', '1', 'subtotal', '1')))
+            as t(refund_id, order_id, refund_date, refund_note, refund_line_items)""")
+        products = spark.sql("""select *, cast(null as timestamp) as valid_to from values ('S0', 'p', 1.5BD, timestamp '2020-01-31'), ('S1', 'q', 2BD, timestamp '2019-01-01'), ('S1', 'r', null, timestamp '2019-01-01') as t(sku, product_sk, unit_cost, valid_from)""")
+        made = facts.fact_order_lines(lines, orders, refunds, products, params)
+        refund_fact = refunds.withColumn("refund_reason", F.col("refund_note")).join(orders.select("order_id"), "order_id", "left")
+        expected = facts.fact_inventory_movements(made, orders, refund_fact, params, refund_lines=refunds if params.return_units == "refund_line" else None)
+        got = facts.movements_from_staged(lines, orders, refunds, facts.refund_items(refunds), products, params)
+        assert got.columns == expected.columns
+        rows = lambda df: sorted(str(r) for r in df.collect())
+        assert rows(got) == rows(expected) and {r.movement_type for r in got.collect()} == {"sale", "return"}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_kept_models_hold_the_named_columns(spark, given):
     shop = Lab(spark, given)
     assert shop.kept("fact_refunds", {"refund_id", "order_id"}).columns == ["refund_id", "order_id"]
